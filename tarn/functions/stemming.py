@@ -11,6 +11,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 # Words whose stem does not follow from the rules.
 IRREGULAR = {
@@ -149,13 +150,13 @@ def stem_word(word: str) -> str:
     return word
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def stem(tokens: pd.Series) -> pd.Series:
     """Stem a token column; each distinct token of a batch is worked once."""
     return tokens.map({t: stem_word(t) for t in tokens.dropna().unique()})
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def stem_all(tokens: pd.Series) -> pd.Series:
     """Stem every entry of a short token list, keeping order and repeats."""
     return tokens.map(lambda row: [stem_word(t) for t in row], na_action="ignore")

@@ -6,12 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as Unicode text processing understands it; the regex class \s is ASCII only.
-WHITESPACE = (
-    r"[\t-\r\x1c-\x20\x85\xa0  -     　]+"
-)
+WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 ALPHABETIC = r"^\p{L}+$"
-DIGITS = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
+DIGITS = r"^[\p{Nd}\u00b2\u00b3\u00b9\u2070\u2074-\u2079\u2080-\u2089]+$"
 
 # Words, clitics and single marks, in the manner of Penn Treebank tokenisation.
 WORDS_AND_MARKS = (
