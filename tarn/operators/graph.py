@@ -132,10 +132,13 @@ def _with_hubs(
     )
     if seeds is not None:
         users = users.join(seeds.select("user").distinct(), "user", "left_semi")
+    lists = _ranked_lists(masks, len(hubs), list_depth)
+    if list_depth <= LIST_DEPTH:
+        lists = F.broadcast(lists)  # at most 255 masks times LIST_DEPTH short rows
     from_lists = (
         users.where(F.col("entries") <= list_depth)
         .select("user", "mask", F.explode(F.expr("sequence(1, int(entries))")).alias("rank"))
-        .join(_ranked_lists(masks, len(hubs), list_depth), ["mask", "rank"])
+        .join(lists, ["mask", "rank"])
         .select("user", "other", "shared")
     )
     # The few users with more friends than a list is long look at the hubs' nodes directly.
