@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 # A metric maps points (n, d) and one center (d,) to n distances.
@@ -121,7 +122,8 @@ class GivenCentersKMeans:
         """``points`` with the nearest current center: columns cluster and distance."""
         ids, centers = self._current()
         distance = self._distance()
-        schema = points.schema.add("cluster", "int").add("distance", "double")
+        added = [StructField("cluster", IntegerType()), StructField("distance", DoubleType())]
+        schema = StructType([*points.schema.fields, *added])
 
         def nearest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
