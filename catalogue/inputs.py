@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.sources.tables import read_table
+from tarn.sources.tables import read_table, spread
 
 
 def _order_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = spread(read_table(spark, sf_dir, "lineitem"))
     orders = read_table(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(*columns)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents").select("text"))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer -> part bought, both in one number space of nodes."""
     return _order_lines(spark, sf_dir, "o_custkey", "l_partkey").toDF("src", "dst")
@@ -21,7 +25,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def basket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The brands of an order, one row per line, repeats kept."""
-    lines = read_table(spark, sf_dir, "lineitem")
+    lines = spread(read_table(spark, sf_dir, "lineitem"))
     part = read_table(spark, sf_dir, "part")
     return lines.join(part, lines.l_partkey == part.p_partkey).select(
         F.col("l_orderkey").alias("basket"), F.col("p_brand").alias("item")
@@ -70,6 +74,6 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each turn of a conversation beside the turn that follows it."""
-    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = spread(read_table(spark, sf_dir, "conversations")).select("conv_id", "turn", "text")
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     return turns.join(following, ["conv_id", "turn"])

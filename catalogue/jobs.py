@@ -119,7 +119,8 @@ def adjacency_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def basket_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents read as baskets of words: occurrences per item."""
-    return bk.item_counts(ln.basket_items(read_table(spark, sf_dir, "documents"), "text"))
+    items = ln.basket_items(inputs.documents(spark, sf_dir), "text")
+    return count_by(items, "item")
 
 
 def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,11 +135,11 @@ def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return letter_counts(read_table(spark, sf_dir, "documents"), "text")
+    return letter_counts(inputs.documents(spark, sf_dir), "text")
 
 
 def stem_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stem_counts(word_rows(read_table(spark, sf_dir, "documents"), "text"), "word")
+    return stem_counts(word_rows(inputs.documents(spark, sf_dir), "text"), "word")
 
 
 def stem_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,57 +161,61 @@ def pymk_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people_you_may_know(inputs.edges(spark, sf_dir))
 
 
-def _min_count(rows: DataFrame, share: float) -> float:
-    return share * bk.basket_count(rows)
+def _contents(spark: SparkSession, sf_dir: str, positional: bool = True) -> DataFrame:
+    return bk.basket_contents(inputs.basket_rows(spark, sf_dir), positional)
+
+
+def _least(contents: DataFrame, share: float) -> float:
+    return share * bk.basket_count(contents)
 
 
 def item_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    return bk.frequent_items(rows, _min_count(rows, PAIR_SHARE))
+    contents = _contents(spark, sf_dir)
+    return bk.frequent_items(contents, _least(contents, PAIR_SHARE))
 
 
 def pair_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    return bk.pair_counts(rows, _min_count(rows, PAIR_SHARE))
+    contents = _contents(spark, sf_dir)
+    return bk.pair_counts(contents, _least(contents, PAIR_SHARE))
 
 
 def pair_support_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    return bk.pair_counts(rows, _min_count(rows, PAIR_SHARE), positional=False)
+    contents = _contents(spark, sf_dir, positional=False)
+    return bk.pair_counts(contents, _least(contents, PAIR_SHARE))
 
 
 def pair_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    least = _min_count(rows, PAIR_SHARE)
-    items = materialise(bk.frequent_items(rows, least))
-    rules = bk.pair_confidence(bk.pair_counts(rows, least, items), items)
+    contents = _contents(spark, sf_dir)
+    least = _least(contents, PAIR_SHARE)
+    items = materialise(bk.frequent_items(contents, least))
+    rules = bk.pair_confidence(bk.pair_counts(contents, least, items), items)
     return rules.withColumn("confidence", F.round("confidence", 6))
 
 
 def triple_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    return bk.triple_counts(rows, _min_count(rows, TRIPLE_SHARE))
+    contents = _contents(spark, sf_dir)
+    return bk.triple_counts(contents, _least(contents, TRIPLE_SHARE))
 
 
 def triple_support_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    return bk.triple_counts(rows, _min_count(rows, TRIPLE_SHARE), positional=False)
+    contents = _contents(spark, sf_dir, positional=False)
+    return bk.triple_counts(contents, _least(contents, TRIPLE_SHARE), sets=True)
 
 
 def triple_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.basket_rows(spark, sf_dir)
-    least = _min_count(rows, TRIPLE_SHARE)
-    rules = bk.triple_confidence(bk.triple_counts(rows, least), bk.pair_counts(rows, least))
+    contents = _contents(spark, sf_dir)
+    least = _least(contents, TRIPLE_SHARE)
+    rules = bk.triple_confidence(bk.triple_counts(contents, least), bk.pair_counts(contents, least))
     return rules.withColumn("confidence", F.round("confidence", 6))
 
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sets = bk.basket_sets(inputs.basket_rows(spark, sf_dir))
+    sets = bk.basket_sets(_contents(spark, sf_dir))
     return sets.select("basket", F.size("items").alias("size"), F.array_join("items", " ").alias("items"))
 
 
 def _fp_model(spark: SparkSession, sf_dir: str):
-    sets = materialise(bk.basket_sets(inputs.basket_rows(spark, sf_dir)))
+    sets = bk.basket_sets(_contents(spark, sf_dir))
     return bk.fp_growth(sets, MIN_SUPPORT, MIN_CONFIDENCE), sets
 
 
@@ -234,7 +239,7 @@ def fp_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, sets = _fp_model(spark, sf_dir)
-    return model.transform(sets).select(
+    return bk.fp_predict(model, sets).select(
         "basket", F.array_join(F.sort_array("prediction"), " ").alias("prediction")
     )
 
@@ -335,12 +340,11 @@ def item_top_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip.item_top_tags(ip.item_tag_counts(inputs.tags(spark, sf_dir)))
 
 
-def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ip.item_master(
-        ip.item_features(inputs.items(spark, sf_dir)),
-        inputs.ratings(spark, sf_dir),
-        ip.item_tag_counts(inputs.tags(spark, sf_dir)),
-    )
+def _master(spark: SparkSession, sf_dir: str, tag_counts: DataFrame | None = None) -> DataFrame:
+    if tag_counts is None:
+        tag_counts = ip.item_tag_counts(inputs.tags(spark, sf_dir))
+    features = ip.item_features(inputs.items(spark, sf_dir))
+    return ip.item_master(features, inputs.ratings(spark, sf_dir), tag_counts)
 
 
 def item_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,8 +368,8 @@ def user_genre_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = inputs.ratings(spark, sf_dir)
-    tag_counts = ip.item_tag_counts(inputs.tags(spark, sf_dir))
-    master = materialise(_master(spark, sf_dir))
+    tag_counts = materialise(ip.item_tag_counts(inputs.tags(spark, sf_dir)))
+    master = materialise(_master(spark, sf_dir, tag_counts))
     profile = up.user_profile(
         up.user_tags(ratings, tag_counts),
         up.user_years(ratings, master),

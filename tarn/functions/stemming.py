@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -150,13 +152,24 @@ def stem_word(word: str) -> str:
     return word
 
 
-@F.pandas_udf(StringType())
-def stem(tokens: pd.Series) -> pd.Series:
-    """Stem a token column; each distinct token of a batch is worked once."""
-    return tokens.map({t: stem_word(t) for t in tokens.dropna().unique()})
+def _stemmed(tokens: pa.Array) -> pa.Array:
+    """Each distinct token of the batch is worked once; null stays null."""
+    coded = tokens.dictionary_encode()
+    stems = pa.array([stem_word(t) for t in coded.dictionary.to_pylist()], pa.string())
+    return stems.take(coded.indices)
 
 
-@F.pandas_udf(ArrayType(StringType()))
-def stem_all(tokens: pd.Series) -> pd.Series:
-    """Stem every entry of a short token list, keeping order and repeats."""
-    return tokens.map(lambda row: [stem_word(t) for t in row], na_action="ignore")
+@F.arrow_udf(StringType())
+def stem(tokens: pa.Array) -> pa.Array:
+    """Stem a token column."""
+    return _stemmed(tokens)
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def stem_all(lists: pa.Array) -> pa.Array:
+    """Stem every entry of a list column, keeping order and repeats."""
+    lengths = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype("int32")
+    # A null offset marks a null list.
+    nulls = np.append(lists.is_null().to_numpy(zero_copy_only=False), False)
+    return pa.ListArray.from_arrays(pa.array(ends, mask=nulls), _stemmed(lists.flatten()))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space as Unicode text processing understands it; the regex class \s is ASCII only.
-WHITESPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# White space as Unicode text processing understands it: the White_Space property plus the
+# four separator controls. The plain class \s would be ASCII only.
+WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
+
+# The first letter of each word made of letters alone.
+LETTER_WORDS = r"(?U)(?<![^\s\x1c-\x1f])(\p{L})\p{L}*+(?![^\s\x1c-\x1f])"
 
-ALPHABETIC = r"^\p{L}+$"
 DIGITS = r"^[\p{Nd}\u00b2\u00b3\u00b9\u2070\u2074-\u2079\u2080-\u2089]+$"
 
 # Words, clitics and single marks, in the manner of Penn Treebank tokenisation.
@@ -51,16 +54,13 @@ def words_and_marks(text: Column) -> Column:
 TOKENIZERS = {"word": words_and_marks, "whitespace": words}
 
 
-def is_alphabetic(word: Column) -> Column:
-    return word.rlike(ALPHABETIC)
-
-
 def is_digits(word: Column) -> Column:
     return word.rlike(DIGITS)
 
 
-def first_letter(word: Column) -> Column:
-    return F.lower(F.substring(word, 1, 1))
+def first_letters(text: Column) -> Column:
+    """First letters of the purely alphabetic words of a text."""
+    return F.regexp_extract_all(text, F.lit(LETTER_WORDS), F.lit(1))
 
 
 def title_words(title: Column, tokenizer: str = "word") -> Column:

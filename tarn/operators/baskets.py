@@ -4,6 +4,8 @@ Input rows are ``(basket, item)``, one per occurrence. Nothing here builds the l
 a basket to pair it up: repeats collapse to ``(basket, item, times)`` and the number of
 positional combinations follows from ``times``. So a basket that holds a large part of
 all rows shrinks to its distinct items before anything is paired.
+
+That collapsed table, made once by :func:`basket_contents`, is what all counts read.
 """
 
 from __future__ import annotations
@@ -15,76 +17,75 @@ from pyspark.sql import functions as F
 from tarn.operators.relational import broadcast_if_small
 from tarn.session import materialise
 
+# Rules that may be brought to every executor at once.
+MAX_BROADCAST_RULES = 200_000
+
 # Distinct items of one basket that a single join group may hold before it is sliced.
 SLICE_ITEMS = 2_000
 
 
-def basket_count(rows: DataFrame) -> int:
-    return rows.select("basket").distinct().count()
+def basket_contents(rows: DataFrame, positional: bool = True) -> DataFrame:
+    """``(basket, item, times)``, stored; without ``positional`` a basket is a set of items.
 
+    Repeats are summed in the map tasks and then by (basket, item), so no task ever
+    holds the occurrences of a whole basket.
+    """
+    contents = rows.groupBy("basket", "item").agg(F.count("*").alias("times"))
+    if not positional:
+        contents = contents.withColumn("times", F.lit(1).cast("bigint"))
+    return materialise(contents)
 
-def item_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("item").agg(F.count("*").alias("n"))
 
+def basket_count(contents: DataFrame) -> int:
+    return contents.select("basket").distinct().count()
 
-def frequent_items(rows: DataFrame, min_count: float) -> DataFrame:
-    """Items that occur at least ``min_count`` times."""
-    return item_counts(rows).where(F.col("n") >= min_count)
 
+def item_counts(contents: DataFrame) -> DataFrame:
+    return contents.groupBy("item").agg(F.sum("times").alias("n"))
 
-def keep_items(rows: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of the listed items. ``items`` is read once to decide on a broadcast."""
-    return rows.join(broadcast_if_small(items.select("item")), "item", "left_semi")
 
+def frequent_items(contents: DataFrame, min_count: float) -> DataFrame:
+    """Items that occur at least ``min_count`` times."""
+    return item_counts(contents).where(F.col("n") >= min_count)
 
-def basket_contents(rows: DataFrame, positional: bool = True) -> DataFrame:
-    """``(basket, item, times)``; without ``positional`` a basket is a set of items."""
-    contents = rows.groupBy("basket", "item").agg(F.count("*").alias("times"))
-    return contents if positional else contents.withColumn("times", F.lit(1).cast("bigint"))
+
+def keep_items(contents: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows of the listed items. ``items`` is read once to decide on a broadcast."""
+    return contents.join(broadcast_if_small(items.select("item")), "item", "left_semi")
 
 
-def _sides(contents: DataFrame, slice_items: int) -> tuple[DataFrame, DataFrame]:
-    """Two copies of ``contents`` to be joined on ``(basket, slice)``.
+def _sides(contents: DataFrame, slice_items: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Two copies of ``contents`` and the keys to join them on.
 
-    A basket with more than ``slice_items`` items is cut into slices by its first item:
-    the left copy is divided, the right copy repeated, so several tasks share its pairs.
-    Ordinary baskets have the single slice 0.
+    Normally the key is the basket. A basket of more than ``slice_items`` items is cut into
+    slices by its first item: the left copy is divided and the right copy repeated, so
+    several tasks share its pairs.
     """
-    large = materialise(
+    large = (
         contents.groupBy("basket")
         .agg(F.count("*").alias("items"))
         .where(F.col("items") > slice_items)
         .select("basket", F.ceil(F.col("items") / slice_items).cast("int").alias("slices"))
     )
     if large.isEmpty():
-        single = contents.withColumn("slice", F.lit(0))
-        return single, single
+        return contents, contents, ["basket"]
+    large = materialise(large)
     sliced = contents.join(broadcast_if_small(large), "basket", "left").fillna(1, ["slices"])
-    return (
-        sliced.withColumn("slice", F.pmod(F.hash("item"), F.col("slices"))).drop("slices"),
-        sliced.withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)"))).drop("slices"),
-    )
+    left = sliced.withColumn("slice", F.pmod(F.hash("item"), F.col("slices")))
+    right = sliced.withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
+    return left, right, ["basket", "slice"]
 
 
-def _renamed(contents: DataFrame, item: str, times: str) -> DataFrame:
-    return contents.select(
-        "basket", "slice", F.col("item").alias(item), F.col("times").alias(times)
-    )
-
-
-def _basket_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    return (
-        _renamed(left, "a", "na")
-        .join(_renamed(right, "b", "nb"), ["basket", "slice"])
-        .where("a < b OR (a = b AND na > 1)")
-    )
+def _basket_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    a = left.select(*keys, F.col("item").alias("a"), F.col("times").alias("na"))
+    b = right.select(*keys, F.col("item").alias("b"), F.col("times").alias("nb"))
+    return a.join(b, keys).where("a < b OR (a = b AND na > 1)")
 
 
 def pair_counts(
-    rows: DataFrame,
+    contents: DataFrame,
     min_count: float,
     items: DataFrame | None = None,
-    positional: bool = True,
     slice_items: int = SLICE_ITEMS,
 ) -> DataFrame:
     """Pairs ``(a, b, n)`` with ``a <= b``, both items frequent, ``n >= min_count``.
@@ -93,30 +94,30 @@ def pair_counts(
     itself. Rows are cut to the frequent ``items`` before any pair is formed.
     """
     if items is None:
-        items = materialise(frequent_items(rows, min_count))
-    contents = materialise(basket_contents(keep_items(rows, items), positional))
-    pairs = _basket_pairs(*_sides(contents, slice_items))
+        items = materialise(frequent_items(contents, min_count))
+    pairs = _basket_pairs(*_sides(keep_items(contents, items), slice_items))
     ways = F.expr("CASE WHEN a = b THEN na * (na - 1) DIV 2 ELSE na * nb END")
     return pairs.groupBy("a", "b").agg(F.sum(ways).alias("n")).where(F.col("n") >= min_count)
 
 
 def triple_counts(
-    rows: DataFrame, min_count: float, positional: bool = True, slice_items: int = SLICE_ITEMS
+    contents: DataFrame, min_count: float, sets: bool = False, slice_items: int = SLICE_ITEMS
 ) -> DataFrame:
     """Triples ``(a, b, c, n)`` with ``a <= b <= c`` and ``n >= min_count``.
 
-    In set baskets a frequent triple has only frequent items and pairs, so both prune.
-    In positional baskets repeats can lift a triple above its items: nothing is pruned.
+    ``sets`` says that the contents are sets. Then a frequent triple has only frequent
+    items and pairs, so both prune. In positional baskets repeats can lift a triple above
+    its items: nothing is pruned.
     """
-    if not positional:
-        rows = keep_items(rows, materialise(frequent_items(rows, min_count)))
-    contents = materialise(basket_contents(rows, positional))
-    left, right = _sides(contents, slice_items)
-    pairs = _basket_pairs(left, right)
-    if not positional:
+    if sets:
+        contents = keep_items(contents, materialise(frequent_items(contents, min_count)))
+    left, right, keys = _sides(contents, slice_items)
+    pairs = _basket_pairs(left, right, keys)
+    if sets:
         known = materialise(pairs.groupBy("a", "b").count().where(F.col("count") >= min_count))
         pairs = pairs.join(broadcast_if_small(known.select("a", "b")), ["a", "b"], "left_semi")
-    triples = pairs.join(_renamed(right, "c", "nc"), ["basket", "slice"]).where(
+    third = right.select(*keys, F.col("item").alias("c"), F.col("times").alias("nc"))
+    triples = pairs.join(third, keys).where(
         "b < c OR (b = c AND (nb > 2 OR (a < b AND nb > 1)))"
     )
     ways = F.expr(
@@ -169,17 +170,9 @@ def triple_confidence(triples: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def basket_sets(rows: DataFrame) -> DataFrame:
-    """``(basket, items)`` with distinct items in order.
-
-    Repeats go in a partial aggregate first: an array is at most the item vocabulary.
-    """
-    return (
-        rows.groupBy("basket", "item")
-        .agg(F.count("*"))
-        .groupBy("basket")
-        .agg(F.sort_array(F.collect_list("item")).alias("items"))
-    )
+def basket_sets(contents: DataFrame) -> DataFrame:
+    """``(basket, items)`` with distinct items in order, at most the item vocabulary."""
+    return contents.groupBy("basket").agg(F.sort_array(F.collect_list("item")).alias("items"))
 
 
 def fp_growth(
@@ -188,3 +181,38 @@ def fp_growth(
     """Fit FP-Growth on ``(basket, items)``. ``partitions`` spreads the conditional trees."""
     growth = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence)
     return (growth.setNumPartitions(partitions) if partitions else growth).fit(baskets)
+
+
+def fp_predict(
+    model: FPGrowthModel, baskets: DataFrame, max_rules: int = MAX_BROADCAST_RULES
+) -> DataFrame:
+    """``baskets`` with a ``prediction``: consequents of the rules that a basket satisfies.
+
+    The model's own ``transform`` holds all rules in memory everywhere, which is the quick
+    way for a counted, moderate number of them. More rules meet the baskets in a join.
+    """
+    rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("consequent"))
+    if rules.limit(max_rules + 1).count() <= max_rules:
+        return model.transform(baskets)
+    rules = materialise(rules.withColumn("rule", F.monotonically_increasing_id()))
+    wanted = rules.select(
+        "rule", "consequent", F.size("antecedent").alias("need"), F.explode("antecedent").alias("item")
+    )
+    present = baskets.select("basket", F.explode("items").alias("item"))
+    satisfied = (
+        present.join(wanted, "item")
+        .groupBy("basket", "rule", "consequent", "need")
+        .agg(F.count("*").alias("found"))
+        .where("found = need")
+        .select("basket", F.col("consequent").alias("item"))
+        .distinct()
+    )
+    added = (
+        satisfied.join(present, ["basket", "item"], "left_anti")
+        .groupBy("basket")
+        .agg(F.collect_list("item").alias("prediction"))
+    )
+    none = F.array().cast(baskets.schema["items"].dataType)
+    return baskets.join(added, "basket", "left").withColumn(
+        "prediction", F.coalesce("prediction", none)
+    )

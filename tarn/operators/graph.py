@@ -44,7 +44,7 @@ def people_you_may_know(
     if hubs:
         candidates = _with_hubs(edges, hubs, seeds, k, list_depth)
     elif seeds is None:
-        candidates = _both_ways(_strangers(_shared(edges), edges))
+        candidates = _both_ways(_strangers(_shared(edges), edges, ordered=True))
     else:
         candidates = _strangers(_shared(edges, seeds), edges)
     return top_k(candidates, ["user"], [F.desc("shared"), "other"], k).select(
@@ -76,16 +76,19 @@ def _shared(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     return pairs.groupBy("user", "other").agg(F.count("*").alias("shared"))
 
 
-def _strangers(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Drop pairs linked in either direction, with one anti-join on the ordered pair."""
+def _strangers(pairs: DataFrame, edges: DataFrame, ordered: bool = False) -> DataFrame:
+    """Drop pairs linked in either direction, with one anti-join on the ordered pair.
+
+    ``ordered`` says that user < other throughout; then the join reuses the partitioning
+    that the pairs have from being counted.
+    """
     linked = edges.select(
         F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high")
     )
-    return pairs.join(
-        linked,
-        (F.least("user", "other") == linked.low) & (F.greatest("user", "other") == linked.high),
-        "left_anti",
-    )
+    low, high = F.col("user"), F.col("other")
+    if not ordered:
+        low, high = F.least(low, high), F.greatest(low, high)
+    return pairs.join(linked, (low == linked.low) & (high == linked.high), "left_anti")
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions.stemming import stem
-from tarn.functions.text import WHITESPACE, first_letter, is_alphabetic
+from tarn.functions.text import WHITESPACE, first_letters
 
 
 def word_rows(lines: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -17,11 +17,13 @@ def word_rows(lines: DataFrame, text: str, *keep: str) -> DataFrame:
 
 
 def letter_counts(lines: DataFrame, text: str = "value") -> DataFrame:
-    """How many purely alphabetic words start with each letter, letters in order."""
+    """How many purely alphabetic words start with each letter, letters in order.
+
+    The letters are matched out of each text directly; no row per word is made.
+    """
     return (
-        word_rows(lines, text)
-        .where(is_alphabetic(F.col("word")))
-        .groupBy(first_letter(F.col("word")).alias("letter"))
+        lines.select(F.explode(first_letters(F.col(text))).alias("letter"))
+        .groupBy(F.lower("letter").alias("letter"))
         .agg(F.count("*").alias("count"))
         .orderBy("letter")
     )

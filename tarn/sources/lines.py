@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.functions.text import WHITESPACE
+from tarn.functions.text import WHITESPACE, words
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,12 +41,9 @@ def basket_items(lines: DataFrame, value: str = "value") -> DataFrame:
 
     Repeated codes stay repeated. The basket id numbers the lines of the scan.
     """
-    return (
-        lines.select(
-            F.monotonically_increasing_id().alias("basket"),
-            F.explode(F.split(value, WHITESPACE)).alias("item"),
-        )
-        .where("item <> ''")
+    numbered = lines.select(F.monotonically_increasing_id().alias("basket"), value)
+    return numbered.select("basket", F.explode(F.split(value, WHITESPACE)).alias("item")).where(
+        "item <> ''"
     )
 
 
@@ -63,10 +60,11 @@ def read_centers(spark: SparkSession, path: str) -> DataFrame:
     """Center file to ``(cluster, center)``; the cluster id is the line number from 0.
 
     The file holds k short lines and is read as one value, because only inside one
-    value is the order of lines certain.
+    value is the order of lines certain. Blank lines do not count.
     """
+    numbered = F.filter(F.split("value", r"\R"), lambda line: F.trim(line) != "")
     return (
         spark.read.text(path, wholetext=True)
-        .select(F.posexplode(F.split(F.trim("value"), r"\s*\n\s*")).alias("cluster", "line"))
-        .select("cluster", vector_from_text(F.col("line")).alias("center"))
+        .select(F.posexplode(numbered).alias("cluster", "line"))
+        .select("cluster", F.transform(words(F.col("line")), lambda x: x.cast("double")).alias("center"))
     )
