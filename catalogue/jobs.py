@@ -363,7 +363,7 @@ def user_year_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_genre_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return up.user_genres(inputs.ratings(spark, sf_dir), _master(spark, sf_dir))
+    return up.user_genres(inputs.ratings(spark, sf_dir), materialise(_master(spark, sf_dir)))
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

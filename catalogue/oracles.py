@@ -342,12 +342,16 @@ ORACLES = {
         FROM rules""",
     "fp_predict": f"""
         WITH {_RULES},
-        full_sets AS (SELECT basket, list(item) AS items FROM sets GROUP BY basket),
-        found AS (SELECT DISTINCT basket, consequent
-                  FROM full_sets JOIN rules ON list_has_all(items, antecedent)
-                  WHERE NOT list_contains(items, consequent))
+        numbered AS (SELECT *, row_number() OVER () AS rule FROM rules),
+        needs AS (SELECT rule, consequent, len(antecedent) AS need, unnest(antecedent) AS item
+                  FROM numbered),
+        satisfied AS (SELECT basket, rule, consequent FROM sets JOIN needs USING (item)
+                      GROUP BY basket, rule, consequent, need HAVING count(*) = need),
+        found AS (SELECT DISTINCT f.basket, consequent
+                  FROM satisfied f LEFT JOIN sets s ON s.basket = f.basket AND s.item = consequent
+                  WHERE s.item IS NULL)
         SELECT basket, coalesce(string_agg(consequent, ' ' ORDER BY consequent), '') AS prediction
-        FROM full_sets LEFT JOIN found USING (basket) GROUP BY basket""",
+        FROM (SELECT DISTINCT basket FROM sets) LEFT JOIN found USING (basket) GROUP BY basket""",
     "kmeans_cost_sq": _cost("sqeuclidean"),
     "kmeans_cost_l1": _cost("manhattan"),
     "kmeans_assign": f"""
