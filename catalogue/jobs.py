@@ -340,11 +340,12 @@ def item_top_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip.item_top_tags(ip.item_tag_counts(inputs.tags(spark, sf_dir)))
 
 
-def _master(spark: SparkSession, sf_dir: str, tag_counts: DataFrame | None = None) -> DataFrame:
-    if tag_counts is None:
-        tag_counts = ip.item_tag_counts(inputs.tags(spark, sf_dir))
-    features = ip.item_features(inputs.items(spark, sf_dir))
-    return ip.item_master(features, inputs.ratings(spark, sf_dir), tag_counts)
+def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ip.item_master(
+        ip.item_features(inputs.items(spark, sf_dir)),
+        inputs.ratings(spark, sf_dir),
+        ip.item_tag_counts(inputs.tags(spark, sf_dir)),
+    )
 
 
 def item_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,9 +368,10 @@ def user_genre_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = inputs.ratings(spark, sf_dir)
+    ratings = materialise(inputs.ratings(spark, sf_dir))
     tag_counts = materialise(ip.item_tag_counts(inputs.tags(spark, sf_dir)))
-    master = materialise(_master(spark, sf_dir, tag_counts))
+    features = ip.item_features(inputs.items(spark, sf_dir))
+    master = materialise(ip.item_master(features, ratings, tag_counts))
     profile = up.user_profile(
         up.user_tags(ratings, tag_counts),
         up.user_years(ratings, master),
