@@ -179,17 +179,12 @@ _SUPPORT = "ceil(CAST(0.003 AS DOUBLE) * (SELECT baskets FROM total))"
 
 _ITEMSETS = f"""
 {_SETS},
-one AS (SELECT item AS a, count(*) AS freq FROM sets GROUP BY 1 HAVING count(*) >= {_SUPPORT}),
-two AS (SELECT x.item AS a, y.item AS b, count(*) AS freq
-        FROM sets x JOIN sets y ON x.basket = y.basket AND x.item < y.item
-        GROUP BY 1, 2 HAVING count(*) >= {_SUPPORT}),
-three AS (SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS freq
-          FROM sets x JOIN sets y ON x.basket = y.basket AND x.item < y.item
-          JOIN sets z ON x.basket = z.basket AND y.item < z.item
-          GROUP BY 1, 2, 3 HAVING count(*) >= {_SUPPORT}),
-itemsets AS (SELECT [a] AS items, freq FROM one
-             UNION ALL SELECT [a, b], freq FROM two
-             UNION ALL SELECT [a, b, c], freq FROM three)"""
+subsets AS (
+    SELECT basket, [item] AS items, item AS last FROM sets
+    UNION ALL
+    SELECT s.basket, list_append(s.items, x.item), x.item
+    FROM subsets s JOIN sets x ON s.basket = x.basket AND x.item > s.last),
+itemsets AS (SELECT items, count(*) AS freq FROM subsets GROUP BY items HAVING count(*) >= {_SUPPORT})"""
 
 _RULES = _ITEMSETS + """,
 splits AS (
@@ -199,7 +194,7 @@ rules AS (
     SELECT s.antecedent, s.consequent, s.freq / i.freq AS confidence,
            (s.freq / i.freq) / (o.freq / (SELECT baskets FROM total)) AS lift,
            s.freq / (SELECT baskets FROM total) AS support
-    FROM splits s JOIN itemsets i ON i.items = s.antecedent JOIN one o ON o.a = s.consequent
+    FROM splits s JOIN itemsets i ON i.items = s.antecedent JOIN itemsets o ON o.items = [s.consequent]
     WHERE s.freq / i.freq >= CAST(0.15 AS DOUBLE))"""
 
 # -- k-means -------------------------------------------------------------------------------
@@ -334,14 +329,14 @@ ORACLES = {
                             string_agg(item, ' ' ORDER BY item) AS items
         FROM sets GROUP BY basket""",
     "fp_itemsets": f"""
-        WITH {_ITEMSETS} SELECT array_to_string(items, ' ') AS items, freq FROM itemsets""",
+        WITH RECURSIVE {_ITEMSETS} SELECT array_to_string(items, ' ') AS items, freq FROM itemsets""",
     "fp_rules": f"""
-        WITH {_RULES} SELECT array_to_string(antecedent, ' ') AS antecedent, consequent,
+        WITH RECURSIVE {_RULES} SELECT array_to_string(antecedent, ' ') AS antecedent, consequent,
                              round(confidence, 6) AS confidence, round(lift, 6) AS lift,
                              round(support, 6) AS support
         FROM rules""",
     "fp_predict": f"""
-        WITH {_RULES},
+        WITH RECURSIVE {_RULES},
         numbered AS (SELECT *, row_number() OVER () AS rule FROM rules),
         needs AS (SELECT rule, consequent, len(antecedent) AS need, unnest(antecedent) AS item
                   FROM numbered),

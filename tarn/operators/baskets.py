@@ -107,10 +107,10 @@ def triple_counts(
 
     ``sets`` says that the contents are sets. Then a frequent triple has only frequent
     items and pairs, so both prune. In positional baskets repeats can lift a triple above
-    its items: nothing is pruned.
+    its items, so an item goes only if all positional triples around it are too few.
     """
-    if sets:
-        contents = keep_items(contents, materialise(frequent_items(contents, min_count)))
+    items = frequent_items(contents, min_count) if sets else _possible_in_triples(contents, min_count)
+    contents = keep_items(contents, materialise(items))
     left, right, keys = _sides(contents, slice_items)
     pairs = _basket_pairs(left, right, keys)
     if sets:
@@ -129,6 +129,23 @@ def triple_counts(
     return triples.groupBy("a", "b", "c").agg(F.sum(ways).alias("n")).where(F.col("n") >= min_count)
 
 
+def _possible_in_triples(contents: DataFrame, min_count: float) -> DataFrame:
+    """Items that take part in at least ``min_count`` positional triples of any kind.
+
+    In a basket of ``size`` positions those are the triples not avoiding the item's
+    positions. The count is an upper bound, in floating point, for each single triple.
+    """
+    sizes = contents.groupBy("basket").agg(F.sum("times").alias("size"))
+    triples = "CAST({0} AS DOUBLE) * ({0} - 1) * ({0} - 2) / 6"
+    around = F.expr(f"{triples.format('size')} - {triples.format('(size - times)')}")
+    return (
+        contents.join(sizes, "basket")
+        .groupBy("item")
+        .agg(F.sum(around).alias("bound"))
+        .where(F.col("bound") * 1.000001 >= min_count)
+    )
+
+
 def pair_confidence(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """``lhs -> rhs`` both ways with ``n(lhs, rhs) / n(lhs)``, best first."""
     rules = pairs.select(

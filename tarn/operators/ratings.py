@@ -9,6 +9,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_BLOCKS = 500
+
 
 def split_name(ts: Column) -> Column:
     """train, validation or test by the last digit of the timestamp: 6 / 2 / 2 of 10."""
@@ -87,10 +89,12 @@ def als(
 ) -> ALSModel:
     """Explicit-feedback ALS; pairs with an unknown user or item drop out of predictions.
 
-    ``blocks`` spreads both factor matrices; it follows the shuffle width by default.
+    ``blocks`` spreads both factor matrices; it follows the shuffle width by default, up to
+    a point, because every pair of blocks exchanges factors.
     """
-    spark = train.sparkSession
-    blocks = blocks or max(10, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if blocks is None:
+        width = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = min(max(width, 10), MAX_BLOCKS)
     learner = ALS(
         rank=rank,
         maxIter=iterations,

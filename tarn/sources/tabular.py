@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType
 
 # JSON has no timestamp type; keep microseconds so that a round trip loses nothing.
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -62,15 +62,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def declare_not_null(df: DataFrame, columns: list[str]) -> StructType:
-    """The schema of ``df`` with ``columns`` declared not nullable, to be used on read.
+def require_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with ``columns`` not nullable in its schema; a null in them fails the job.
 
-    Declaring it at the source keeps the plan intact; rebuilding a frame from its
-    rows for the sake of a flag would send every row through Python.
+    Stays a column expression: rebuilding a frame from its rows to change a flag would
+    send every row through Python.
     """
-    return StructType(
-        [StructField(f.name, f.dataType, f.nullable and f.name not in columns) for f in df.schema]
-    )
+    checked = {}
+    for name in columns:
+        message = F.lit(f"null in column {name}")
+        value = F.when(F.col(name).isNull(), F.raise_error(message)).otherwise(F.col(name))
+        # The second argument is never reached; it tells the schema that no null remains.
+        checked[name] = F.coalesce(value, _some_value(df.schema[name].dataType))
+    return df.withColumns(checked)
+
+
+def _some_value(kind: DataType) -> Column:
+    if isinstance(kind, NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, StringType):
+        return F.lit("")
+    raise TypeError(f"only number and text columns can be required, not {kind.simpleString()}")
 
 
 def string_schema(names: list[str]) -> StructType:

@@ -51,6 +51,14 @@ def test_pairs_and_triples(spark, slice_items, positional):
     assert bk.basket_count(contents) == sum(1 for b in baskets if b)
 
 
+def test_triple_bound_drops_only_hopeless_items(spark):
+    # x is rare but repeats lift (x, x, y) to 6 * 2; z takes part in three triples at most.
+    contents = bk.basket_contents(rows(spark, [list("xxxxyy"), list("abz"), list("abz"), list("zab")]))
+    kept = {r["item"] for r in bk._possible_in_triples(contents, 12).collect()}
+    assert kept == {"x", "y"}
+    assert collected(bk.triple_counts(contents, 12), "a", "b", "c") == {("x", "x", "y"): 12}
+
+
 def test_confidence(spark):
     baskets = [list("ab"), list("ab"), list("ac"), list("abc")]
     contents = bk.basket_contents(rows(spark, baskets))

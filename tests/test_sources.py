@@ -52,9 +52,13 @@ def test_csv(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a, b", 0.5), (2, None, 1.5)], "id long, name string, x double")
     path = str(tmp_path / "csv")
     tb.write_csv(rows, path)
-    schema = tb.declare_not_null(rows, ["id"])
-    assert not schema["id"].nullable and schema["name"].nullable
-    assert sorted(tb.read_csv(spark, path, schema).collect()) == sorted(rows.collect())
+    back = tb.read_csv(spark, path, rows.schema)
+    assert sorted(back.collect()) == sorted(rows.collect())
+    checked = tb.require_not_null(back, ["id", "x"])
+    assert [f.nullable for f in checked.schema] == [False, True, False]
+    assert sorted(checked.collect()) == sorted(rows.collect())
+    with pytest.raises(Exception, match="null in column name"):
+        tb.require_not_null(back, ["name"]).collect()
     assert dict(tb.read_csv_inferred(spark, path).dtypes) == {"id": "int", "name": "string", "x": "double"}
     strings = tb.read_csv_strings(spark, path)
     assert strings.schema == tb.string_schema(["id", "name", "x"])
