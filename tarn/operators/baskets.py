@@ -54,22 +54,25 @@ def keep_items(contents: DataFrame, items: DataFrame) -> DataFrame:
     return contents.join(broadcast_if_small(items.select("item")), "item", "left_semi")
 
 
-def _sides(contents: DataFrame, slice_items: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Two copies of ``contents`` and the keys to join them on.
-
-    Normally the key is the basket. A basket of more than ``slice_items`` items is cut into
-    slices by its first item: the left copy is divided and the right copy repeated, so
-    several tasks share its pairs.
-    """
+def _large_baskets(contents: DataFrame, slice_items: int) -> DataFrame | None:
+    """``(basket, slices)`` of baskets with more than ``slice_items`` items, if there are any."""
     large = (
         contents.groupBy("basket")
         .agg(F.count("*").alias("items"))
         .where(F.col("items") > slice_items)
         .select("basket", F.ceil(F.col("items") / slice_items).cast("int").alias("slices"))
     )
-    if large.isEmpty():
+    return None if large.isEmpty() else materialise(large)
+
+
+def _sides(contents: DataFrame, large: DataFrame | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Two copies of ``contents`` and the keys to join them on.
+
+    Normally the key is the basket. A large basket is cut into slices by its first item:
+    the left copy is divided and the right copy repeated, so several tasks share its pairs.
+    """
+    if large is None:
         return contents, contents, ["basket"]
-    large = materialise(large)
     sliced = contents.join(broadcast_if_small(large), "basket", "left").fillna(1, ["slices"])
     left = sliced.withColumn("slice", F.pmod(F.hash("item"), F.col("slices")))
     right = sliced.withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
@@ -82,6 +85,17 @@ def _basket_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFra
     return a.join(b, keys).where("a < b OR (a = b AND na > 1)")
 
 
+def _weighed(pairs: DataFrame) -> DataFrame:
+    """Pairs of one basket with the number of positions they occur at."""
+    return pairs.selectExpr(
+        "a", "b", "CASE WHEN a = b THEN na * (na - 1) DIV 2 ELSE na * nb END AS n"
+    )
+
+
+def _summed(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
 def pair_counts(
     contents: DataFrame,
     min_count: float,
@@ -95,9 +109,59 @@ def pair_counts(
     """
     if items is None:
         items = materialise(frequent_items(contents, min_count))
-    pairs = _basket_pairs(*_sides(keep_items(contents, items), slice_items))
-    ways = F.expr("CASE WHEN a = b THEN na * (na - 1) DIV 2 ELSE na * nb END")
-    return pairs.groupBy("a", "b").agg(F.sum(ways).alias("n")).where(F.col("n") >= min_count)
+    contents = keep_items(contents, items)
+    large = _large_baskets(contents, slice_items)
+    if large is None:
+        pairs = _weighed(_basket_pairs(contents, contents, ["basket"]))
+    else:
+        pairs = _pairs_around_large_baskets(contents, large, min_count)
+    return _summed(pairs).where(F.col("n") >= min_count)
+
+
+def _pairs_around_large_baskets(
+    contents: DataFrame, large: DataFrame, min_count: float
+) -> DataFrame:
+    """Weighed pairs, leaving out those of large baskets that cannot reach ``min_count``.
+
+    To any pair of an item, the large baskets add at most the item's ``reach``: its
+    occurrences there times the most frequent item of the same basket. So
+
+    * only items whose reach alone is enough are paired up inside large baskets;
+    * of the other pairs, those that the remaining baskets bring near enough to
+      ``min_count`` are looked up in the large baskets one by one.
+
+    In set baskets an item's reach is the number of large baskets that hold it, and as a
+    rule nothing is paired up inside them at all.
+    """
+    names = broadcast_if_small(large.select("basket"))
+    inside = materialise(contents.join(names, "basket", "left_semi"))
+    elsewhere = contents.join(names, "basket", "left_anti")
+    outside = materialise(_summed(_weighed(_basket_pairs(elsewhere, elsewhere, ["basket"]))))
+
+    peaks = materialise(inside.groupBy("basket").agg(F.max("times").alias("peak")))
+    reach = materialise(
+        inside.join(broadcast_if_small(peaks), "basket")
+        .groupBy("item")
+        .agg(F.sum(F.col("times").cast("double") * F.col("peak")).alias("reach"))
+    )
+    strong = keep_items(inside, reach.where(F.col("reach") >= min_count))
+    among_strong = _weighed(_basket_pairs(*_sides(strong, large)))
+
+    near = (
+        outside.join(reach.select(F.col("item").alias("a"), F.col("reach").alias("reach_a")), "a")
+        .join(reach.select(F.col("item").alias("b"), F.col("reach").alias("reach_b")), "b")
+        .withColumn("reach", F.least("reach_a", "reach_b"))
+        .where((F.col("reach") < min_count) & (F.col("n") + F.col("reach") >= min_count))
+        .select("a", "b")
+    )
+    looked_up = _weighed(
+        near.join(inside.select("basket", F.col("item").alias("a"), F.col("times").alias("na")), "a")
+        .join(
+            inside.select("basket", F.col("item").alias("b"), F.col("times").alias("nb")),
+            ["basket", "b"],
+        )
+    )
+    return outside.unionByName(among_strong).unionByName(looked_up)
 
 
 def triple_counts(
@@ -111,7 +175,7 @@ def triple_counts(
     """
     items = frequent_items(contents, min_count) if sets else _possible_in_triples(contents, min_count)
     contents = keep_items(contents, materialise(items))
-    left, right, keys = _sides(contents, slice_items)
+    left, right, keys = _sides(contents, _large_baskets(contents, slice_items))
     pairs = _basket_pairs(left, right, keys)
     if sets:
         known = materialise(pairs.groupBy("a", "b").count().where(F.col("count") >= min_count))

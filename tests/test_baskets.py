@@ -32,7 +32,7 @@ def collected(frame, *keys):
     return result
 
 
-@pytest.mark.parametrize("slice_items", [2000, 3, 1])
+@pytest.mark.parametrize("slice_items", [2000, 5, 3, 1])
 @pytest.mark.parametrize("positional", [True, False])
 def test_pairs_and_triples(spark, slice_items, positional):
     baskets = make_baskets(7)
@@ -51,6 +51,22 @@ def test_pairs_and_triples(spark, slice_items, positional):
     assert bk.basket_count(contents) == sum(1 for b in baskets if b)
 
 
+@pytest.mark.parametrize("positional", [True, False])
+@pytest.mark.parametrize("least", [2, 4, 9, 30])
+def test_one_basket_with_a_third_of_all_rows(spark, positional, least):
+    """Pairs met only in the large basket, only elsewhere, and in both."""
+    letters = "abcdefghijklmnop"
+    huge = list(letters) * 2 + list("aaaabbb")
+    baskets = [huge] + make_baskets(11, n=30, items=letters[:10], longest=5)[:30]
+    contents = bk.basket_contents(rows(spark, baskets), positional)
+    if not positional:
+        baskets = [sorted(set(b)) for b in baskets]
+    items = {k[0] for k in counted(baskets, 1, least)}
+    expected = {k: n for k, n in counted(baskets, 2, least).items() if set(k) <= items}
+    found = bk.pair_counts(contents, least, slice_items=6)
+    assert collected(found, "a", "b") == expected
+
+
 def test_triple_bound_drops_only_hopeless_items(spark):
     # x is rare but repeats lift (x, x, y) to 6 * 2; z takes part in three triples at most.
     contents = bk.basket_contents(rows(spark, [list("xxxxyy"), list("abz"), list("abz"), list("zab")]))
