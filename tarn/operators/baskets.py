@@ -79,89 +79,124 @@ def _sides(contents: DataFrame, large: DataFrame | None) -> tuple[DataFrame, Dat
     return left, right, ["basket", "slice"]
 
 
-def _basket_pairs(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    a = left.select(*keys, F.col("item").alias("a"), F.col("times").alias("na"))
-    b = right.select(*keys, F.col("item").alias("b"), F.col("times").alias("nb"))
-    return a.join(b, keys).where("a < b OR (a = b AND na > 1)")
+# Ways to pick positions for an ordered pair or triple of items from their multiplicities.
+_WAYS = {
+    2: "CASE WHEN a = b THEN na * (na - 1) DIV 2 ELSE na * nb END",
+    3: """CASE WHEN a < b AND b < c THEN na * nb * nc
+               WHEN a < b THEN na * (nb * (nb - 1) DIV 2)
+               WHEN b < c THEN (na * (na - 1) DIV 2) * nc
+               ELSE na * (na - 1) * (na - 2) DIV 6 END""",
+}
+_NAMES = {2: ["a", "b"], 3: ["a", "b", "c"]}
 
 
-def _weighed(pairs: DataFrame) -> DataFrame:
-    """Pairs of one basket with the number of positions they occur at."""
-    return pairs.selectExpr(
-        "a", "b", "CASE WHEN a = b THEN na * (na - 1) DIV 2 ELSE na * nb END AS n"
-    )
+def _as(contents: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """``contents`` as the item ``name`` of a combination: columns name and n<name>."""
+    return contents.select(*keys, F.col("item").alias(name), F.col("times").alias(f"n{name}"))
 
 
-def _summed(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+def _weighed(combinations: DataFrame, size: int) -> DataFrame:
+    """Combinations of one basket with the number of position sets they occur at."""
+    return combinations.selectExpr(*_NAMES[size], f"{_WAYS[size]} AS n").where("n > 0")
 
 
-def pair_counts(
-    contents: DataFrame,
-    min_count: float,
-    items: DataFrame | None = None,
-    slice_items: int = SLICE_ITEMS,
+def _summed(weighed: DataFrame, size: int) -> DataFrame:
+    return weighed.groupBy(*_NAMES[size]).agg(F.sum("n").alias("n"))
+
+
+def _formed(
+    contents: DataFrame, size: int, large: DataFrame | None = None, pairs: DataFrame | None = None
 ) -> DataFrame:
-    """Pairs ``(a, b, n)`` with ``a <= b``, both items frequent, ``n >= min_count``.
+    """All weighed combinations of ``size`` items in each basket, items in order.
 
-    Positional baskets count every pair of positions, so a repeated item pairs with
-    itself. Rows are cut to the frequent ``items`` before any pair is formed.
+    ``pairs`` lists the first two items that a triple may have.
     """
-    if items is None:
-        items = materialise(frequent_items(contents, min_count))
-    contents = keep_items(contents, items)
+    left, right, keys = _sides(contents, large)
+    found = _as(left, "a", keys).join(_as(right, "b", keys), keys)
+    found = found.where("a < b OR (a = b AND na > 1)")
+    if size == 3:
+        if pairs is not None:
+            found = found.join(broadcast_if_small(pairs.select("a", "b")), ["a", "b"], "left_semi")
+        found = found.join(_as(right, "c", keys), keys).where("b <= c")
+    return _weighed(found, size)
+
+
+def _counted(
+    contents: DataFrame,
+    size: int,
+    min_count: float,
+    slice_items: int,
+    pairs: DataFrame | None = None,
+) -> DataFrame:
+    """Combinations with their counts, those of at least ``min_count``."""
     large = _large_baskets(contents, slice_items)
     if large is None:
-        pairs = _weighed(_basket_pairs(contents, contents, ["basket"]))
+        weighed = _formed(contents, size, pairs=pairs)
     else:
-        pairs = _pairs_around_large_baskets(contents, large, min_count)
-    return _summed(pairs).where(F.col("n") >= min_count)
+        weighed = _around_large_baskets(contents, size, min_count, large, pairs)
+    return _summed(weighed, size).where(F.col("n") >= min_count)
 
 
-def _pairs_around_large_baskets(
-    contents: DataFrame, large: DataFrame, min_count: float
+def _around_large_baskets(
+    contents: DataFrame, size: int, min_count: float, large: DataFrame, pairs: DataFrame | None
 ) -> DataFrame:
-    """Weighed pairs, leaving out those of large baskets that cannot reach ``min_count``.
+    """Weighed combinations, less those of large baskets that cannot reach ``min_count``.
 
-    To any pair of an item, the large baskets add at most the item's ``reach``: its
-    occurrences there times the most frequent item of the same basket. So
+    To any combination of an item, the large baskets add at most the item's ``reach``: its
+    occurrences there, times the most frequent item of the same basket for each further
+    item. So
 
-    * only items whose reach alone is enough are paired up inside large baskets;
-    * of the other pairs, those that the remaining baskets bring near enough to
+    * only items whose reach alone is enough are combined inside large baskets;
+    * of the other combinations, those that the remaining baskets bring near enough to
       ``min_count`` are looked up in the large baskets one by one.
 
     In set baskets an item's reach is the number of large baskets that hold it, and as a
-    rule nothing is paired up inside them at all.
+    rule nothing is combined inside them at all.
     """
-    names = broadcast_if_small(large.select("basket"))
-    inside = materialise(contents.join(names, "basket", "left_semi"))
-    elsewhere = contents.join(names, "basket", "left_anti")
-    outside = materialise(_summed(_weighed(_basket_pairs(elsewhere, elsewhere, ["basket"]))))
-
-    peaks = materialise(inside.groupBy("basket").agg(F.max("times").alias("peak")))
+    names = _NAMES[size]
+    hot = broadcast_if_small(large.select("basket"))
+    inside = materialise(contents.join(hot, "basket", "left_semi"))
+    elsewhere = contents.join(hot, "basket", "left_anti")
+    outside = materialise(_summed(_formed(elsewhere, size, pairs=pairs), size))
+
+    peaks = materialise(inside.groupBy("basket").agg(F.max("times").cast("double").alias("peak")))
+    most = F.col("times") * F.pow("peak", F.lit(size - 1))
     reach = materialise(
         inside.join(broadcast_if_small(peaks), "basket")
         .groupBy("item")
-        .agg(F.sum(F.col("times").cast("double") * F.col("peak")).alias("reach"))
+        .agg((F.sum(most) * 1.000001).alias("reach"))
     )
     strong = keep_items(inside, reach.where(F.col("reach") >= min_count))
-    among_strong = _weighed(_basket_pairs(*_sides(strong, large)))
+    among_strong = _formed(strong, size, large, pairs)
 
+    near = outside
+    for name in names:
+        near = near.join(reach.toDF(name, f"reach_{name}"), name)
     near = (
-        outside.join(reach.select(F.col("item").alias("a"), F.col("reach").alias("reach_a")), "a")
-        .join(reach.select(F.col("item").alias("b"), F.col("reach").alias("reach_b")), "b")
-        .withColumn("reach", F.least("reach_a", "reach_b"))
+        near.withColumn("reach", F.least(*[f"reach_{name}" for name in names]))
         .where((F.col("reach") < min_count) & (F.col("n") + F.col("reach") >= min_count))
-        .select("a", "b")
-    )
-    looked_up = _weighed(
-        near.join(inside.select("basket", F.col("item").alias("a"), F.col("times").alias("na")), "a")
-        .join(
-            inside.select("basket", F.col("item").alias("b"), F.col("times").alias("nb")),
-            ["basket", "b"],
-        )
+        .select(*names)
     )
-    return outside.unionByName(among_strong).unionByName(looked_up)
+    found = near.join(_as(inside, "a", ["basket"]), "a")
+    for name in names[1:]:
+        found = found.join(_as(inside, name, ["basket"]), ["basket", name])
+    return outside.unionByName(among_strong).unionByName(_weighed(found, size))
+
+
+def pair_counts(
+    contents: DataFrame,
+    min_count: float,
+    items: DataFrame | None = None,
+    slice_items: int = SLICE_ITEMS,
+) -> DataFrame:
+    """Pairs ``(a, b, n)`` with ``a <= b``, both items frequent, ``n >= min_count``.
+
+    Positional baskets count every pair of positions, so a repeated item pairs with
+    itself. Rows are cut to the frequent ``items`` before any pair is formed.
+    """
+    if items is None:
+        items = materialise(frequent_items(contents, min_count))
+    return _counted(keep_items(contents, items), 2, min_count, slice_items)
 
 
 def triple_counts(
@@ -173,24 +208,13 @@ def triple_counts(
     items and pairs, so both prune. In positional baskets repeats can lift a triple above
     its items, so an item goes only if all positional triples around it are too few.
     """
-    items = frequent_items(contents, min_count) if sets else _possible_in_triples(contents, min_count)
-    contents = keep_items(contents, materialise(items))
-    left, right, keys = _sides(contents, _large_baskets(contents, slice_items))
-    pairs = _basket_pairs(left, right, keys)
     if sets:
-        known = materialise(pairs.groupBy("a", "b").count().where(F.col("count") >= min_count))
-        pairs = pairs.join(broadcast_if_small(known.select("a", "b")), ["a", "b"], "left_semi")
-    third = right.select(*keys, F.col("item").alias("c"), F.col("times").alias("nc"))
-    triples = pairs.join(third, keys).where(
-        "b < c OR (b = c AND (nb > 2 OR (a < b AND nb > 1)))"
-    )
-    ways = F.expr(
-        """CASE WHEN a < b AND b < c THEN na * nb * nc
-                WHEN a < b THEN na * (nb * (nb - 1) DIV 2)
-                WHEN b < c THEN (na * (na - 1) DIV 2) * nc
-                ELSE na * (na - 1) * (na - 2) DIV 6 END"""
-    )
-    return triples.groupBy("a", "b", "c").agg(F.sum(ways).alias("n")).where(F.col("n") >= min_count)
+        items = materialise(frequent_items(contents, min_count))
+        pairs = materialise(pair_counts(contents, min_count, items, slice_items))
+    else:
+        items = materialise(_possible_in_triples(contents, min_count))
+        pairs = None
+    return _counted(keep_items(contents, items), 3, min_count, slice_items, pairs)
 
 
 def _possible_in_triples(contents: DataFrame, min_count: float) -> DataFrame:
