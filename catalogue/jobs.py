@@ -162,6 +162,13 @@ def pymk_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people_you_may_know(inputs.edges(spark, sf_dir))
 
 
+def pymk_most_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the ten users with most distinct links only, as given seeds."""
+    edges = materialise(inputs.edges(spark, sf_dir).distinct())
+    linked = count_by(edges, "src").orderBy(F.desc("n"), "src").limit(10)
+    return people_you_may_know(edges, linked.select(F.col("src").alias("user")))
+
+
 def _contents(spark: SparkSession, sf_dir: str, positional: bool = True) -> DataFrame:
     return bk.basket_contents(inputs.basket_rows(spark, sf_dir), positional)
 
@@ -455,6 +462,7 @@ JOBS = {
     "stem_tags": stem_tags,
     "tf_cosine_turns": tf_cosine_turns,
     "pymk_topk": pymk_topk,
+    "pymk_most_linked": pymk_most_linked,
     "item_support": item_support,
     "pair_support": pair_support,
     "pair_support_sets": pair_support_sets,

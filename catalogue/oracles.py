@@ -234,6 +234,22 @@ def _cost(metric: str) -> str:
     return f"{_lloyd(metric)} {rounds}"
 
 
+
+def _neighbours(users: str) -> str:
+    return f"""
+        WITH edges AS (SELECT DISTINCT o_custkey AS src, l_partkey AS dst
+                       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+        shared AS (SELECT x.src AS "user", y.src AS other, count(*) AS shared
+                   FROM {users} x JOIN edges y ON x.dst = y.dst AND x.src <> y.src
+                   GROUP BY 1, 2)
+        SELECT "user", CAST(rank AS INTEGER) AS rank, other, shared
+        FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY shared DESC, other) AS rank
+              FROM shared s
+              WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.src = s."user" AND e.dst = s.other)
+                AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.src = s.other AND e.dst = s."user"))
+        WHERE rank <= 10"""
+
+
 ORACLES = {
     "group_count": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "group_count_sql": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
@@ -288,18 +304,11 @@ ORACLES = {
         LEFT JOIN dots d ON d.conv_id = a.conv_id AND d.turn = a.turn
         LEFT JOIN norms n ON n.conv_id = a.conv_id AND n.turn = a.turn
         LEFT JOIN norms m ON m.conv_id = b.conv_id AND m.turn = b.turn""",
-    "pymk_topk": """
-        WITH edges AS (SELECT DISTINCT o_custkey AS src, l_partkey AS dst
-                       FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-        shared AS (SELECT x.src AS "user", y.src AS other, count(*) AS shared
-                   FROM edges x JOIN edges y ON x.dst = y.dst AND x.src <> y.src
-                   GROUP BY 1, 2)
-        SELECT "user", CAST(rank AS INTEGER) AS rank, other, shared
-        FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY shared DESC, other) AS rank
-              FROM shared s
-              WHERE NOT EXISTS (SELECT 1 FROM edges e WHERE e.src = s."user" AND e.dst = s.other)
-                AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.src = s.other AND e.dst = s."user"))
-        WHERE rank <= 10""",
+    "pymk_topk": _neighbours("edges"),
+    "pymk_most_linked": _neighbours(
+        "(SELECT * FROM edges WHERE src IN (SELECT src FROM edges GROUP BY src "
+        "ORDER BY count(*) DESC, src LIMIT 10))"
+    ),
     "item_support": f"WITH {_LINES}, {_items(0.02)} SELECT item, n FROM items",
     "pair_support": f"WITH {_LINES}, {_items(0.02)}, {_pairs(0.02)} SELECT * FROM pairs",
     "pair_support_sets": f"""

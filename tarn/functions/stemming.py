@@ -7,7 +7,6 @@ jobs call it only after equal tokens have been counted together.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -137,7 +136,6 @@ def _final_e_and_ll(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=100_000)
 def stem_word(word: str) -> str:
     word = word.lower()
     if word in IRREGULAR:
