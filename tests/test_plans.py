@@ -15,8 +15,17 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture(params=["10MB", "-1"], ids=["small", "large"])
+def broadcast_limit(request, spark):
+    """Join choices for small tables, and for tables too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("name", [n for n in queries() if not n.startswith(("als", "kmeans", "pca", "fp"))])
-def test_no_cross_joins(spark, name):
+def test_no_cross_joins(spark, broadcast_limit, name):
     text = plan(queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
