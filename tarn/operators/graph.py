@@ -7,15 +7,17 @@ largest targets ("hubs") are taken out and counted another way, without loss:
 * over ordinary targets, pairs come from an equi-join on the target;
 * over the at most ``MAX_HUBS`` hubs, a node is described by a bit mask of the hubs it
   points to, and two masks give the shared count at once. Candidates that share only hubs
-  with a user come from one ranked list per mask, long enough to outlast the entries that
-  the user must skip (itself and its friends).
+  with a user come from one ranked list per mask, read far enough to outlast the entries
+  that the user must skip (itself and its friends). So a user costs its own number of
+  friends, not the size of the hub. Users with more friends than a list is long, at most
+  2 * edges / LIST_DEPTH, look through the hubs' nodes directly.
 
 Both parts are exact for any choice of hubs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.relational import top_k
@@ -23,7 +25,11 @@ from tarn.session import materialise
 
 MAX_HUBS = 8
 HUB_DEGREE = 10_000
-LIST_DEPTH = 1_000
+LIST_DEPTH = 100_000
+# The head of each list goes to all executors: at most 255 masks times this many short rows.
+LIST_HEAD = 1_000
+# Tasks among which the nodes of one mask are cut down before they are ranked together.
+LIST_PARTS = 64
 
 
 def people_you_may_know(
@@ -32,6 +38,7 @@ def people_you_may_know(
     k: int = 10,
     hub_degree: int = HUB_DEGREE,
     list_depth: int = LIST_DEPTH,
+    list_head: int = LIST_HEAD,
 ) -> DataFrame:
     """``(user, rank, other, shared)``: per user the ``k`` best strangers.
 
@@ -42,7 +49,7 @@ def people_you_may_know(
     edges = materialise(edges.select("src", "dst").dropna().distinct())
     hubs = _hubs(edges, hub_degree)
     if hubs:
-        candidates = _with_hubs(edges, hubs, seeds, k, list_depth)
+        candidates = _with_hubs(edges, hubs, seeds, k, list_depth, min(list_head, LIST_HEAD))
     elif seeds is None:
         candidates = _both_ways(_strangers(_shared(edges), edges, ordered=True))
     else:
@@ -100,7 +107,7 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 
 def _with_hubs(
-    edges: DataFrame, hubs: list, seeds: DataFrame | None, k: int, list_depth: int
+    edges: DataFrame, hubs: list, seeds: DataFrame | None, k: int, list_depth: int, list_head: int
 ) -> DataFrame:
     to_hub = F.col("dst").isin(hubs)
     bit = F.array_position(F.array(*map(F.lit, hubs)), F.col("dst")).cast("int") - 1
@@ -135,16 +142,15 @@ def _with_hubs(
     )
     if seeds is not None:
         users = users.join(seeds.select("user").distinct(), "user", "left_semi")
-    lists = _ranked_lists(masks, len(hubs), list_depth)
-    if list_depth <= LIST_DEPTH:
-        lists = F.broadcast(lists)  # at most 255 masks times LIST_DEPTH short rows
-    from_lists = (
-        users.where(F.col("entries") <= list_depth)
-        .select("user", "mask", F.explode(F.expr("sequence(1, int(entries))")).alias("rank"))
-        .join(lists, ["mask", "rank"])
-        .select("user", "other", "shared")
+    lists = materialise(_ranked_lists(masks, len(hubs), list_depth))
+    listed = users.where(F.col("entries") <= list_depth)
+    from_heads = _entries(listed, 1, F.least("entries", F.lit(list_head))).join(
+        F.broadcast(lists.where(F.col("rank") <= list_head)), ["mask", "rank"]
     )
-    # The few users with more friends than a list is long look at the hubs' nodes directly.
+    from_tails = _entries(
+        listed.where(F.col("entries") > list_head), list_head + 1, F.col("entries")
+    ).join(lists.where(F.col("rank") > list_head), ["mask", "rank"])
+    from_lists = from_heads.unionByName(from_tails).select("user", "other", "shared")
     well_linked = users.where(F.col("entries") > list_depth).select("user")
     direct = _shared(edges.where(to_hub), well_linked)
 
@@ -158,12 +164,20 @@ def _with_hubs(
     return _strangers(candidates, edges)
 
 
+def _entries(users: DataFrame, first: int, last: Column) -> DataFrame:
+    """One row per user and list position from ``first`` to ``last``."""
+    positions = F.sequence(F.lit(first), last.cast("int"))
+    return users.select("user", "mask", F.explode(positions).alias("rank"))
+
+
 def _ranked_lists(masks: DataFrame, hubs: int, depth: int) -> DataFrame:
     """Per mask the ``depth`` nodes that share most hubs with it: (mask, rank, other, shared).
 
     There are fewer than 2**MAX_HUBS masks, so this is at most 255 lists.
     """
-    members = top_k(masks, ["mask"], ["node"], depth, rank="place").select(
+    parts = masks.withColumn("part", F.pmod(F.hash("node"), F.lit(LIST_PARTS)))
+    fewer = top_k(parts, ["mask", "part"], ["node"], depth, rank="place")
+    members = top_k(fewer, ["mask"], ["node"], depth, rank="place").select(
         F.col("mask").alias("other_mask"), F.col("node").alias("other")
     )
     bits = F.filter(

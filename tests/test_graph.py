@@ -44,13 +44,14 @@ def run(spark, edges, seeds=None, **options):
 
 
 # hub_degree 0 makes hubs of the eight largest targets; list_depth 12 sends most users past
-# the ranked lists, 40 only some, 1000 none.
-@pytest.mark.parametrize("seed,hub_degree,list_depth", [
-    (1, 10**6, 1000), (1, 10, 1000), (1, 10, 12), (2, 0, 1000), (2, 0, 20), (3, 20, 40), (3, 5, 25),
+# the ranked lists, 40 only some, 1000 none; list_head parts the lists in two.
+@pytest.mark.parametrize("seed,hub_degree,list_depth,list_head", [
+    (1, 10**6, 1000, 1000), (1, 10, 1000, 15), (1, 10, 12, 5), (2, 0, 1000, 1000), (2, 0, 20, 16),
+    (3, 20, 40, 1), (3, 5, 25, 25),
 ])
-def test_all_users(spark, seed, hub_degree, list_depth):
+def test_all_users(spark, seed, hub_degree, list_depth, list_head):
     edges = skewed_graph(seed)
-    got = run(spark, edges, hub_degree=hub_degree, list_depth=list_depth)
+    got = run(spark, edges, hub_degree=hub_degree, list_depth=list_depth, list_head=list_head)
     assert got == brute_force(edges)
 
 
