@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import mixing, sql
+from tarn.llm import mixing, quality, sql
 from tarn.sources.tables import read_table
 
 
@@ -16,8 +16,13 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 LLM_JOBS = {
     "op3_mixing": op3_mixing,
+    "op5_quality": op5_quality,
 }
 
 LLM_ORACLES = {
