@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import mixing, quality, sql
+from tarn.llm import mixing, quality, simhash, sql
 from tarn.sources.tables import read_table
 
 
@@ -20,9 +20,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir))
+
+
 LLM_JOBS = {
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
+    "op8_simhash": op8_simhash,
 }
 
 LLM_ORACLES = {
