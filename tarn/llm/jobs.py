@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import mixing, quality, simhash, sql
+from tarn.llm import decontamination, mixing, quality, simhash, sql
 from tarn.sources.tables import read_table
 
 
@@ -20,6 +20,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "first_word", "last_word")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -27,6 +32,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_JOBS = {
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
+    "op6_decontamination": op6_decontamination,
     "op8_simhash": op8_simhash,
 }
 
