@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, mixing, quality, simhash, sql
+from tarn.llm import decontamination, mixing, quality, simhash, sql, tokens
+from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
 
@@ -29,11 +31,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the documents' ids to the shared folder and describe what the files hold."""
+    path = scratch_path(spark, "tokens")
+    tokens.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.checksums(tokens.read_tokens(spark, path))
+
+
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(spark, _documents(spark, sf_dir))
+
+
 LLM_JOBS = {
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op8_simhash": op8_simhash,
+    "op10_tokens": op10_tokens,
 }
 
 LLM_ORACLES = {
