@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, mixing, quality, simhash, sql, tokens
+from tarn.llm import decontamination, mixing, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -31,6 +31,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_documents(spark, sf_dir)))
+
+
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write the documents' ids to the shared folder and describe what the files hold."""
     path = scratch_path(spark, "tokens")
@@ -47,6 +51,7 @@ LLM_JOBS = {
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op8_simhash": op8_simhash,
+    "op9_secrets": op9_secrets,
     "op10_tokens": op10_tokens,
 }
 
