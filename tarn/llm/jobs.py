@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, mixing, quality, secrets, simhash, sql, tokens
+from tarn.llm import decontamination, mixing, privacy, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -27,6 +27,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "score", "first_word", "last_word")
 
 
+def op7_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.digest(privacy.reveal(_documents(spark, sf_dir)))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -50,6 +54,7 @@ LLM_JOBS = {
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_privacy": op7_privacy,
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_tokens": op10_tokens,
