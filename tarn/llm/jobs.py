@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, mixing, privacy, quality, secrets, simhash, sql, tokens
+from tarn.llm import decontamination, licenses, mixing, privacy, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -14,6 +14,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_JOBS = {
+    "op1_licenses": op1_licenses,
     "op3_mixing": op3_mixing,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
@@ -61,5 +66,6 @@ LLM_JOBS = {
 }
 
 LLM_ORACLES = {
+    "op1_licenses": sql.LICENSES,
     "op3_mixing": sql.MIXING,
 }

@@ -38,3 +38,49 @@ SELECT s.doc_id, s.size, b.source_size, b.target,
 FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source
 JOIN taken t ON s.source IS NOT DISTINCT FROM t.source AND s.place = t.place
 """
+
+LICENSES = r"""
+WITH templates(id, label, text) AS (VALUES
+  (1, 'mit', 'released under the mit license'),
+  (2, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction'),
+  (3, 'apache-2', 'licensed under the apache license version 2 0'),
+  (4, 'apache-2', 'you may not use this file except in compliance with the license you may obtain a copy of the license at'),
+  (5, 'gpl-3', 'this work is licensed under the gnu general public license version 3'),
+  (6, 'cc-by-nc', 'licensed under cc by nc 4 0'),
+  (7, 'cc-by-sa', 'licensed under cc by sa 4 0'),
+  (8, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  (9, 'mpl-2', 'this source code form is subject to the terms of the mozilla public license v 2 0')
+), tokens AS (
+  SELECT id, label, token, count(*) OVER (PARTITION BY id) AS t,
+    CASE WHEN n <= 8 THEN 8 WHEN n <= 16 THEN 16 ELSE 32 END AS step
+  FROM (SELECT DISTINCT id, label, len(string_split(text, ' ')) AS n, unnest(string_split(text, ' ')) AS token FROM templates)
+), docs AS (
+  SELECT row_number() OVER () AS row_, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), words AS (
+  SELECT row_, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM docs
+), phrases(label, parts) AS (VALUES
+  ('mit', ['under', 'the', 'mit', 'license']), ('apache-2', ['apache', 'license', 'version', '2']), ('cc-by-nc', ['cc', 'by', 'nc'])
+), base AS (
+  SELECT w.row_, w.pos, p.label FROM words w JOIN phrases p ON w.word = p.parts[1]
+  JOIN docs d ON d.row_ = w.row_ WHERE d.words[w.pos + 1 : w.pos + len(p.parts)] = p.parts
+), base_by AS (
+  SELECT row_, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY row_
+), placed AS (
+  SELECT w.row_, t.id, t.label, t.t, t.token, unnest(CASE WHEN w.pos < t.step THEN [0] ELSE [w.pos // t.step, w.pos // t.step - 1] END) AS block
+  FROM words w JOIN tokens t ON w.word = t.token
+), blocks AS (
+  SELECT row_, id, label, block, count(DISTINCT token) / CAST(any_value(t) AS DOUBLE) AS containment
+  FROM placed GROUP BY row_, id, label, block HAVING count(DISTINCT token) >= ceil(any_value(t) * 0.9 - 1e-9)
+), found AS (
+  SELECT row_, list(DISTINCT label) AS labels, max(containment) AS best, count(*) AS n FROM blocks GROUP BY row_
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+  CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+  CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(f.best, 0.0::DOUBLE) END AS score,
+  CAST(coalesce(f.n, 0) AS BIGINT) AS n_blocks
+FROM docs d LEFT JOIN base_by b USING (row_) LEFT JOIN found f USING (row_)
+"""
