@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, licenses, mixing, privacy, quality, secrets, simhash, sql, tokens
+from tarn.llm import decontamination, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -22,6 +22,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.summary(_documents(spark, sf_dir))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
@@ -57,6 +61,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_JOBS = {
     "op1_licenses": op1_licenses,
     "op3_mixing": op3_mixing,
+    "op4_lines": op4_lines,
     "op5_quality": op5_quality,
     "op6_decontamination": op6_decontamination,
     "op7_privacy": op7_privacy,
@@ -68,4 +73,5 @@ LLM_JOBS = {
 LLM_ORACLES = {
     "op1_licenses": sql.LICENSES,
     "op3_mixing": sql.MIXING,
+    "op4_lines": sql.LINES,
 }

@@ -84,3 +84,42 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0)
   CAST(coalesce(f.n, 0) AS BIGINT) AS n_blocks
 FROM docs d LEFT JOIN base_by b USING (row_) LEFT JOIN found f USING (row_)
 """
+
+LINES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), cut AS (
+  SELECT row_, doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS no FROM docs
+), lines AS (
+  SELECT row_, doc_id, no, regexp_extract_all(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM cut WHERE regexp_matches(part, '[^\x20\x09-\x0D]')
+), uniq AS (
+  SELECT words, len(words) AS n, min({'d': doc_id, 'l': no}) AS first_ FROM lines GROUP BY words
+), cuts AS (
+  SELECT words, n, first_, unnest(range(n)) AS i FROM uniq WHERE n >= 10
+), variants AS (
+  SELECT words, n, first_, i, list_concat(words[1 : i], words[i + 2 : n]) AS rest FROM cuts
+), changed AS (
+  SELECT v.words, min(o.first_) AS other FROM variants v
+  JOIN (SELECT rest, i, min(first_) AS first_ FROM variants GROUP BY rest, i) o ON v.rest = o.rest AND v.i = o.i
+  WHERE o.first_ < v.first_ GROUP BY v.words
+), shorter AS (
+  SELECT v.words, min(u.first_) AS other FROM variants v JOIN uniq u ON v.rest = u.words AND u.n >= 10
+  WHERE u.first_ < v.first_ GROUP BY v.words
+), longer AS (
+  SELECT u.words, min(v.first_) AS other FROM variants v JOIN uniq u ON v.rest = u.words AND u.n >= 10
+  WHERE v.first_ < u.first_ GROUP BY u.words
+), near_ AS (
+  SELECT DISTINCT words FROM (SELECT words FROM changed UNION ALL SELECT words FROM shorter UNION ALL SELECT words FROM longer)
+), judged AS (
+  SELECT l.row_, l.no, {'d': l.doc_id, 'l': l.no} <> u.first_ AS exact, nr.words IS NOT NULL AS close
+  FROM lines l JOIN uniq u ON l.words = u.words LEFT JOIN near_ nr ON l.words = nr.words
+), by_doc AS (
+  SELECT row_, count(*) AS n, count(*) FILTER (exact) AS n_exact, count(*) FILTER (NOT exact AND close) AS n_near,
+    coalesce(array_to_string(list_sort(list(no) FILTER (exact OR close)), ','), '') AS removed
+  FROM judged GROUP BY row_
+)
+SELECT d.doc_id, CAST(coalesce(b.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(b.n_exact, 0) AS BIGINT) AS n_exact,
+  CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near, coalesce(b.removed, '') AS removed
+FROM docs d LEFT JOIN by_doc b USING (row_)
+"""
