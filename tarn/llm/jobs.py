@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
+from tarn.llm import decontamination, katz, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -18,6 +18,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_documents(spark, sf_dir))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(_documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -60,6 +64,7 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_JOBS = {
     "op1_licenses": op1_licenses,
+    "op2_katz": op2_katz,
     "op3_mixing": op3_mixing,
     "op4_lines": op4_lines,
     "op5_quality": op5_quality,
