@@ -15,8 +15,11 @@ an empty table gives files without rows; other columns, whatever their names, ar
 from __future__ import annotations
 
 import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,35 @@ END = 0
 #: Rows between two entries of the row index.
 INDEX_ROWS = 1000
 STRIPE_BYTES = 16 << 20
-#: Distinct pieces of text that a worker remembers with their ids.
-MEMORY = 1 << 19
+#: Distinct pieces of text that a worker remembers with their ids, and that it encodes at a time.
+MEMORY = 600_000
+AT_ONCE = 4096
 
 #: A space between two characters that are no white space always begins a new token.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-DOUBLE = re.compile(r"\s\s|^\s|\s$")
+MARK = "\0"
+#: Letters, then marks: two tokens' worth of a word in every version of the Unicode tables.
+PLAIN = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]*)([.,!?;:|#$%&*]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable ones for themselves, the others
+    the letters from 256 on in their order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+class Pieces(dict):
+    """Piece -> its number; a piece not seen before gets the next one and waits in ``new``."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
 
 
 class Encoder:
@@ -40,6 +66,11 @@ class Encoder:
 
     Byte-level BPE never joins characters across the beginning of a word: cut before each single
     space, the pieces' ids in order are the text's ids. Most pieces repeat, so each is encoded once.
+    New pieces go to the tokenizer in one text with a zero character between them: no merge takes
+    that character in, and behind it a piece's leading space begins a new token as it does anywhere.
+    Pieces without that leading space (``MARK`` in their key), with such a character or with white
+    space at their end are encoded on their own. Most words are letters and a mark or two, which
+    need no splitting by the tokenizer; those go to its merges at once.
     """
 
     def __init__(self, path: str):
@@ -47,36 +78,97 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text their names are ordinary text
-        self.numbers: dict[str, int] = {}
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.letters = byte_letters()
+        self.numbers = Pieces()
         self.ids = np.zeros(0, dtype=np.int32)
-        self.starts = np.zeros(1, dtype=np.int64)
-
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.numbers]
-        if len(self.numbers) + len(new) > MEMORY:
-            self.numbers.clear()
-            self.ids, self.starts = self.ids[:0], self.starts[:1]
-            new = list(dict.fromkeys(pieces))
-        coded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        self.numbers.update(zip(new, range(len(self.numbers), len(self.numbers) + len(new))))
+        # by a piece's number: where its ids begin, how many, how often it was used, and whether it
+        # shows a space that is no cut
+        self.first, self.size, self.used = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        self.spaced = np.zeros(0, dtype=bool)
+
+    def _forget(self) -> None:
+        """Keep what was used more than once, at most half of the memory, the most used first."""
+        keep = np.flatnonzero(self.used > 1)
+        if len(keep) > MEMORY // 2:
+            keep = np.sort(keep[np.argsort(-self.used[keep], kind="stable")[: MEMORY // 2]])
+        names = list(self.numbers)
+        self.numbers = Pieces()
+        self.numbers.update((names[n], k) for k, n in enumerate(keep.tolist()))
+        first, self.size = self.first[keep], self.size[keep]
+        ends = np.cumsum(self.size)
+        self.ids = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - self.size), self.size)]
+        self.first, self.used, self.spaced = ends - self.size, np.zeros(len(keep), dtype=np.int64), self.spaced[keep]
+
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+        return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(sizes.sum())), sizes
+
+    def _word(self, text: str) -> list[int]:
+        """The ids of one whole unit of the tokenizer's first split, straight from its merges."""
+        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+
+    def _plain(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of letters and marks, which fall into units without asking the tokenizer."""
+        known: dict[str, list[int]] = {}
+        coded = []
+        for piece in pieces:
+            word, marks = PLAIN.fullmatch(piece).groups()
+            units = [" " + word, marks] if word and marks else [" " + piece]
+            ids = []
+            for unit in units:
+                if unit not in known:
+                    known[unit] = self._word(unit)
+                ids += known[unit]
+            coded.append(ids)
         sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-        self.ids = np.concatenate((self.ids, np.fromiter((i for c in coded for i in c), dtype=np.int32, count=int(sizes.sum()))))
+        return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(sizes.sum())), sizes
+
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, _ = self._alone([" " + f"{MARK} ".join(pieces)])
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) != len(pieces) - 1:
+            return self._alone([" " + p for p in pieces])
+        return np.delete(ids, marks), np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1
+
+    def _learn(self) -> None:
+        new, self.numbers.new = self.numbers.new, []
+        first, size = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
+        bare = [p.strip() is p for p in new]  # no white space at either end; a key's MARK is none
+        easy = np.array([b and p != "" and MARK not in p for p, b in zip(new, bare)], dtype=bool)
+        parts, known = [self.ids], len(self.ids)
+        plain = np.array([PLAIN.fullmatch(p) is not None for p in new], dtype=bool) & easy
+        for which, encode in ((plain, self._plain), (easy & ~plain, self._together), (~easy, self._alone)):
+            places = np.flatnonzero(which)
+            for at in range(0, len(places), AT_ONCE):
+                part = places[at : at + AT_ONCE]
+                pieces = [new[n] for n in part.tolist()]
+                if encode == self._alone:
+                    pieces = [p[1:] if p.startswith(MARK) else " " + p for p in pieces]
+                ids, size[part] = encode(pieces)
+                first[part] = known + np.cumsum(size[part]) - size[part]
+                parts.append(ids)
+                known += len(ids)
+        spaced = np.array([not b or p in ("", MARK) for p, b in zip(new, bare)], dtype=bool)
+        self.ids = np.concatenate(parts)
+        self.first, self.size = np.append(self.first, first), np.append(self.size, size)
+        self.spaced = np.append(self.spaced, spaced)
+        self.used = np.append(self.used, np.zeros(len(new), dtype=np.int64))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, each text followed by the end id; and their sizes."""
-        pieces: list[str] = []
-        counts = np.zeros(len(texts), dtype=np.int64)
-        for k, text in enumerate(texts):
-            text = text or ""
-            parts = CUT.split(text) if DOUBLE.search(text) else text.split(" ")
-            if text:
-                pieces.append(parts[0])
-                pieces.extend([" " + part for part in parts[1:]])
-                counts[k] = len(parts)
-        self._learn(pieces)
-        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        first, sizes = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        if len(self.numbers) > MEMORY:
+            self._forget()
+        cut = [(text.split(" ") if text else []) for text in texts]
+        numbers, counts = self._numbered(cut)
+        # where white space stands beside a space, only spaces inside words' borders are cuts
+        spaced = np.repeat(np.arange(len(texts)), counts)[self.spaced[numbers]]
+        if len(spaced):
+            for k in set(spaced.tolist()):
+                cut[k] = CUT.split(texts[k])
+            numbers, counts = self._numbered(cut)
+        first, sizes = self.first[numbers], self.size[numbers]
         ends = np.cumsum(sizes)
         flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
         # one end id behind the last piece of each text
@@ -84,12 +176,33 @@ class Encoder:
         ids = np.insert(self.ids[flat], last, END).astype(np.int32)
         return ids, np.diff(np.concatenate(([0], last))) + 1
 
+    def _numbered(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        pieces: list[str] = []
+        for parts in cut:
+            if parts:
+                pieces.append(MARK + parts[0])
+                pieces += parts[1:]
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        self._learn()
+        self.used += np.bincount(numbers, minlength=len(self.used))
+        return numbers, counts
+
+
+def worker_encoder(path: str) -> Encoder:
+    """One encoder a worker process, for all its tasks. The library's functions travel to the
+    workers by value, so it is kept under a name of its own among the loaded modules."""
+    kept = sys.modules.setdefault("tarn_worker_memory", types.ModuleType("tarn_worker_memory"))
+    if getattr(kept, "encoder_path", None) != path:
+        kept.encoder, kept.encoder_path = Encoder(path), path
+    return kept.encoder
+
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     """Write ``docs`` to ``path/ids`` and ``path/manifest``. ``tokenizer`` is a file on every machine."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = Encoder(tokenizer), 0
+        encoder, before = worker_encoder(tokenizer), 0
         for batch in batches:
             # a few rows at a time: a worker holds no more than about two million characters
             texts = batch.column("text").to_pylist()

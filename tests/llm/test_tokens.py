@@ -57,7 +57,7 @@ def test_against_the_tokenizer(spark, tokenizer):
 def test_forgets_without_error(spark, tokenizer, monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY", 50)
     encoder = tokens.Encoder(PATH)
-    for text in ("one two three " * 30, " ".join(map(str, range(80))), "one two " * 40):
+    for text in ("one two three " * 30, " ".join(map(str, range(80))), "one two " * 40, "four one " * 70):
         assert encoder.encode([text])[0].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
