@@ -23,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ STRIPE_BYTES = 16 << 20
 #: Distinct pieces of text that a worker remembers with their ids, and that it encodes at a time.
 MEMORY = 600_000
 AT_ONCE = 4096
+#: Characters of texts encoded at a time; a longer text is encoded alone.
+AT_ONCE_CHARS = 8_000_000
 
 #: A space between two characters that are no white space always begins a new token.
 CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -156,18 +159,30 @@ class Encoder:
         self.spaced = np.append(self.spaced, spaced)
         self.used = np.append(self.used, np.zeros(len(new), dtype=np.int64))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, each text followed by the end id; and their sizes."""
         if len(self.numbers) > MEMORY:
             self._forget()
-        cut = [(text.split(" ") if text else []) for text in texts]
-        numbers, counts = self._numbered(cut)
-        # where white space stands beside a space, only spaces inside words' borders are cuts
-        spaced = np.repeat(np.arange(len(texts)), counts)[self.spaced[numbers]]
-        if len(spaced):
-            for k in set(spaced.tolist()):
-                cut[k] = CUT.split(texts[k])
-            numbers, counts = self._numbered(cut)
+        texts = pc.fill_null(pa.array(texts, pa.large_string()), "")
+        cut = pc.split_pattern(texts, " ")
+        counts = cut.value_lengths().to_numpy().astype(np.int64)
+        pieces = cut.flatten()
+        coded = pieces.dictionary_encode()
+        numbers = self._numbered(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        starts = np.cumsum(counts) - counts
+        numbers[starts] = self._numbered([MARK + p for p in pieces.take(pa.array(starts)).to_pylist()])
+        # where white space stands beside a space, only spaces between words are cuts
+        row = np.repeat(np.arange(len(texts)), counts)
+        spaced = np.unique(row[self.spaced[numbers]])
+        spaced = [k for k in spaced.tolist() if texts[k].as_py()]
+        if spaced:
+            parts = np.split(numbers, starts[1:])
+            for k in spaced:
+                first, *others = CUT.split(texts[k].as_py())
+                parts[k] = self._numbered([MARK + first, *others])
+                counts[k] = len(parts[k])
+            numbers = np.concatenate(parts)
+        self.used += np.bincount(numbers, minlength=len(self.used))
         first, sizes = self.first[numbers], self.size[numbers]
         ends = np.cumsum(sizes)
         flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)
@@ -176,17 +191,10 @@ class Encoder:
         ids = np.insert(self.ids[flat], last, END).astype(np.int32)
         return ids, np.diff(np.concatenate(([0], last))) + 1
 
-    def _numbered(self, cut: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
-        pieces: list[str] = []
-        for parts in cut:
-            if parts:
-                pieces.append(MARK + parts[0])
-                pieces += parts[1:]
+    def _numbered(self, pieces: list[str]) -> np.ndarray:
         numbers = np.fromiter(map(self.numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         self._learn()
-        self.used += np.bincount(numbers, minlength=len(self.used))
-        return numbers, counts
+        return numbers
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -204,15 +212,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = worker_encoder(tokenizer), 0
         for batch in batches:
-            # a few rows at a time: a worker holds no more than about two million characters
-            texts = batch.column("text").to_pylist()
+            # a few rows at a time: a worker holds no more than some million characters
+            texts = batch.column("text")
+            chars = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
             at = 0
             while at < len(texts):
-                stop, chars = at, 0
-                while stop < len(texts) and (stop == at or chars < 2_000_000):
-                    chars += len(texts[stop] or "")
-                    stop += 1
-                ids, sizes = encoder.encode(texts[at:stop])
+                stop = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + AT_ONCE_CHARS, side="right")))
+                ids, sizes = encoder.encode(texts.slice(at, stop - at))
                 ends = np.cumsum(sizes)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
