@@ -4,25 +4,74 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    DataType,
+    DatetimeType,
+    MapType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+# JSON has no timestamp type; keep microseconds, and the zone where there is one, so that a round
+# trip loses nothing.
+TIMESTAMP_FORMATS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
+# How the CSV pair tells values apart: null is \N, an empty text is "", quotes are doubled, white
+# space stays. A text that reads \N, \\N and so on gets one more backslash in the file.
+NULL = "\\N"
+CSV_FORMAT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": NULL,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _text_columns(schema: StructType) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, StringType)]
 
-# JSON has no timestamp type; keep microseconds so that a round trip loses nothing.
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write with a header what :func:`read_csv` reads back without loss."""
+    marked = {name: F.regexp_replace(F.col(name), r"^(\\+N)$", r"\\$1") for name in _text_columns(df.schema)}
+    df.withColumns(marked).write.mode("overwrite").options(emptyValue='""', **CSV_FORMAT).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV with a header and a declared schema: one pass over the data."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True, mode: str = "FAILFAST"
+) -> DataFrame:
+    """What :func:`write_csv` wrote, with its schema: one pass over the data.
+
+    A value that does not fit its type fails the job; ``mode='PERMISSIVE'`` makes it null,
+    ``'DROPMALFORMED'`` leaves the row out. Texts may hold line breaks, so a file is read by one
+    task; where none does, ``multi_line=False`` splits large files.
+    """
+    reader = spark.read.schema(schema).options(
+        emptyValue="", enforceSchema=False, multiLine=multi_line, mode=mode, **CSV_FORMAT
+    )
+    rows = reader.csv(path)
+    plain = {name: F.regexp_replace(F.col(name), r"^\\(\\+N)$", "$1") for name in _text_columns(rows.schema)}
+    return rows.withColumns(plain)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header and inferred types. Costs a second full pass; for exploration only."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+    return spark.read.options(**CSV_FORMAT).csv(path, inferSchema=True)
 
 
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, every column a string; cast with :func:`typed`."""
-    return spark.read.csv(path, header=True)
+    return spark.read.options(**CSV_FORMAT).csv(path)
 
 
 def typed(df: DataFrame, types: dict[str, str], malformed: str = "fail") -> DataFrame:
@@ -42,7 +91,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str | None =
     Without a schema Spark reads everything twice to infer one. A single .gz file
     is one task: follow it with ``repartition`` before heavy work.
     """
-    reader = spark.read.option("timestampNTZFormat", TIMESTAMP_FORMAT)
+    reader = spark.read.options(**TIMESTAMP_FORMATS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
@@ -53,15 +102,11 @@ def write_json(df: DataFrame, path: str, compression: str = "none") -> None:
     (
         df.write.mode("overwrite")
         .option("compression", compression)
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        .options(**TIMESTAMP_FORMATS)
         .json(path)
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
-
-
 def require_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` with ``columns`` not nullable in its schema; a null in them fails the job.
 
@@ -78,11 +123,22 @@ def require_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _some_value(kind: DataType) -> Column:
+    """Any value of a type that is not null."""
     if isinstance(kind, NumericType):
         return F.lit(0).cast(kind)
-    if isinstance(kind, StringType):
-        return F.lit("")
-    raise TypeError(f"only number and text columns can be required, not {kind.simpleString()}")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.lit("").cast(kind)
+    if isinstance(kind, BooleanType):
+        return F.lit(False)
+    if isinstance(kind, DatetimeType):
+        return F.expr(f"{kind.typeName()}'1970-01-01'")
+    if isinstance(kind, ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, MapType):
+        return F.create_map().cast(kind)
+    if isinstance(kind, StructType):
+        return F.struct(*[_some_value(f.dataType).alias(f.name) for f in kind]).cast(kind)
+    raise TypeError(f"columns of type {kind.simpleString()} cannot be required")
 
 
 def string_schema(names: list[str]) -> StructType:

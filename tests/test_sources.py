@@ -3,6 +3,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from tarn.operators.relational import broadcast_if_small
 from tarn.session import materialise, scratch_path, shared_dir
@@ -102,3 +103,36 @@ def test_broadcast_and_spread_depend_on_size(spark):
     assert hinted(broadcast_if_small(frame)) and not hinted(broadcast_if_small(frame, 100))
     assert spread(frame).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(frame, max_bytes=10) is frame
+
+
+def test_csv_loses_nothing(spark, tmp_path):
+    texts = ["  padded  ", "", None, "two\nlines", "a\r\nb", "cr\rend", 'say "hi", "', '"', "\\N", "\\\\N", "\\", ",", "\t", "é x", "N", "\\n"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, name string")
+    path = str(tmp_path / "csv")
+    tb.write_csv(rows, path)
+    assert sorted(tb.read_csv(spark, path, rows.schema).collect()) == sorted(rows.collect())
+    with pytest.raises(Exception, match="MALFORMED|cannot parse|FAILFAST|NumberFormat"):
+        tb.read_csv(spark, path, "id bigint, name bigint").collect()
+    lenient = tb.read_csv(spark, path, "id bigint, name bigint", mode="PERMISSIVE")
+    assert lenient.count() == len(texts)
+
+
+def test_json_keeps_microseconds(spark, tmp_path):
+    rows = spark.sql("SELECT TIMESTAMP'2024-02-03 04:05:06.123456' AS a, TIMESTAMP_NTZ'2024-02-03 04:05:06.654321' AS b")
+    path = str(tmp_path / "json")
+    tb.write_json(rows, path)
+    assert tb.read_json(spark, path, rows.schema).collect() == rows.collect()
+
+
+def test_required_columns_of_any_type(spark):
+    rows = spark.sql(
+        "SELECT DATE'2024-01-01' AS d, TIMESTAMP'2024-01-01 00:00:00' AS t, true AS b, array(1, 2) AS l,"
+        " map('k', 1) AS m, named_struct('x', 1, 'y', 'z') AS s, X'00' AS r, current_timestamp()::timestamp_ntz AS n"
+    )
+    names = rows.columns
+    optional = rows.select(*[F.when(F.rand() < 2, F.col(c)).alias(c) for c in names])
+    checked = tb.require_not_null(optional, names)
+    assert [f.name for f in checked.schema if f.nullable] == []
+    assert checked.select("d", "b", "l", "s").collect() == rows.select("d", "b", "l", "s").collect()
+    with pytest.raises(Exception, match="null in column b"):
+        tb.require_not_null(optional.withColumn("b", F.when(F.rand() > 2, F.col("b"))), ["b"]).collect()
