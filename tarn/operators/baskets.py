@@ -85,7 +85,8 @@ _WAYS = {
     3: """CASE WHEN a < b AND b < c THEN na * nb * nc
                WHEN a < b THEN na * (nb * (nb - 1) DIV 2)
                WHEN b < c THEN (na * (na - 1) DIV 2) * nc
-               ELSE na * (na - 1) * (na - 2) DIV 6 END""",
+               WHEN (na * (na - 1) DIV 2) % 3 = 0 THEN (na * (na - 1) DIV 6) * (na - 2)
+               ELSE (na * (na - 1) DIV 2) * ((na - 2) DIV 3) END""",
 }
 _NAMES = {2: ["a", "b"], 3: ["a", "b", "c"]}
 
@@ -321,3 +322,8 @@ def fp_predict(
     return baskets.join(added, "basket", "left").withColumn(
         "prediction", F.coalesce("prediction", none)
     )
+
+
+def with_names(rows: DataFrame, items: DataFrame, key: str, name: str) -> DataFrame:
+    """Basket rows with the item's name in place of its code; codes without a name drop out."""
+    return rows.join(items.select(F.col(key).alias("item"), F.col(name).alias("name")), "item").select("basket", "name")

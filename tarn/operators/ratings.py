@@ -5,11 +5,16 @@ Ratings are rows ``(user, item, rating, ts)``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCKS = 500
+from tarn.session import materialise
+
+#: Ids are numbered within so many hash groups.
+ID_GROUPS = 1024
 
 
 def split_name(ts: Column) -> Column:
@@ -25,13 +30,13 @@ def with_split(ratings: DataFrame) -> DataFrame:
 
 
 def train_union(ratings: DataFrame, user: DataFrame) -> DataFrame:
-    """Training rows plus every rating of ``user`` (one row), duplicates kept.
+    """Training rows plus every rating of the users in ``user``, duplicates kept.
 
-    The user's rows from all buckets join the training set, so those in the training
+    The users' rows from all buckets join the training set, so those in the training
     buckets count twice and the others leak from validation and test, by design.
     """
     train = ratings.where(split_name(F.col("ts")) == "train")
-    return train.unionByName(ratings.join(F.broadcast(user.limit(1)), "user", "left_semi"))
+    return train.unionByName(ratings.join(user, "user", "left_semi"))
 
 
 def most_active_user(ratings: DataFrame) -> DataFrame:
@@ -46,8 +51,7 @@ def most_active_user(ratings: DataFrame) -> DataFrame:
 
 
 def unseen_items(items: DataFrame, ratings: DataFrame, user: DataFrame) -> DataFrame:
-    """``(user, item)`` for every item that ``user`` (one row) has not rated."""
-    user = F.broadcast(user.limit(1))
+    """``(user, item)`` for every item that ``user`` has not rated; more than one user fails the job."""
     seen = ratings.join(user, "user", "left_semi").select("item").distinct()
     rest = items.select("item").join(seen, "item", "left_anti")
     return rest.select(user.select("user").scalar().alias("user"), "item")
@@ -73,60 +77,86 @@ def rmse(
     return sums.select("matched", F.sqrt(F.try_divide(F.col("squares"), n)).alias("rmse"))
 
 
+def rmse_by(predictions: DataFrame, truth: DataFrame, group: str) -> DataFrame:
+    """``(group, matched, rmse)`` of each group of ``truth``, in one pass; divides by all its rows."""
+    scored = truth.join(predictions.select("user", "item", "prediction"), ["user", "item"], "left")
+    sums = scored.groupBy(group).agg(
+        F.count("prediction").alias("matched"),
+        F.sum(F.pow(F.col("prediction") - F.col("rating"), 2)).alias("squares"),
+        F.count("*").alias("n"),
+    )
+    return sums.select(group, "matched", F.sqrt(F.col("squares") / F.col("n")).alias("rmse"))
+
+
 def item_mean_predictions(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """Predict each pair by the item's mean training rating; unknown items drop out."""
     means = train.groupBy("item").agg(F.avg("rating").alias("prediction"))
     return pairs.select("user", "item").distinct().join(means, "item")
 
 
+@dataclass(frozen=True)
+class RatingModel:
+    """A fitted model and the numbers it knows users and items by."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def numbered(rows: DataFrame, column: str) -> DataFrame:
+    """Each value of ``column`` with an integer of its own, ``<column>_no``.
+
+    Values are counted within hash groups, which many tasks do side by side; the numbers are
+    dense but for the groups' difference in size.
+    """
+    group = F.pmod(F.xxhash64(column), F.lit(ID_GROUPS))
+    place = F.row_number().over(Window.partitionBy("_group").orderBy(column)) - 1
+    found = rows.select(column).where(F.col(column).isNotNull()).distinct().withColumn("_group", group)
+    return materialise(found.select(column, (place * ID_GROUPS + F.col("_group")).cast("int").alias(f"{column}_no")))
+
+
 def als(
     train: DataFrame,
     rank: int = 2,
     iterations: int = 5,
     regularisation: float = 0.01,
-    blocks: int | None = None,
+    blocks: int = 10,
     seed: int = 1,
-) -> ALSModel:
-    """Explicit-feedback ALS; pairs with an unknown user or item drop out of predictions.
+) -> RatingModel:
+    """Explicit-feedback ALS on ids of any type; the result depends on the arguments alone.
 
-    ``blocks`` spreads both factor matrices; it follows the shuffle width by default, up to
-    a point, because every pair of blocks exchanges factors.
+    Pairs with an unknown user or item drop out of predictions. ``blocks`` spreads both factor
+    matrices and is part of the model: take about two per core for data of many gigabytes.
     """
-    if blocks is None:
-        width = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocks = min(max(width, 10), MAX_BLOCKS)
+    users, items = numbered(train, "user"), numbered(train, "item")
     learner = ALS(
         rank=rank,
         maxIter=iterations,
         regParam=regularisation,
         numUserBlocks=blocks,
         numItemBlocks=blocks,
-        userCol="user",
-        itemCol="item",
+        userCol="user_no",
+        itemCol="item_no",
         ratingCol="rating",
         coldStartStrategy="drop",
         seed=seed,
     )
-    return learner.fit(als_rows(train))
-
-
-def als_rows(rows: DataFrame) -> DataFrame:
-    """Ids as the integers that ALS works on; an id out of range fails the job."""
-    return rows.withColumns({"user": F.col("user").cast("int"), "item": F.col("item").cast("int")})
+    return RatingModel(learner.fit(train.join(users, "user").join(items, "item")), users, items)
 
 
-def als_predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    return model.transform(als_rows(pairs.select("user", "item").distinct()))
+def als_predict(fitted: RatingModel, pairs: DataFrame) -> DataFrame:
+    """``(user, item, prediction)`` of every different pair whose user and item were in training."""
+    known = pairs.select("user", "item").distinct().join(fitted.users, "user").join(fitted.items, "item")
+    return fitted.model.transform(known).select("user", "item", "prediction")
 
 
 def recommend_unseen(
-    model: ALSModel, items: DataFrame, ratings: DataFrame, user: DataFrame
+    fitted: RatingModel, items: DataFrame, ratings: DataFrame, user: DataFrame
 ) -> DataFrame:
     """Unseen items of one user with title and predicted rating, best first."""
-    scored = als_predict(model, unseen_items(items, ratings, user))
-    titles = items.select(F.col("item").cast("int").alias("item"), "title")
+    scored = als_predict(fitted, unseen_items(items, ratings, user))
     return (
-        scored.join(titles, "item")
+        scored.join(items.select("item", "title"), "item")
         .select("user", "item", "title", "prediction")
         .orderBy(F.desc("prediction"), "item")
     )

@@ -119,3 +119,10 @@ def test_predictions_by_join_equal_the_model(spark):
 
     by_join = result(bk.fp_predict(model, sets, max_rules=0))
     assert by_join == result(bk.fp_predict(model, sets)) and any(p for _, p in by_join.values())
+
+
+def test_an_item_repeated_millions_of_times(spark):
+    n = 3_000_000
+    contents = spark.createDataFrame([(1, "a", n)], "basket bigint, item string, times bigint")
+    weighed = contents.selectExpr("item AS a", "item AS b", "item AS c", "times AS na", "times AS nb", "times AS nc")
+    assert bk._weighed(weighed, 3).first().n == n * (n - 1) * (n - 2) // 6

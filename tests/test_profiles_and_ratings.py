@@ -125,3 +125,26 @@ def test_als_recovers_planted_factors(spark):
     assert {r["item"] for r in best} == {0, 1, 2, 3, 4}
     assert [r.prediction for r in best] == sorted((r.prediction for r in best), reverse=True)
     assert best[0].title == f"t{best[0]['item']}"
+
+
+def test_als_depends_on_its_arguments_only(spark):
+    """Ids beyond 31 bits, and the same model whatever the shuffle width."""
+    big = 2**40
+    rows = [(big + u, f"i{i}", 1.0 + (u * i) % 5, u + i) for u in range(30) for i in range(20)]
+    ratings = spark.createDataFrame(rows, "user bigint, item string, rating double, ts bigint")
+    before, scores = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for width in ("4", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+        predicted = rt.als_predict(rt.als(ratings), ratings)
+        scores.append(rt.rmse(predicted, ratings).first().rmse)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert round(scores[0], 9) == round(scores[1], 9)
+
+
+def test_all_given_users_join_the_training_set(spark):
+    ratings = spark.createDataFrame([(u, 1, 3.0, 8) for u in (1, 2, 3)], "user bigint, item bigint, rating double, ts bigint")
+    users = spark.createDataFrame([(1,), (3,)], "user bigint")
+    assert sorted(r.user for r in rt.train_union(ratings, users).collect()) == [1, 3]
+    items = spark.createDataFrame([(1,), (2,)], "item bigint")
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        rt.unseen_items(items, ratings, users).collect()
