@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ PAIR_SHARE = 0.02
 TRIPLE_SHARE = 0.003
 MIN_SUPPORT = 0.003
 MIN_CONFIDENCE = 0.15
-ROUNDS = 3
+ROUNDS = 20
 
 
 # -- counting and joining ------------------------------------------------------------------
@@ -97,6 +98,31 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.require_not_null(back, ["p_partkey", "p_name", "p_size", "p_retailprice"])
 
 
+def csv_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and white space through a CSV file."""
+    documents = read_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents-csv")
+    tb.write_csv(documents, path)
+    return tb.read_csv(spark, path, documents.schema)
+
+
+def json_timestamp_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instants with a zone, through a JSON file, to the microsecond."""
+    events = read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    events = events.withColumn("ts", F.expr("ts + make_dt_interval(0, 0, 0, event_id % 1000000 / 1000000)"))
+    path = scratch_path(spark, "instants-json")
+    tb.write_json(events, path)
+    back = tb.read_json(spark, path, events.schema)
+    return back.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"))
+
+
+def string_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A number compared with a column of texts, as read from a CSV file without a schema."""
+    path = scratch_path(spark, "supplier-csv")
+    tb.write_csv(read_table(spark, sf_dir, "supplier"), path)
+    return tb.read_csv_strings(spark, path).where("s_nationkey = 1").select("s_suppkey", "s_name", "s_nationkey")
+
+
 def csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-csv")
     tb.write_csv(read_table(spark, sf_dir, "part"), path)
@@ -252,6 +278,12 @@ def fp_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def basket_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Basket rows with the names of their items, repeats kept."""
+    lines = read_table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS basket", "l_partkey AS item")
+    return bk.with_names(lines, read_table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
 # -- clusters ------------------------------------------------------------------------------
 
 
@@ -290,6 +322,15 @@ def kmeans_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def features_assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four number columns gathered into one vector, and its parts read back."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    vectors = cl.assemble(lines.select("l_orderkey", "l_linenumber", *columns), columns)
+    parts = vectors.select("l_orderkey", "l_linenumber", F.posexplode(vector_to_array("features")).alias("i", "x"))
+    return parts.groupBy("i").agg(F.count("*").alias("n"), F.round(F.sum("x"), 2).alias("total"))
+
+
 def silhouette_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = cl.silhouette(cl.as_vectors(inputs.points(spark, sf_dir)), cluster="label")
     return spark.createDataFrame([(round(score, 6),)], "silhouette double")
@@ -429,12 +470,23 @@ def als_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, split, _ = _als(spark, sf_dir)
-    scores = []
-    for name in ("validation", "test"):
-        truth = split.where(F.col("split") == name)
-        scored = rt.rmse(rt.als_predict(model, truth), truth, "all")
-        scores.append(scored.select(F.lit(name).alias("split"), "matched", "rmse"))
-    return scores[0].unionByName(scores[1])
+    truth = split.where("split <> 'train'")
+    return rt.rmse_by(rt.als_predict(model, truth), truth, "split")
+
+
+def als_matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each split whose user and item the model knows."""
+    return als_rmse(spark, sf_dir).select("split", "matched")
+
+
+def als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The different validation pairs that get a prediction."""
+    return als_predict(spark, sf_dir).select("user", "item")
+
+
+def als_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items recommended, without the model's numbers."""
+    return als_recommend(spark, sf_dir).select("user", "item", "title")
 
 
 def als_recommend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,6 +504,9 @@ JOBS = {
     "join_group_count_sql": join_group_count_sql,
     "json_roundtrip": json_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "csv_text_roundtrip": csv_text_roundtrip,
+    "json_timestamp_roundtrip": json_timestamp_roundtrip,
+    "string_key_filter": string_key_filter,
     "csv_infer": csv_infer,
     "csv_strings": csv_strings,
     "adjacency_parse": adjacency_parse,
@@ -471,6 +526,7 @@ JOBS = {
     "triple_support_sets": triple_support_sets,
     "triple_confidence": triple_confidence,
     "baskets": baskets,
+    "basket_names": basket_names,
     "fp_itemsets": fp_itemsets,
     "fp_rules": fp_rules,
     "fp_predict": fp_predict,
@@ -478,6 +534,7 @@ JOBS = {
     "kmeans_cost_l1": kmeans_cost_l1,
     "kmeans_assign": kmeans_assign,
     "kmeans_centers": kmeans_centers,
+    "features_assembled": features_assembled,
     "silhouette_by_label": silhouette_by_label,
     "cluster_accuracy": cluster_accuracy,
     "kmeans_ml": kmeans_ml,
@@ -497,5 +554,8 @@ JOBS = {
     "unseen_items": unseen_items,
     "als_predict": als_predict,
     "als_rmse": als_rmse,
+    "als_matched": als_matched,
+    "als_predict_pairs": als_predict_pairs,
+    "als_candidates": als_candidates,
     "als_recommend": als_recommend,
 }

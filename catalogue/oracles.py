@@ -204,12 +204,13 @@ p AS (SELECT vec_id, label, CAST(label >= 5 AS INTEGER) AS truth,
              generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
       FROM embeddings)"""
 
+ROUNDS = 20
 _DISTANCE = {"sqeuclidean": "(p.x - c.x) * (p.x - c.x)", "manhattan": "abs(p.x - c.x)"}
 
 
 def _assignment(name: str, centers: str, metric: str) -> str:
     return f"""
-{name} AS (
+{name} AS MATERIALIZED (
     SELECT vec_id, c, dist
     FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, c) AS place
           FROM (SELECT p.vec_id, c.c, avg({_DISTANCE[metric]}) AS dist
@@ -217,19 +218,19 @@ def _assignment(name: str, centers: str, metric: str) -> str:
     WHERE place = 1)"""
 
 
-def _lloyd(metric: str, rounds: int = 3) -> str:
+def _lloyd(metric: str, rounds: int = ROUNDS) -> str:
     ctes = [_POINTS, "c0 AS (SELECT label AS c, i, avg(x) AS x FROM p GROUP BY label, i)"]
     for r in range(rounds):
         ctes.append(_assignment(f"a{r}", f"c{r}", metric))
         ctes.append(
-            f"c{r + 1} AS (SELECT c, i, avg(x) AS x FROM p JOIN a{r} USING (vec_id) GROUP BY c, i)"
+            f"c{r + 1} AS MATERIALIZED (SELECT c, i, avg(x) AS x FROM p JOIN a{r} USING (vec_id) GROUP BY c, i)"
         )
     return "WITH " + ",".join(ctes)
 
 
 def _cost(metric: str) -> str:
     rounds = " UNION ALL ".join(
-        f'SELECT {r + 1} AS "round", round(sum(dist), 6) AS cost FROM a{r}' for r in range(3)
+        f'SELECT {r + 1} AS "round", round(sum(dist), 6) AS cost FROM a{r}' for r in range(ROUNDS)
     )
     return f"{_lloyd(metric)} {rounds}"
 
@@ -250,6 +251,13 @@ def _neighbours(users: str) -> str:
         WHERE rank <= 10"""
 
 
+# What ALS was trained on: the training split and all of the most active user.
+_KNOWN = """
+learned AS (SELECT "user", item FROM split WHERE split = 'train'
+            UNION ALL SELECT "user", item FROM ratings WHERE "user" IN (SELECT "user" FROM active)),
+known_users AS (SELECT DISTINCT "user" FROM learned),
+known_items AS (SELECT DISTINCT item FROM learned)"""
+
 ORACLES = {
     "group_count": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
     "group_count_sql": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
@@ -270,6 +278,19 @@ ORACLES = {
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props
         FROM events""",
     "csv_roundtrip": "SELECT * FROM part",
+    "csv_text_roundtrip": "SELECT * FROM documents",
+    "json_timestamp_roundtrip": """
+        SELECT event_id, strftime(ts + to_microseconds(event_id % 1000000), '%Y-%m-%d %H:%M:%S.%f') AS ts
+        FROM events""",
+    "string_key_filter": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey
+        FROM supplier WHERE s_nationkey = 1""",
+    "basket_names": """
+        SELECT l_orderkey AS basket, p_name AS name FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    "features_assembled": " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS i, count(*) AS n, round(sum(CAST({c} AS DOUBLE)), 2) AS total FROM lineitem"
+        for i, c in enumerate(("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
+    ),
     "csv_infer": "SELECT * REPLACE (CAST(p_partkey AS INTEGER) AS p_partkey) FROM part",
     "csv_strings": "SELECT * FROM supplier",
     "adjacency_parse": """
@@ -359,11 +380,11 @@ ORACLES = {
     "kmeans_cost_sq": _cost("sqeuclidean"),
     "kmeans_cost_l1": _cost("manhattan"),
     "kmeans_assign": f"""
-        {_lloyd("sqeuclidean")}, {_assignment("final", "c3", "sqeuclidean")}
+        {_lloyd("sqeuclidean")}, {_assignment("final", f"c{ROUNDS}", "sqeuclidean")}
         SELECT vec_id, CAST(c AS INTEGER) AS cluster, round(dist, 6) AS distance FROM final""",
     "kmeans_centers": f"""
         {_lloyd("sqeuclidean")}
-        SELECT CAST(c AS INTEGER) AS cluster, CAST(i - 1 AS INTEGER) AS i, round(x, 6) AS x FROM c3""",
+        SELECT CAST(c AS INTEGER) AS cluster, CAST(i - 1 AS INTEGER) AS i, round(x, 6) AS x FROM c{ROUNDS}""",
     "silhouette_by_label": f"""
         WITH {_POINTS},
         apart AS (SELECT a.vec_id, a.label AS own, b.label AS other, b.vec_id AS to_id,
@@ -427,4 +448,19 @@ ORACLES = {
         WITH {_RATINGS}, {_ACTIVE}
         SELECT (SELECT "user" FROM active) AS "user", p_partkey AS item FROM part
         WHERE p_partkey NOT IN (SELECT item FROM ratings WHERE "user" IN (SELECT "user" FROM active))""",
+    "als_matched": f"""
+        WITH {_RATINGS}, {_SPLIT}, {_ACTIVE}, {_KNOWN}
+        SELECT split, count(*) FILTER ("user" IN (FROM known_users) AND item IN (FROM known_items)) AS matched
+        FROM split WHERE split <> 'train' GROUP BY split""",
+    "als_predict_pairs": f"""
+        WITH {_RATINGS}, {_SPLIT}, {_ACTIVE}, {_KNOWN}
+        SELECT DISTINCT "user", item FROM split
+        WHERE split = 'validation' AND "user" IN (FROM known_users) AND item IN (FROM known_items)""",
+    "als_candidates": f"""
+        WITH {_RATINGS}, {_SPLIT}, {_ACTIVE}, {_KNOWN}
+        SELECT (SELECT "user" FROM active) AS "user", p_partkey AS item,
+               concat('The ', p_name, ' of ', p_brand, ' (', 1990 + p_size, ')') AS title
+        FROM part
+        WHERE p_partkey NOT IN (SELECT item FROM ratings WHERE "user" IN (SELECT "user" FROM active))
+          AND p_partkey IN (FROM known_items)""",
 }
