@@ -447,9 +447,7 @@ def train_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rmse_item_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = rt.with_split(inputs.ratings(spark, sf_dir))
-    train, truth = split.where("split = 'train'"), split.where("split = 'validation'")
-    predictions = rt.item_mean_predictions(train, truth)
-    return rt.rmse(predictions, truth, "all").withColumn("rmse", F.round("rmse", 6))
+    return rt.item_mean_rmse(split).withColumn("rmse", F.round("rmse", 6))
 
 
 def unseen_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,6 +103,30 @@ class RatingModel:
     items: DataFrame
 
 
+def item_mean_rmse(split: DataFrame) -> DataFrame:
+    """``(matched, rmse)`` of the validation rows against the item's mean training rating.
+
+    One pass: per item the sums of both splits, from which the squared errors follow. Divides by
+    all validation rows; those of items without training ratings add no error.
+    """
+    def of(name: str, value: Column) -> Column:
+        return F.when(F.col("split") == name, value)
+
+    rating = F.col("rating").cast("double")
+    sums = split.groupBy("item").agg(
+        F.avg(of("train", rating)).alias("mean"),
+        F.count(of("validation", rating)).alias("n"),
+        F.sum(of("validation", rating)).alias("s"),
+        F.sum(of("validation", rating * rating)).alias("q"),
+    )
+    known = F.col("mean").isNotNull()
+    error = F.col("q") - 2 * F.col("mean") * F.col("s") + F.col("n") * F.col("mean") * F.col("mean")
+    return sums.agg(
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("matched"),
+        F.sqrt(F.try_divide(F.greatest(F.sum(error), F.lit(0.0)), F.sum("n"))).alias("rmse"),
+    )
+
+
 def numbered(rows: DataFrame, column: str) -> DataFrame:
     """Each value of ``column`` with an integer of its own, ``<column>_no``.
 

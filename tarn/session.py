@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,7 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder that every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local master, whose
-    executors are this very machine, may fall back to a fresh temporary folder.
+    executors are this very machine, may fall back to a fresh temporary folder, which goes
+    when the program ends.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -40,6 +43,7 @@ def shared_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
             configured = tempfile.mkdtemp(prefix="tarn-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

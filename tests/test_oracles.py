@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from catalogue.jobs import JOBS
+from catalogue.oracles import ORACLES
 
 SF_DIR = os.environ.get("TARN_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -38,14 +39,14 @@ def _rows(names, rows):
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(JOBS))
 def test_query(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = JOBS[name](spark, SF_DIR)
     rows = result.collect()
-    if name not in oracle_sql():
+    if name not in ORACLES:
         assert rows
         return
-    answer = duck.execute(oracle_sql()[name])
+    answer = duck.execute(ORACLES[name])
     duck_types = {d[0]: str(d[1]) for d in answer.description}
     expected = _rows([d[0] for d in answer.description], answer.fetchall())
     actual = _rows(result.columns, [tuple(r) for r in rows])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
 from catalogue import inputs
+from catalogue.jobs import JOBS
 from tarn.operators.relational import joined_count, top_k
 from tarn.sources.tables import read_table
 
@@ -24,9 +25,9 @@ def broadcast_limit(request, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if not n.startswith(("als", "kmeans", "pca", "fp"))])
+@pytest.mark.parametrize("name", list(JOBS))
 def test_no_cross_joins(spark, broadcast_limit, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(JOBS[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
@@ -72,3 +73,8 @@ def test_assignment_does_not_shuffle(spark):
     points = inputs.points(spark, SF_DIR)
     model = GivenCentersKMeans(0, {0: [0.0] * 64, 1: [1.0] * 64})
     assert "Exchange" not in plan(model.assign(points))
+
+
+def test_item_mean_rmse_reads_the_lines_once(spark):
+    text = plan(JOBS["rmse_item_mean"](spark, SF_DIR))
+    assert text.count("lineitem.parquet") == 1
