@@ -20,8 +20,10 @@ from tarn.session import materialise
 # Rules that may be brought to every executor at once.
 MAX_BROADCAST_RULES = 200_000
 
-# Distinct items of one basket that a single join group may hold before it is sliced.
+# Distinct items of one basket that a single join group may hold before it is sliced: about
+# two million pairs, or one and a half million triples.
 SLICE_ITEMS = 2_000
+SLICE_ITEMS_OF_TRIPLES = 200
 
 
 def basket_contents(rows: DataFrame, positional: bool = True) -> DataFrame:
@@ -201,7 +203,10 @@ def pair_counts(
 
 
 def triple_counts(
-    contents: DataFrame, min_count: float, sets: bool = False, slice_items: int = SLICE_ITEMS
+    contents: DataFrame,
+    min_count: float,
+    sets: bool = False,
+    slice_items: int = SLICE_ITEMS_OF_TRIPLES,
 ) -> DataFrame:
     """Triples ``(a, b, c, n)`` with ``a <= b <= c`` and ``n >= min_count``.
 

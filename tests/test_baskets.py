@@ -126,3 +126,11 @@ def test_an_item_repeated_millions_of_times(spark):
     contents = spark.createDataFrame([(1, "a", n)], "basket bigint, item string, times bigint")
     weighed = contents.selectExpr("item AS a", "item AS b", "item AS c", "times AS na", "times AS nb", "times AS nc")
     assert bk._weighed(weighed, 3).first().n == n * (n - 1) * (n - 2) // 6
+
+
+def test_a_basket_of_thousands_makes_no_triples_of_its_own(spark):
+    """Its 1.3 billion triples cannot reach the threshold and are not formed."""
+    rows = [(b, f"x{i}") for b in range(40) for i in range(3)] + [(99, f"x{i}") for i in range(2000)]
+    contents = bk.basket_contents(spark.createDataFrame(rows, "basket bigint, item string"))
+    found = bk.triple_counts(contents, 20).collect()
+    assert [(r.a, r.b, r.c, r.n) for r in found] == [("x0", "x1", "x2", 41)]
