@@ -225,8 +225,12 @@ def kept_documents(docs: DataFrame, labels: DataFrame, max_false: float = MAX_FA
 
     The texts are counted twice, once for the thresholds and once to apply them, and never shuffled.
     """
-    c, of, limits = fresh(docs, "quality_counts", "quality_stratum", "quality_limits")
+    of, limits = fresh(docs, "quality_stratum", "quality_limits")
     table = _by_stratum(cutoffs(_scored(docs), labels, max_false, delta)).toDF(of, limits)
-    joined = docs.withColumn(c, counts(F.col("text"))).join(table, F.col("lang").eqNullSafe(F.col(of)), "left")
-    broken = _broken(F.col(limits), {name: level(F.col(c), name) for name in RULES})
-    return joined.filter(~base_failed(F.col(c)) & (F.size(broken) == 0)).select(*docs.columns)
+    joined = docs.join(table, F.col("lang").eqNullSafe(F.col(of)), "left")
+
+    # one expression, so that no rewriting of the filter counts a text more than once
+    def keeps(c):
+        return ~base_failed(c) & (F.size(_broken(F.col(limits), {name: level(c, name) for name in RULES})) == 0)
+
+    return joined.filter(let(counts(F.col("text")), keeps)).select(*docs.columns)
