@@ -22,7 +22,7 @@ def ascii_lower(text: Column) -> Column:
 
 def split_words(text: Column, gap: str = GAP) -> Column:
     """The words of a text in order; none for a null text."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), gap), lambda word: word != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), gap), "")
 
 
 def word_count(text: Column) -> Column:
