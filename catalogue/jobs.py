@@ -165,6 +165,13 @@ def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letter_counts(inputs.documents(spark, sf_dir), "text")
 
 
+def letters_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from text files, one row a line."""
+    path = scratch_path(spark, "documents-text")
+    inputs.documents(spark, sf_dir).write.text(path)
+    return letter_counts(ln.read_lines(spark, path), "value")
+
+
 def stem_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stem_counts(word_rows(inputs.documents(spark, sf_dir), "text"), "word")
 
@@ -307,6 +314,19 @@ def kmeans_cost_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _costs(spark, sf_dir, "manhattan")
 
 
+def kmeans_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points and centers as text files, a vector a line, through all rounds."""
+    points = inputs.points(spark, sf_dir)
+    files = {name: scratch_path(spark, name) for name in ("points-text", "centers-text")}
+    points.select(F.array_join("point", " ")).write.text(files["points-text"])
+    # k rows, in one file, since the order of its lines numbers the centers
+    means = cl.group_means(points, "label").orderBy("cluster").coalesce(1)
+    means.select(F.array_join("center", " ")).write.text(files["centers-text"])
+    start = cl.centers_from(ln.read_centers(spark, files["centers-text"]))
+    model = cl.GivenCentersKMeans(ROUNDS, start).fit(ln.read_points(spark, files["points-text"]))
+    return model.cost_rows(spark).withColumn("cost", F.round("cost", 6))
+
+
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, points = _lloyd(spark, sf_dir, "sqeuclidean")
     return model.assign(points.select("vec_id", "point")).select(
@@ -511,6 +531,7 @@ JOBS = {
     "basket_parse": basket_parse,
     "vector_parse": vector_parse,
     "letter_counts": letters,
+    "letters_from_text": letters_from_text,
     "stem_documents": stem_documents,
     "stem_tags": stem_tags,
     "tf_cosine_turns": tf_cosine_turns,
@@ -529,6 +550,7 @@ JOBS = {
     "fp_rules": fp_rules,
     "fp_predict": fp_predict,
     "kmeans_cost_sq": kmeans_cost_sq,
+    "kmeans_from_files": kmeans_from_files,
     "kmeans_cost_l1": kmeans_cost_l1,
     "kmeans_assign": kmeans_assign,
     "kmeans_centers": kmeans_centers,

@@ -464,3 +464,6 @@ ORACLES = {
         WHERE p_partkey NOT IN (SELECT item FROM ratings WHERE "user" IN (SELECT "user" FROM active))
           AND p_partkey IN (FROM known_items)""",
 }
+# the same rows, read from text files
+ORACLES["letters_from_text"] = ORACLES["letter_counts"]
+ORACLES["kmeans_from_files"] = ORACLES["kmeans_cost_sq"]
