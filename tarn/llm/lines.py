@@ -85,7 +85,7 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, words in enumerate(batch.column("words").to_pylist()):
             h = np.array([xxhash.xxh64_intdigest(w.encode()) for w in words], dtype=np.uint64)
             n = len(h)
-            powers = np.cumprod(np.concatenate(([1], np.full(n, BASE, dtype=np.uint64))), dtype=np.uint64)
+            powers = np.cumprod(np.array([1] + [BASE] * n, dtype=np.uint64), dtype=np.uint64)
             before = np.concatenate(([np.uint64(0)], np.cumsum(h * powers[:n], dtype=np.uint64)))
             # what follows the word left out moves one place down
             down = np.concatenate((np.cumsum((h[1:] * powers[: n - 1])[::-1], dtype=np.uint64)[::-1], [np.uint64(0)]))
