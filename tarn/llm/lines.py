@@ -60,21 +60,20 @@ def _halves(words: Column) -> Column:
 
 def _line(line: Column, number: Column) -> Column:
     def of(w):
-        joined = F.concat_ws(" ", w)
-        return F.struct(
-            number.alias("line"),
-            F.size(w).alias("n"),
-            F.xxhash64(joined).alias("h1"),
-            F.xxhash64(F.lit(1), joined).alias("h2"),
-            _halves(w).alias("halves"),
+        hashes = let(F.concat_ws(" ", w), lambda j: F.struct(F.xxhash64(j).alias("h1"), F.xxhash64(F.lit(1), j).alias("h2")))
+        return let(
+            hashes,
+            lambda h: F.struct(
+                number.alias("line"), F.size(w).alias("n"), h["h1"].alias("h1"), h["h2"].alias("h2"), _halves(w).alias("halves")
+            ),
         )
 
-    return let(split_words(ascii_lower(line)), of)
+    return let(split_words(line), of)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, lines)``: each document's lines that have words."""
-    lines = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), _line)
+    lines = F.transform(F.split(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), "\n"), _line)
     return docs.select("doc_id", _text_hash().alias("text_hash"), F.filter(lines, lambda x: x["n"] > 0).alias("lines"))
 
 
@@ -122,7 +121,7 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     halves = distinct.select(*LINE, F.explode(F.array_distinct("halves")).alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     shared = store(shared, "lines-halves")
-    paired = store(halves.join(shared, "half").select(*LINE).distinct(), "lines-paired")
+    paired = store(halves.join(small(shared, 16), "half").select(*LINE).distinct(), "lines-paired")
     paired = distinct.join(paired, LINE).select(*LINE, "earliest")
     paired = store(paired, "lines-candidates")
     # the words of these lines, from the documents where each stands first
@@ -136,13 +135,15 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     types = dict(known.dtypes)
     emitted = known.mapInArrow(_variants, f"h1 bigint, h2 bigint, earliest {types['earliest']}, key bigint, role tinyint")
     emitted = store(emitted, "lines-variants")
+    # only the keys move until it is known which of them meet
+    met = store(emitted.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "lines-met")
+    emitted = store(emitted.join(small(met, 16), "key"), "lines-meeting")
     one = F.struct("earliest", *LINE)
     by_key = emitted.groupBy("key").agg(
-        F.count("*").alias("n"),
         F.min(F.when(F.col("role") == 2, one)).alias("whole"),
         F.min(F.when(F.col("role") != 2, one)).alias("cut"),
     )
-    by_key = store(by_key.filter("n > 1").select("key", "whole", "cut"), "lines-keys")
+    by_key = store(by_key, "lines-keys")
     other = F.when(F.col("role") == 1, F.col("whole")).otherwise(F.col("cut"))
     links = emitted.join(by_key, "key").select(*LINE, "earliest", other.alias("other")).filter("other.earliest < earliest").distinct()
     text = known.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("other_words"))
