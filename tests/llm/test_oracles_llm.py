@@ -119,3 +119,24 @@ def test_quality_cutoffs(spark):
     assert quality.kept_documents(docs, few).count() == 6000, "too few labels prove nothing"
     assert quality.judge(docs.filter(F.lit(False)), labels).count() == 0
     assert quality.judge(docs, labels.filter(F.lit(False))).filter("kept").count() == 6000
+
+
+def test_quality_counts_of_all_documents(spark):
+    import re
+    from collections import Counter
+
+    rows = {r.doc_id: r for r in LLM_JOBS["op5_quality"](spark, SF_DIR).collect()}
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for doc in docs:
+        text, r = doc.text or "", rows[doc.doc_id]
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        grams = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+        n = Counter(grams)
+        repeat = {j for i, g in enumerate(grams) if n[g] > 1 for j in range(i, i + 3)}
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        assert (r.n_words, r.word_chars) == (len(words), sum(map(len, words)))
+        assert (r.n_symbols, r.n_dup_lines) == (sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)))
+        assert r.n_repeat_words == len(repeat)
+        assert r.base_failed == (len(words) < 50 or 100 * len(repeat) > 50 * len(words))
+        assert not (r.kept and r.base_failed)
