@@ -12,6 +12,9 @@ Equal fingerprints are one node from the start. Inside a cell the nodes are cut
 fixed size, every two blocks are one small unit of work, and a unit returns only a spanning forest
 of the links it finds: nothing emits all pairs of a group, no link between components is lost.
 
+The limit of three bits belongs to shingles of three words. With shingles of another length, and no
+distance given, texts are linked by the similarity of their shingles instead (``similarity.py``).
+
 Defined results: a null or empty text has the fingerprint zero, linked like any other; texts of
 fewer words than a shingle are one shingle; documents without an id form components by their
 fingerprints too, whose name is the smallest id that is not null (null if there is none); repeated
@@ -31,34 +34,44 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarn.llm import similarity
 from tarn.llm.common import fresh, small, store
 from tarn.llm.components import components
+from tarn.llm.similarity import with_cells
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 SEED = 42
 CHUNK = 1 << 16
+#: Words of a shingle and bits that may differ, as the contract of ``op8_simhash`` says.
+CONTRACT, DISTANCE = 3, 3
 #: Nodes of one block of a cell: a unit of work compares about this many with as many.
 BLOCK = 512
 #: Groups of axes that agree exactly in a cell.
 AGREE = 4
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The bits set in more than half of the shingles' hashes."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles, in parts of bounded size; nothing for a text without words."""
     words = [w.encode() for w in WORD.findall((text or "").translate(LOWER))]
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(len(words) - shingle + 1, 1)
     ends = ends[min(shingle, len(words)) - 1 :]
-    ones = np.zeros(64, dtype=np.int64)
     for at in range(0, n, CHUNK):  # bounded memory for very long texts
         spans = zip(starts[at : min(at + CHUNK, n)].tolist(), ends[at : min(at + CHUNK, n)].tolist())
-        hashes = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8")
+        yield np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The bits set in more than half of the shingles' hashes."""
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, shingle):
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
@@ -164,28 +177,40 @@ def links(nodes: DataFrame, distance: int = 3) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
-    """Stored ``(doc_id, text_hash, fp)`` of each document, and ``(fp, root)`` of each fingerprint."""
-    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    marked = with_fingerprint(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", text_hash.alias("text_hash"), "fp")
-    marked = store(marked, "simhash-documents")
-    nodes = store(marked.select("fp").distinct(), "simhash-nodes")
-    linked = components(links(nodes, distance)).withColumnRenamed("node", "fp")
-    return marked, nodes.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+def _grouped(docs: DataFrame, shingle: int, distance: int | None) -> tuple[DataFrame, DataFrame]:
+    """Stored ``(doc_id, text_hash, fp)`` of each document, and ``(fp, root)`` of each node ``fp``."""
+    if distance is None and shingle != CONTRACT:
+        marked = store(with_cells(docs, shingle), "simhash-documents")
+        linked = similarity.links(docs, marked, shingle)
+        marked = marked.select("doc_id", "text_hash", "fp")
+        nodes = store(marked.select("fp").distinct(), "simhash-nodes")
+    else:
+        text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+        marked = with_fingerprint(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", text_hash.alias("text_hash"), "fp")
+        marked = store(marked, "simhash-documents")
+        nodes = store(marked.select("fp").distinct(), "simhash-nodes")
+        linked = links(nodes, DISTANCE if distance is None else distance)
+    rooted = components(linked).withColumnRenamed("node", "fp")
+    return marked, nodes.join(rooted, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = CONTRACT, distance: int | None = None) -> DataFrame:
     """One row a document: ``doc_id, fingerprint`` (16 hex digits), ``component_id``."""
     marked, rooted = _grouped(docs, shingle, distance)
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = store(rooted.join(least, "fp"), "simhash-rooted")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = store(rooted.join(names, "root").select("fp", "component_id"), "simhash-components")
+    out = marked.join(named, "fp")
+    if distance is None and shingle != CONTRACT:  # the nodes are sets: one fingerprint a set
+        texts = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")).dropDuplicates(["text_hash"])
+        prints = store(with_fingerprint(texts, "print", shingle).select("text_hash", "print"), "simhash-prints")
+        out = out.join(prints, "text_hash").drop("fp").withColumnRenamed("print", "fp")
     hex_digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(named, "fp").select("doc_id", hex_digits.alias("fingerprint"), "component_id")
+    return out.select("doc_id", hex_digits.alias("fingerprint"), "component_id")
 
 
-def first_documents(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+def first_documents(docs: DataFrame, shingle: int = CONTRACT, distance: int | None = None) -> DataFrame:
     """The documents without near duplicates, all columns kept: of each component the document
     with the smallest id stays (null last, then by the hash of the text), and of rows equal in both one.
     """

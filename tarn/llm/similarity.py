@@ -1,0 +1,139 @@
+"""Links between texts whose sets of shingles have a Jaccard similarity of at least ``SIMILARITY``.
+
+Equal sets are one node. Minima of hashed shingles in ``BANDS`` bands of ``ROWS`` bring sets to
+common cells: two sets of similarity 0.8 share none with a probability of 5e-7, more similar ones
+less often still. Each member of a cell is tied to the cell's smallest one, so a cell costs what it
+has members. The components of these ties are groups that hold every link; inside a group all
+pairs are compared exactly, over the shingles themselves. Groups are cut into blocks of a bounded
+number of sets and shingles, every two blocks are one unit of work, and a unit returns only a
+spanning forest of the links it finds. Small groups share units.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tarn.llm.common import small, store
+from tarn.llm.components import components
+
+SIMILARITY = 0.8
+BANDS, ROWS = 48, 6
+#: Shingles hashed at a time.
+CHUNK = 512
+#: Sets and shingles of one block of a group.
+BLOCK, WEIGHT = 512, 1 << 18
+
+_RANDOM = np.random.default_rng(42)
+MIX, FACTOR = (_RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(odd) for odd in (0, 1))
+WEIGHTS = _RANDOM.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+
+
+def shingles(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's shingles in order."""
+    from tarn.llm.simhash import shingle_hashes
+
+    parts = [np.unique(h) for h in shingle_hashes(text, shingle)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """The set's cell in each band, by the upper half of the hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(upper), CHUNK):
+        np.minimum(least, ((upper[at : at + CHUNK, None] ^ MIX) * FACTOR).min(axis=0), out=least)
+    return (least.astype(np.uint64) * WEIGHTS).reshape(BANDS, ROWS).sum(axis=1, dtype=np.uint64)
+
+
+def with_cells(docs: DataFrame, shingle: int) -> DataFrame:
+    """``(doc_id, text_hash, fp, n_shingles, cells)``: ``fp`` is a hash of the set of shingles."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, shingle) for t in batch.column(2).to_pylist()]
+            fps = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], dtype=np.uint64).view(np.int64)
+            cells = np.array([bands(s) for s in sets], dtype=np.uint64).view(np.int64).reshape(-1)
+            offsets = np.arange(len(sets) + 1, dtype=np.int32) * BANDS
+            columns = [pa.array(fps), pa.array([len(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(cells))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "text_hash", "fp", "n_shingles", "cells"])
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    return rows.mapInArrow(of, f"doc_id {id_type}, text_hash bigint, fp bigint, n_shingles bigint, cells array<bigint>")
+
+
+def forest(fps: np.ndarray, sets: list[np.ndarray], second: np.ndarray) -> tuple[list[int], list[int]]:
+    """A spanning forest of the links among the sets, or between the first and the second ones."""
+    inner = not second.any()
+    left = np.arange(len(sets)) if inner else np.flatnonzero(~second)
+    right = left if inner else np.flatnonzero(second)
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    every = np.concatenate([sets[i] for i in left]) if len(left) else np.zeros(0, dtype=np.uint64)
+    owner = np.repeat(np.arange(len(left)), sizes[left])
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    a, b = [], []
+    for j in right.tolist():
+        start = np.searchsorted(every, sets[j], "left")
+        length = np.searchsorted(every, sets[j], "right") - start
+        # the places of all sets that hold one of this set's shingles
+        at = np.arange(length.sum()) + np.repeat(start - np.cumsum(length) + length, length)
+        met, common = np.unique(owner[at], return_counts=True)
+        near = met[common / (sizes[left[met]] + sizes[j] - common) >= SIMILARITY]
+        y = int(fps[j])
+        for x in fps[left[near]].tolist():
+            root, other = find(x), find(y)
+            if root != other:
+                parent[root] = other
+                a.append(x)
+                b.append(y)
+    return a, b
+
+
+def links(docs: DataFrame, marked: DataFrame, shingle: int) -> DataFrame:
+    """``(a, b)``: links that between them connect whatever nodes are connected; ``marked`` is stored."""
+    members = marked.select("fp", F.explode("cells").alias("cell"))
+    crowded = members.groupBy("cell").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).filter("least < most")
+    crowded = small(store(crowded.select("cell", "least"), "similarity-crowded"), 32)
+    ties = members.join(crowded, "cell").filter("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()
+    groups = components(store(ties, "similarity-ties")).withColumnRenamed("node", "fp")
+    # one document of each set has its shingles taken again
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    chosen = marked.select("fp", "n_shingles", order.alias("of")).join(groups, "fp").groupBy("fp", "root", "n_shingles").agg(F.min("of").alias("of"))
+    chosen = store(chosen, "similarity-chosen")
+    sizes = chosen.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / WEIGHT), F.lit(1)).cast("int")
+    sizes = store(sizes.select("root", "weight", blocks.alias("blocks")), "similarity-sizes")
+    shared = 1 + (sizes.filter("blocks = 1").agg(F.sum("weight")).first()[0] or 0) // WEIGHT
+    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    wanted = chosen.join(small(sizes, 48), "root").select("fp", "root", "blocks", block.alias("block"), F.col("of.doc_id").alias("id"), F.col("of.text_hash").alias("hash"))
+    wanted = store(wanted, "similarity-wanted")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("hash"))
+    texts = docs.select("doc_id", "text").join(small(wanted, 64), same).dropDuplicates(["fp"])
+    # the sets of block i meet those of every block j >= i, in the unit (i, j)
+    placed = texts.select("fp", "text", "root", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pair = F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other"))
+    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(shared))).otherwise(pair)
+    units = placed.select(unit.alias("unit"), "fp", "text", (F.col("block") > F.col("other")).alias("second"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        sets = [shingles(t, shingle) for t in table.column(2).to_pylist()]
+        fps, second = (table.column(i).to_numpy() for i in (1, 3))
+        a, b = forest(fps, sets, second.astype(bool))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    found = units.groupBy("unit").applyInArrow(compare, "a bigint, b bigint")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -1,0 +1,93 @@
+"""Near duplicates by similarity of five-word shingles against brute force over all pairs."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tarn.llm import similarity, simhash
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def plain_components(rows):
+    """The smallest id that each document reaches over pairs of similarity 0.8 or more."""
+    sets = [(i, plain_set(t)) for i, t in rows]
+    holders = {}
+    for at, (_, s) in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(at)
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    linked = 0
+    for at, (_, s) in enumerate(sets):
+        common = {}
+        for x in s:
+            for other in holders[x]:
+                if other < at:
+                    common[other] = common.get(other, 0) + 1
+        if not s:
+            common = {o: 0 for o in range(at) if not sets[o][1]}
+        for other, n in common.items():
+            union = len(s) + len(sets[other][1]) - n
+            if not union or 5 * n >= 4 * union:
+                a, b = find(at), find(other)
+                root[max(a, b)] = min(a, b)
+                linked += s != sets[other][1]
+    least = {}
+    for at, (i, _) in enumerate(sets):
+        least[find(at)] = min(least.get(find(at), i), i)
+    return {i: least[find(at)] for at, (i, _) in enumerate(sets)}, linked
+
+
+def test_stage_against_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    expected, linked = plain_components([(r.doc_id, r.text) for r in docs.collect()])
+    assert linked >= 12
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+    out = simhash.near_duplicates(docs, shingle=5).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert all(r.fingerprint == f"{simhash.fingerprint(texts[r.doc_id], 5):016x}" for r in out)
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_edited_copies_at_the_limit(spark, monkeypatch, block):
+    """Copies with a few words changed, on both sides of 0.8, in one block and in many."""
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    rows = [(0, None), (1, ""), (2, "one two"), (3, "ONE  two"), (4, "one two three")]
+    for base in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 100000, 60 + 40 * base)]
+        for copy in range(12):
+            edited = list(words)
+            for at in rng.choice(len(words), rng.integers(0, 2 + len(words) // 30), replace=False):
+                edited[at] = f"x{rng.integers(0, 100000)}"
+            rows.append((100 + 20 * base + copy, " ".join(edited)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected, linked = plain_components(rows)
+    assert linked > 50 and len(set(expected.values())) > 20
+    out = simhash.near_duplicates(docs, shingle=5).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected
+
+
+def test_defined_cases(spark):
+    data = [(1, None), (2, ""), (None, ""), (3, "one two"), (4, "ONE two"), (5, "a b c " * 3000), (5, "a b c " * 3000)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    kept = simhash.first_documents(docs, shingle=5)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5]
+    assert simhash.first_documents(docs.filter(F.lit(False)), shingle=5).count() == 0
