@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,3 +70,58 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def small(stored: DataFrame, row_bytes: int) -> DataFrame:
     """The stored frame, marked for broadcast if its counted rows fit the bound."""
     return F.broadcast(stored) if stored.count() * row_bytes <= BROADCAST_BYTES else stored
+
+
+#: A key with more than one in so many rows is hot; so there are never more hot keys than this.
+HOT_SHARE = 1024
+
+
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of a stored frame with one that has each key at most once.
+
+    A hot key's rows would meet in one task. Rows of the at most ``HOT_SHARE`` hot keys stay where
+    they are and get their partner by broadcast; all others move to it.
+    """
+    counts = store(left.groupBy(*keys).agg(F.count("*").alias("_rows")), "hot-keys")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    hot = counts.filter(F.col("_rows") * HOT_SHARE > total).select(*keys)
+    partners = F.broadcast(store(right.join(F.broadcast(hot), keys, "left_semi"), "hot-partners"))
+    rest = left.join(F.broadcast(hot), keys, "left_anti")
+    return left.join(partners, keys).unionByName(rest.join(right, keys))
+
+
+def by_size(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows anew in batches of about ``size`` bytes of the text column, one longer text alone."""
+    waiting, held = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(ends):
+            before = ends[at - 1] if at else 0
+            stop = max(int(np.searchsorted(ends, before + size - held, side="right")), at + (not waiting))
+            if stop > at:
+                waiting.append(batch.slice(at, stop - at))
+                held, at = held + int(ends[stop - 1] - before), stop
+            if at < len(ends) or held >= size:
+                yield pa.concat_batches(waiting)
+                waiting, held = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
+def mapped(texts: pa.Array, table: np.ndarray) -> pa.Array:
+    """Texts with each byte replaced by ``table``, which must leave bytes from 128 on alone; null is empty."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    held = np.frombuffer(data if data is not None else b"", dtype=np.uint8)[ends[0] : ends[-1]]
+    return pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((ends - ends[0]).tobytes()), pa.py_buffer(table[held].tobytes()))
+
+
+def split_spaces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All texts' words between single spaces, one after the other, and how many each text has."""
+    cut = pc.split_pattern(texts, " ")
+    pieces = cut.flatten()
+    row = np.repeat(np.arange(len(texts)), cut.value_lengths().to_numpy().astype(np.int64))
+    full = pc.not_equal(pc.binary_length(pieces), 0)
+    return pieces.filter(full), np.bincount(row[full.to_numpy(zero_copy_only=False)], minlength=len(texts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import decontamination, katz, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
+from tarn.llm import collocations, decontamination, katz, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -62,6 +62,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, _documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 LLM_JOBS = {
     "op1_licenses": op1_licenses,
     "op2_katz": op2_katz,
@@ -73,10 +77,12 @@ LLM_JOBS = {
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_tokens": op10_tokens,
+    "op13_collocations": op13_collocations,
 }
 
 LLM_ORACLES = {
     "op1_licenses": sql.LICENSES,
     "op3_mixing": sql.MIXING,
     "op4_lines": sql.LINES,
+    "op13_collocations": sql.COLLOCATIONS,
 }

@@ -123,3 +123,39 @@ SELECT d.doc_id, CAST(coalesce(b.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(b.n_
   CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near, coalesce(b.removed, '') AS removed
 FROM docs d LEFT JOIN by_doc b USING (row_)
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest([array_to_string(w[i : i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM worded, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k
+), counted AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counted WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[1 : c], ' ') AS first_part, array_to_string(w[c + 1 :], ' ') AS rest
+  FROM candidates, (VALUES (1), (2)) places(c) WHERE c < k
+), scored AS (
+  SELECT cuts.*, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts JOIN counted l ON l.lang = cuts.lang AND l.phrase = first_part JOIN counted r ON r.lang = cuts.lang AND r.phrase = rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase) WHERE longer.a IS NULL OR 100 * longer.a < 50 * best.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""

@@ -22,7 +22,7 @@ def rounded(rows):
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_against_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "labels", "benchmark"):
+    for table in ("documents", "labels", "benchmark", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     answer = duck.execute(LLM_ORACLES[name])
     columns = [d[0] for d in answer.description]
