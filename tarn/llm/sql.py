@@ -159,3 +159,36 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM kept JOIN totals USING (lang)
 QUALIFY rank <= 2000
 """
+
+CONVERSATIONS = r"""
+WITH numbered AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list({'r': role, 't': text} ORDER BY pos) AS turns, c - c % 5 AS base,
+    xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten([[ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR ch IN string_split(CAST(c AS VARCHAR), '')])),
+      lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384::BIGINT * (x & 1)) END)) % 9 AS h
+  FROM numbered GROUP BY c
+), paths AS (
+  SELECT own.c, list_concat(coalesce(base.turns, [])[1 : own.h], own.turns[own.h + 1 :]) AS path
+  FROM own LEFT JOIN own base ON base.c = own.base
+), steps AS (
+  SELECT c, d, len(path) = d AS ends, path[1 : d] AS prefix FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT prefix, d, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM steps GROUP BY prefix, d
+), children AS (
+  SELECT prefix[1 : d - 1] AS prefix, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), weighed AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children,
+    CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(prefix[d].t)) END AS saved
+  FROM nodes LEFT JOIN children USING (prefix)
+), above AS (
+  SELECT prefix[1 : e] AS prefix, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM weighed) GROUP BY 1
+)
+SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, above.n_leaves, above.saved_tokens, w.ends_sha256
+FROM weighed w JOIN above USING (prefix) LEFT JOIN nodes p ON w.d > 0 AND p.prefix = w.prefix[1 : w.d - 1]
+"""
