@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarn.llm import collocations, conversations, decontamination, katz, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, tokens
+from tarn.llm import collocations, conversations, decontamination, katz, licenses, lines, mixing, privacy, quality, secrets, simhash, sql, substrings, tokens
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -62,6 +62,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, _documents(spark, sf_dir))
 
 
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(_documents(spark, sf_dir)).drop("spans")
+
+
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.conversation_trie(read_table(spark, sf_dir, "conversations"), rebuild=True)
 
@@ -81,6 +85,7 @@ LLM_JOBS = {
     "op8_simhash": op8_simhash,
     "op9_secrets": op9_secrets,
     "op10_tokens": op10_tokens,
+    "op11_substrings": op11_substrings,
     "op12_conversations": op12_conversations,
     "op13_collocations": op13_collocations,
 }
@@ -89,6 +94,7 @@ LLM_ORACLES = {
     "op1_licenses": sql.LICENSES,
     "op3_mixing": sql.MIXING,
     "op4_lines": sql.LINES,
+    "op11_substrings": sql.SUBSTRINGS,
     "op12_conversations": sql.CONVERSATIONS,
     "op13_collocations": sql.COLLOCATIONS,
 }

@@ -192,3 +192,21 @@ WITH numbered AS (
 SELECT w.conv_id, w.d AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, above.n_leaves, above.saved_tokens, w.ends_sha256
 FROM weighed w JOIN above USING (prefix) LEFT JOIN nodes p ON w.d > 0 AND p.prefix = w.prefix[1 : w.d - 1]
 """
+
+SUBSTRINGS = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT row_, i, sha256(array_to_string(words[i : i + 34], ' ')) AS h
+  FROM (SELECT row_, words, unnest(range(1, len(words) - 33)) AS i FROM docs)
+), gone AS (
+  SELECT DISTINCT row_, unnest(range(i, i + 35)) AS place
+  FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)
+), kept AS (
+  SELECT row_, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM (SELECT row_, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs) ANTI JOIN gone USING (row_, place)
+  GROUP BY row_
+)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (row_)
+"""
