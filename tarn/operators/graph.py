@@ -1,35 +1,42 @@
 """People you may know: candidates by number of shared neighbours.
 
-The score of ``(user, other)`` is the number of nodes both point to. Summing over every
-pair that shares a node is quadratic in the number of nodes that point to it, so the few
-largest targets ("hubs") are taken out and counted another way, without loss:
-
-* over ordinary targets, pairs come from an equi-join on the target;
-* over the at most ``MAX_HUBS`` hubs, a node is described by a bit mask of the hubs it
-  points to, and two masks give the shared count at once. Candidates that share only hubs
-  with a user come from one ranked list per mask, read far enough to outlast the entries
-  that the user must skip (itself and its friends). So a user costs its own number of
-  friends, not the size of the hub. Users with more friends than a list is long, at most
-  2 * edges / LIST_DEPTH, look through the hubs' nodes directly.
+The score of ``(user, other)`` is the number of nodes both point to. Summing over every pair that
+shares a node is quadratic in the number of nodes that point to it, so targets above ``hub_degree``
+("hubs", however many) are counted another way, without loss:
+
+* over ordinary targets, pairs come from an equi-join on the target, and such a pair's shared hubs
+  from both nodes' sets of hubs;
+* a candidate that shares only hubs with a user needs to be known only if it is among the user's
+  first ``k + 1 + friends`` nodes by shared hubs (then by id), as a user skips no more than itself and
+  its friends. Users with the same set of hubs ask as one class. Classes and nodes are dealt to
+  blocks and slices; a unit of work holds one block's classes and, of one slice's nodes, each
+  hub's posting list, adds up the shared hubs of a class over the lists and returns only the
+  entries that the class may need. So the rows that leave the units follow the number of edges,
+  not the hubs' squares.
 
 Both parts are exact for any choice of hubs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.operators.relational import top_k
+from tarn.operators.relational import broadcast_if_small, top_k
 from tarn.session import materialise
 
-MAX_HUBS = 8
 HUB_DEGREE = 10_000
-LIST_DEPTH = 100_000
-# The head of each list goes to all executors: at most 255 masks times this many short rows.
+#: Edges to hubs that one slice of nodes holds: some 64 MB in a worker.
+SLICE_EDGES = 4_000_000
+#: Blocks of classes at least, for as many tasks.
+BLOCKS = 16
+#: Classes with more than one in so many users have the heads of their lists broadcast ...
+LARGE_CLASSES = 1024
+#: ... and this is how long a head is.
 LIST_HEAD = 1_000
-# Tasks among which the nodes of one mask are cut down before they are ranked together.
-LIST_PARTS = 64
 
 
 def people_you_may_know(
@@ -37,7 +44,7 @@ def people_you_may_know(
     seeds: DataFrame | None = None,
     k: int = 10,
     hub_degree: int = HUB_DEGREE,
-    list_depth: int = LIST_DEPTH,
+    slice_edges: int = SLICE_EDGES,
     list_head: int = LIST_HEAD,
 ) -> DataFrame:
     """``(user, rank, other, shared)``: per user the ``k`` best strangers.
@@ -47,9 +54,9 @@ def people_you_may_know(
     ``seeds(user)`` limits the users served, before anything is joined.
     """
     edges = materialise(edges.select("src", "dst").dropna().distinct())
-    hubs = _hubs(edges, hub_degree)
-    if hubs:
-        candidates = _with_hubs(edges, hubs, seeds, k, list_depth, min(list_head, LIST_HEAD))
+    hubs = materialise(edges.groupBy("dst").agg(F.count("*").alias("degree")).where(F.col("degree") > hub_degree))
+    if not hubs.isEmpty():
+        candidates = _with_hubs(edges, hubs, seeds, k, slice_edges, min(list_head, LIST_HEAD))
     elif seeds is None:
         candidates = _both_ways(_strangers(_shared(edges), edges, ordered=True))
     else:
@@ -59,18 +66,6 @@ def people_you_may_know(
     )
 
 
-def _hubs(edges: DataFrame, hub_degree: int) -> list:
-    """The ids of the largest targets, at most ``MAX_HUBS`` of them."""
-    largest = (
-        edges.groupBy("dst")
-        .agg(F.count("*").alias("degree"))
-        .where(F.col("degree") > hub_degree)
-        .orderBy(F.desc("degree"), "dst")
-        .limit(MAX_HUBS)
-    )
-    return [row.dst for row in largest.collect()]
-
-
 def _shared(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """Shared targets per pair: each pair once (user < other), or from the seeds' side."""
     left = edges.select(F.col("src").alias("user"), "dst")
@@ -107,28 +102,25 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 
 def _with_hubs(
-    edges: DataFrame, hubs: list, seeds: DataFrame | None, k: int, list_depth: int, list_head: int
+    edges: DataFrame, hubs: DataFrame, seeds: DataFrame | None, k: int, slice_edges: int, list_head: int
 ) -> DataFrame:
-    to_hub = F.col("dst").isin(hubs)
-    bit = F.array_position(F.array(*map(F.lit, hubs)), F.col("dst")).cast("int") - 1
-    masks = (
-        edges.where(to_hub)
-        .groupBy(F.col("src").alias("node"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1), bit)).alias("mask"))
+    hub_ids = broadcast_if_small(hubs.select("dst"))
+    hub_edges = edges.join(hub_ids, "dst", "left_semi")
+    sets = materialise(
+        hub_edges.groupBy(F.col("src").alias("node")).agg(F.sort_array(F.collect_list("dst")).alias("hubs"))
     )
-
-    ordinary = _shared(edges.where(~to_hub), seeds)
+    ordinary = _shared(edges.join(hub_ids, "dst", "left_anti"), seeds)
     if seeds is None:
         ordinary = _both_ways(ordinary)
-    mask_of = {
-        side: masks.select(F.col("node").alias(side), F.col("mask").alias(f"{side}_mask"))
+    sets_of = {
+        side: sets.select(F.col("node").alias(side), F.col("hubs").alias(f"{side}_hubs"))
         for side in ("user", "other")
     }
-    hub_share = F.bit_count(F.col("user_mask").bitwiseAND(F.col("other_mask")))
+    hub_share = F.size(F.array_intersect("user_hubs", "other_hubs"))
     ordinary = (
-        ordinary.join(mask_of["user"], "user", "left")
-        .join(mask_of["other"], "other", "left")
-        .select("user", "other", (F.col("shared") + F.coalesce(hub_share, F.lit(0))).alias("shared"))
+        ordinary.join(sets_of["user"], "user", "left")
+        .join(sets_of["other"], "other", "left")
+        .select("user", "other", (F.col("shared") + F.when(hub_share > 0, hub_share).otherwise(0)).alias("shared"))
     )
 
     # A user skips at most itself and its friends, so k + 1 + friends entries suffice.
@@ -137,59 +129,115 @@ def _with_hubs(
         .groupBy("node")
         .agg(F.count("*").alias("friends"))
     )
-    users = masks.join(friends, "node").select(
-        F.col("node").alias("user"), "mask", (F.col("friends") + k + 1).alias("entries")
+    users = sets.join(friends, "node").select(
+        F.col("node").alias("user"), "hubs", (F.col("friends") + k + 1).alias("entries")
     )
     if seeds is not None:
         users = users.join(seeds.select("user").distinct(), "user", "left_semi")
-    lists = materialise(_ranked_lists(masks, len(hubs), list_depth))
-    listed = users.where(F.col("entries") <= list_depth)
-    from_heads = _entries(listed, 1, F.least("entries", F.lit(list_head))).join(
-        F.broadcast(lists.where(F.col("rank") <= list_head)), ["mask", "rank"]
-    )
-    from_tails = _entries(
-        listed.where(F.col("entries") > list_head), list_head + 1, F.col("entries")
-    ).join(lists.where(F.col("rank") > list_head), ["mask", "rank"])
-    from_lists = from_heads.unionByName(from_tails).select("user", "other", "shared")
-    well_linked = users.where(F.col("entries") > list_depth).select("user")
-    direct = _shared(edges.where(to_hub), well_linked)
-
-    candidates = (
-        ordinary.unionByName(from_lists)
-        .unionByName(direct)
+    users = materialise(users)
+    classes = users.groupBy("hubs").agg(F.max("entries").alias("entries"), F.count("*").alias("users"))
+    classes = materialise(classes.withColumn("class", F.monotonically_increasing_id()))
+    lists = materialise(hub_lists(classes, sets, slice_edges))
+    return _strangers(
+        ordinary.unionByName(_read_lists(users.join(classes.drop("entries"), "hubs"), classes, lists, list_head))
         .where("user <> other")
         .groupBy("user", "other")
-        .agg(F.max("shared").alias("shared"))
+        .agg(F.max("shared").alias("shared")),
+        edges,
     )
-    return _strangers(candidates, edges)
 
 
-def _entries(users: DataFrame, first: int, last: Column) -> DataFrame:
-    """One row per user and list position from ``first`` to ``last``."""
-    positions = F.sequence(F.lit(first), last.cast("int"))
-    return users.select("user", "mask", F.explode(positions).alias("rank"))
-
+def hub_lists(classes: DataFrame, sets: DataFrame, slice_edges: int = SLICE_EDGES) -> DataFrame:
+    """``(class, rank, other, shared)``: of each class the nodes that share most hubs, ids breaking ties.
 
-def _ranked_lists(masks: DataFrame, hubs: int, depth: int) -> DataFrame:
-    """Per mask the ``depth`` nodes that share most hubs with it: (mask, rank, other, shared).
-
-    There are fewer than 2**MAX_HUBS masks, so this is at most 255 lists.
+    ``classes`` are ``(class, hubs, entries)``, ``sets`` are ``(node, hubs)``; a list is ``entries`` long, or
+    ends with the last node that shares anything.
     """
-    parts = masks.withColumn("part", F.pmod(F.hash("node"), F.lit(LIST_PARTS)))
-    fewer = top_k(parts, ["mask", "part"], ["node"], depth, rank="place")
-    members = top_k(fewer, ["mask"], ["node"], depth, rank="place").select(
-        F.col("mask").alias("other_mask"), F.col("node").alias("other")
+    size = lambda rows: rows.agg(F.sum(F.size("hubs"))).first()[0] or 0
+    slices = 1 + int(size(sets)) // slice_edges
+    blocks = max(BLOCKS, 1 + int(size(classes)) // slice_edges)
+    asked = classes.select(
+        "class", "hubs", "entries", F.pmod(F.xxhash64("class"), F.lit(blocks)).alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
+    )
+    nodes = sets.select(
+        "node", "hubs", F.pmod(F.xxhash64("node"), F.lit(slices)).alias("slice"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+    )
+    unit = ["block", "slice"]
+    id_type = sets.schema["node"].dataType.simpleString()
+    found = asked.groupBy(*unit).cogroup(nodes.groupBy(*unit)).applyInArrow(
+        _share_hubs, f"class bigint, other {id_type}, shared bigint, entries bigint"
     )
-    bits = F.filter(
-        F.sequence(F.lit(0), F.lit(hubs - 1)),
-        lambda i: F.call_function("shiftleft", F.lit(1), i).bitwiseAND(F.col("mask")) != 0,
+    # of one slice nothing is left to merge but the ranks
+    return top_k(found, ["class"], [F.desc("shared"), "other"], 1 << 62).where("rank <= entries").drop("entries")
+
+
+def _share_hubs(asked: pa.Table, nodes: pa.Table) -> pa.Table:
+    """The first ``entries`` nodes of each class by shared hubs, then by id."""
+    nodes = nodes.take(pc.sort_indices(nodes.column("node"))).combine_chunks()
+    asked = asked.combine_chunks()
+    flat = [_flat(t.column("hubs")) for t in (asked, nodes)]
+    names = pa.concat_arrays([f[0] for f in flat]).dictionary_encode()
+    numbers = names.indices.to_numpy()
+    wanted, held = numbers[: len(flat[0][0])], numbers[len(flat[0][0]) :]
+    # posting lists: the places of the nodes that have a hub, in order of their ids
+    order = np.argsort(held, kind="stable")
+    owner = np.repeat(np.arange(nodes.num_rows), flat[1][1])[order]
+    starts = np.searchsorted(held[order], np.arange(len(names.dictionary) + 1))
+    ends = np.cumsum(flat[0][1])
+    entries = asked.column("entries").to_numpy()
+    places, shares, owners = [], [], []
+    for row, (stop, size, most) in enumerate(zip(ends.tolist(), flat[0][1].tolist(), entries.tolist())):
+        lists = [owner[starts[h] : starts[h + 1]] for h in wanted[stop - size : stop].tolist()]
+        share = np.bincount(np.concatenate(lists), minlength=nodes.num_rows) if lists else np.zeros(nodes.num_rows, dtype=np.int64)
+        # how many nodes share at least so many hubs; the last level that is needed may be cut
+        above = np.cumsum(np.bincount(share, minlength=2)[::-1])[::-1]
+        level = max(1, int(np.searchsorted(-above, -most, side="right")) - 1)
+        best = np.flatnonzero(share > level)
+        tied = np.flatnonzero(share == level)[: max(most - len(best), 0)]
+        found = np.concatenate((best, tied))
+        places.append(found)
+        shares.append(share[found])
+        owners.append(np.full(len(found), row))
+    empty = [np.zeros(0, dtype=np.int64)]
+    places, shares, owners = (np.concatenate(x + empty) for x in (places, shares, owners))
+    return pa.table(
+        {
+            "class": asked.column("class").take(pa.array(owners)),
+            "other": nodes.column("node").take(pa.array(places)),
+            "shared": pa.array(shares, pa.int64()),
+            "entries": asked.column("entries").take(pa.array(owners)),
+        }
     )
-    kinds = masks.select("mask").distinct().withColumn("bit", F.explode(bits))
-    overlapping = (
-        kinds.join(kinds.select(F.col("mask").alias("other_mask"), "bit"), "bit")
-        .groupBy("mask", "other_mask")
-        .agg(F.count("*").alias("shared"))
+
+
+def _flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The lists' values, one after the other, and the lists' lengths."""
+    whole = lists.combine_chunks()
+    whole = whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)
+    return whole.flatten(), whole.value_lengths().to_numpy()
+
+
+def _read_lists(users: DataFrame, classes: DataFrame, lists: DataFrame, list_head: int) -> DataFrame:
+    """``(user, other, shared)``: of its class's list each user reads as much as it may need.
+
+    The heads of the few lists that very many users read are broadcast.
+    """
+    total = classes.agg(F.sum("users")).first()[0] or 0
+    large = F.col("users") * LARGE_CLASSES > total
+    large_classes = classes.where(large).select("class")
+    heads = lists.where(F.col("rank") <= list_head).join(F.broadcast(large_classes), "class", "left_semi")
+    from_heads = _entries(users.where(large), 1, F.least("entries", F.lit(list_head)))
+    tails = _entries(users.where(large & (F.col("entries") > list_head)), list_head + 1, F.col("entries"))
+    others = _entries(users.where(~large), 1, F.col("entries"))
+    read = from_heads.join(F.broadcast(heads), ["class", "rank"]).unionByName(
+        others.unionByName(tails).join(lists, ["class", "rank"])
     )
-    return top_k(
-        overlapping.join(members, "other_mask"), ["mask"], [F.desc("shared"), "other"], depth
-    ).select("mask", "rank", "other", "shared")
+    return read.select("user", "other", "shared")
+
+
+def _entries(users: DataFrame, first: int, last) -> DataFrame:
+    """One row per user and list position from ``first`` to ``last``."""
+    positions = F.sequence(F.lit(first), last.cast("int"))
+    return users.select("user", "class", F.explode(positions).alias("rank"))

@@ -1,10 +1,11 @@
 """Neighbour recommendation against a plain computation, with and without hubs."""
 
 import random
+from collections import Counter
 
 import pytest
 
-from tarn.operators.graph import people_you_may_know
+from tarn.operators.graph import hub_lists, people_you_may_know
 
 
 def brute_force(edges, seeds=None, k=10):
@@ -43,15 +44,67 @@ def run(spark, edges, seeds=None, **options):
     return {(r.user, r.rank): (r.other, r.shared) for r in rows}
 
 
-# hub_degree 0 makes hubs of the eight largest targets; list_depth 12 sends most users past
-# the ranked lists, 40 only some, 1000 none; list_head parts the lists in two.
-@pytest.mark.parametrize("seed,hub_degree,list_depth,list_head", [
-    (1, 10**6, 1000, 1000), (1, 10, 1000, 15), (1, 10, 12, 5), (2, 0, 1000, 1000), (2, 0, 20, 16),
-    (3, 20, 40, 1), (3, 5, 25, 25),
+# hub_degree 0 makes a hub of every target; small slices part the nodes, small heads the lists.
+@pytest.mark.parametrize("seed,hub_degree,slice_edges,list_head", [
+    (1, 10**6, 1000, 1000), (1, 10, 1000, 15), (1, 10, 30, 5), (2, 0, 1000, 1000), (2, 0, 60, 16),
+    (3, 5, 25, 25),
 ])
-def test_all_users(spark, seed, hub_degree, list_depth, list_head):
+def test_all_users(spark, seed, hub_degree, slice_edges, list_head):
     edges = skewed_graph(seed)
-    got = run(spark, edges, hub_degree=hub_degree, list_depth=list_depth, list_head=list_head)
+    got = run(spark, edges, hub_degree=hub_degree, slice_edges=slice_edges, list_head=list_head)
+    assert got == brute_force(edges)
+
+
+def many_hubs(seed, nodes=1200, hubs=100):
+    """Every node points to a few of the hubs, some to very many, and to an ordinary target."""
+    rng = random.Random(seed)
+    pairs = set()
+    for node in range(nodes):
+        wanted = 3 if node % 50 else hubs // 2
+        pairs |= {(node, 10_000 + rng.randrange(hubs)) for _ in range(wanted)}
+        pairs.add((node, 20_000 + node // 3))
+    return pairs
+
+
+def test_a_hundred_hubs(spark):
+    """All hundred targets above the degree are hubs, and the lists' rows follow the edges."""
+    edges = many_hubs(6)
+    degree = Counter(dst for _, dst in edges)
+    assert sum(n > 20 for n in degree.values()) == 100
+    assert run(spark, edges, hub_degree=20, slice_edges=2000) == brute_force(edges)
+
+
+def test_list_rows_follow_the_edges(spark):
+    """Twice the nodes on the same hubs: pairs grow fourfold, the rows that leave the units twofold."""
+    rows = []
+    for nodes in (600, 1200):
+        edges = many_hubs(7, nodes)
+        sets = {}
+        for src, dst in edges:
+            if dst < 20_000:
+                sets.setdefault(src, set()).add(dst)
+        entries = {node: 11 + sum(node in e for e in edges) for node in sets}
+        assert len(edges) > 0
+        frame = spark.createDataFrame([(n, sorted(h)) for n, h in sets.items()], "node long, hubs array<long>")
+        classes = {}
+        for node, hubs in sets.items():
+            key = tuple(sorted(hubs))
+            classes[key] = max(classes.get(key, 0), entries[node])
+        asked = spark.createDataFrame([(i, list(h), e) for i, (h, e) in enumerate(classes.items())], "class long, hubs array<long>, entries long")
+        found = hub_lists(asked, frame).collect()
+        assert len(found) <= sum(classes.values()) <= len(sets) * 11 + 2 * len(edges)
+        rows.append(len(found))
+        for number, (hubs, most) in list(enumerate(classes.items()))[::97]:
+            best = sorted((-len(set(hubs) & other), node) for node, other in sets.items() if set(hubs) & other)[:most]
+            got = sorted((r.rank, r.other, r.shared) for r in found if r["class"] == number)
+            assert got == [(i + 1, node, -share) for i, (share, node) in enumerate(best)]
+    assert rows[1] < 2.3 * rows[0]
+
+
+def test_ids_may_be_texts(spark):
+    edges = {(f"u{src}", f"t{dst}") for src, dst in skewed_graph(8, nodes=30, edges=60)}
+    frame = spark.createDataFrame(sorted(edges), "src string, dst string")
+    got = {(r.user, r.rank): (r.other, r.shared) for r in people_you_may_know(frame, hub_degree=5).collect()}
     assert got == brute_force(edges)
 
 
