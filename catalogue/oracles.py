@@ -467,3 +467,6 @@ ORACLES = {
 # the same rows, read from text files
 ORACLES["letters_from_text"] = ORACLES["letter_counts"]
 ORACLES["kmeans_from_files"] = ORACLES["kmeans_cost_sq"]
+
+#: The index must predict what the model's own way does.
+ORACLES["fp_predict_indexed"] = ORACLES["fp_predict"]

@@ -14,8 +14,8 @@ from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.operators.relational import broadcast_if_small
-from tarn.session import materialise
+from tarn.operators.relational import UNIT_ROWS, broadcast_if_small, lookup, many_to_many
+from tarn.session import materialise, stored
 
 # Rules that may be brought to every executor at once.
 MAX_BROADCAST_RULES = 200_000
@@ -294,34 +294,45 @@ def fp_growth(
     return (growth.setNumPartitions(partitions) if partitions else growth).fit(baskets)
 
 
+def rules_met(rules: DataFrame, baskets: DataFrame, unit_rows: int = UNIT_ROWS) -> DataFrame:
+    """``(basket, items, rule, antecedent, consequent)`` for every rule whose antecedent a basket holds.
+
+    An inverted index: each rule waits at that item of its antecedent which the fewest baskets hold,
+    so an item common to all baskets or rules brings none together unless a rule consists of it. A
+    basket meets the rules that wait at its items, and holds the whole antecedent or not. The
+    baskets and rules of a hot anchor are split among tasks.
+    """
+    present = baskets.select("basket", "items", F.explode(F.array_distinct("items")).alias("anchor"))
+    often = stored(present.groupBy("anchor").agg(F.count("*").alias("baskets")), "item-baskets")
+    rules = stored(rules.select("antecedent", "consequent").withColumn("rule", F.monotonically_increasing_id()), "rules")
+    members = stored(rules.select("rule", F.explode("antecedent").alias("anchor")), "rule-items")
+    # an item in no basket at all counts as the rarest: its rules wait where nobody comes
+    seen = lookup(members, often, "anchor").unionByName(
+        members.join(often, "anchor", "left_anti").withColumn("baskets", F.lit(0).cast("bigint"))
+    )
+    anchors = seen.groupBy("rule").agg(F.min(F.struct("baskets", "anchor"))["anchor"].alias("anchor"))
+    waiting = stored(rules.join(anchors, "rule"), "rule-anchors")
+    met = many_to_many(present, waiting, "anchor", unit_rows)
+    return met.where(F.size(F.array_except("antecedent", "items")) == 0).drop("anchor")
+
+
 def fp_predict(
     model: FPGrowthModel, baskets: DataFrame, max_rules: int = MAX_BROADCAST_RULES
 ) -> DataFrame:
     """``baskets`` with a ``prediction``: consequents of the rules that a basket satisfies.
 
     The model's own ``transform`` holds all rules in memory everywhere, which is the quick
-    way for a counted, moderate number of them. More rules meet the baskets in a join.
+    way for a counted, moderate number of them. More rules meet the baskets through an index
+    by item (:func:`rules_met`).
     """
     rules = model.associationRules.select("antecedent", F.col("consequent")[0].alias("consequent"))
     if rules.limit(max_rules + 1).count() <= max_rules:
         return model.transform(baskets)
-    rules = materialise(rules.withColumn("rule", F.monotonically_increasing_id()))
-    wanted = rules.select(
-        "rule", "consequent", F.size("antecedent").alias("need"), F.explode("antecedent").alias("item")
-    )
-    present = baskets.select("basket", F.explode("items").alias("item"))
-    satisfied = (
-        present.join(wanted, "item")
-        .groupBy("basket", "rule", "consequent", "need")
-        .agg(F.count("*").alias("found"))
-        .where("found = need")
-        .select("basket", F.col("consequent").alias("item"))
-        .distinct()
-    )
     added = (
-        satisfied.join(present, ["basket", "item"], "left_anti")
+        rules_met(rules, baskets)
+        .where(~F.array_contains("items", F.col("consequent")))
         .groupBy("basket")
-        .agg(F.collect_list("item").alias("prediction"))
+        .agg(F.collect_set("consequent").alias("prediction"))
     )
     none = F.array().cast(baskets.schema["items"].dataType)
     return baskets.join(added, "basket", "left").withColumn(

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tarn.functions.stemming import stem
 from tarn.functions.text import WHITESPACE, first_letters
+from tarn.operators.relational import lookup
+from tarn.session import stored
 
 
 def word_rows(lines: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -29,14 +31,25 @@ def letter_counts(lines: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def stem_counts(tokens: DataFrame, token: str, *keys: str, name: str = "n") -> DataFrame:
+def stem_vocabulary(tokens: DataFrame, token: str) -> DataFrame:
+    """``(token, stem)``, stored: each different lower-cased token once, and once to the stemmer."""
+    different = tokens.select(F.lower(token).alias("token")).where("token IS NOT NULL").distinct()
+    return stored(different.withColumn("stem", stem("token")), "vocabulary")
+
+
+def stem_counts(
+    tokens: DataFrame, token: str, *keys: str, name: str = "n", vocabulary: DataFrame | None = None
+) -> DataFrame:
     """Occurrences per ``(keys, stem)`` of lower-cased tokens.
 
-    Equal tokens are counted together first; only the distinct ones reach the stemmer.
+    Equal tokens of a key are counted together first; then each finds its stem in the vocabulary,
+    one stored table over all keys (given, or made of these tokens). Null tokens do not count.
     """
-    counted = tokens.groupBy(*keys, F.lower(token).alias("_token")).agg(F.count("*").alias("_n"))
-    return (
-        counted.withColumn("stem", stem("_token"))
-        .groupBy(*keys, "stem")
-        .agg(F.sum("_n").alias(name))
-    )
+    counted = tokens.groupBy(*keys, F.lower(token).alias("token")).agg(F.count("*").alias("_n")).where("token IS NOT NULL")
+    if not keys and vocabulary is None:  # a row a token already
+        return counted.withColumn("stem", stem("token")).groupBy("stem").agg(F.sum("_n").alias(name))
+    counted = stored(counted, "token-counts")
+    if vocabulary is None:
+        vocabulary = stem_vocabulary(counted, "token")
+    stems = lookup(counted, vocabulary.select("token", "stem"), "token")
+    return stems.groupBy(*keys, "stem").agg(F.sum("_n").alias(name))

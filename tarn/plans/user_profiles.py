@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.operators.relational import top_k
+from tarn.operators.relational import UNIT_ROWS, many_to_many, top_k
 from tarn.plans.item_profiles import ranked_list
 
 
@@ -18,14 +18,15 @@ def _best(scores: DataFrame, trait: str, k: int) -> DataFrame:
     return top_k(scores, ["user"], [F.desc("score"), trait], k)
 
 
-def user_tags(ratings: DataFrame, tag_counts: DataFrame, k: int = 20) -> DataFrame:
+def user_tags(ratings: DataFrame, tag_counts: DataFrame, k: int = 20, unit_rows: int = UNIT_ROWS) -> DataFrame:
     """Top tags: each rating counts once per occurrence of the tag on the item, by any tagger.
 
     Occurrences are already counted per (item, stem) and ratings are summed per
-    (user, item), so the many-to-many join meets neither repeated tags nor repeated pairs.
+    (user, item), so the many-to-many join meets neither repeated tags nor repeated pairs;
+    the raters and tags of a hot item are split among tasks.
     """
     per_item = ratings.groupBy("user", "item").agg(F.sum("rating").alias("rating"))
-    rated = per_item.join(tag_counts, "item")
+    rated = many_to_many(per_item, tag_counts, "item", unit_rows)
     return _best(_scores(rated, "stem", F.col("rating") * F.col("n")), "stem", k)
 
 

@@ -61,3 +61,14 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from the files.
+
+    Like :func:`materialise`, but what is read later is pruned by column, filtered on reading and of
+    a size that Spark knows when it plans a join.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -134,3 +134,17 @@ def test_a_basket_of_thousands_makes_no_triples_of_its_own(spark):
     contents = bk.basket_contents(spark.createDataFrame(rows, "basket bigint, item string"))
     found = bk.triple_counts(contents, 20).collect()
     assert [(r.a, r.b, r.c, r.n) for r in found] == [("x0", "x1", "x2", 41)]
+
+
+def test_rules_wait_at_their_rarest_item(spark):
+    """All thousand rules and all baskets share an item; only rules at a basket's other items meet it."""
+    sets = spark.createDataFrame([(b, ["all", f"x{b % 500}", "y"]) for b in range(2000)], "basket long, items array<string>")
+    rules = [(["all", f"x{k}"], ["z"]) for k in range(500)] + [(["all", f"gone{k}"], ["z"]) for k in range(499)] + [(["all"], ["y"])]
+    frame = spark.createDataFrame([(a, c[0]) for a, c in rules], "antecedent array<string>, consequent string")
+    met = bk.rules_met(frame, sets, unit_rows=100).collect()
+    assert len(met) == 2000 * 2
+    assert all(set(r.antecedent) <= set(r["items"]) for r in met)
+    joined = bk.rules_met(frame, sets)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cartesian" not in joined
+    # rows out of the join of baskets and waiting rules, before containment is looked at: no more than met
+    assert len({(r.basket, r.rule) for r in met}) == len(met)
