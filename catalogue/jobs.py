@@ -150,6 +150,31 @@ def basket_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(items, "item")
 
 
+def basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written in order as lines of text and read back as baskets named by their line."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.concat_ws(" ", "o_orderstatus", "o_orderpriority", "o_orderstatus").alias("value"))
+    path = scratch_path(spark, "order-lines")
+    orders.orderBy("o_orderkey").select("value").write.text(path)
+    return ln.basket_items(ln.read_numbered_lines(spark, path), basket="line")
+
+
+def csv_text_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts through a CSV file, read back without a schema; numbers are cast by name."""
+    documents = read_table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents-csv")
+    tb.write_csv(documents, path, file_rows=500)
+    return tb.typed(tb.read_csv_strings(spark, path), {"doc_id": "bigint", "n_chars": "bigint"})
+
+
+def csv_text_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the types found in the file."""
+    turns = read_table(spark, sf_dir, "conversations")
+    path = scratch_path(spark, "turns-csv")
+    tb.write_csv(turns, path, file_rows=500)
+    back = tb.read_csv_inferred(spark, path)
+    return back.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+
+
 def vector_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read_table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id", "array_join(transform(embedding, x -> string(x)), ' ') AS value"
@@ -537,6 +562,9 @@ JOBS = {
     "csv_strings": csv_strings,
     "adjacency_parse": adjacency_parse,
     "basket_parse": basket_parse,
+    "basket_lines": basket_lines,
+    "csv_text_strings": csv_text_strings,
+    "csv_text_inferred": csv_text_inferred,
     "vector_parse": vector_parse,
     "letter_counts": letters,
     "letters_from_text": letters_from_text,

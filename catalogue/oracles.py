@@ -470,3 +470,8 @@ ORACLES["kmeans_from_files"] = ORACLES["kmeans_cost_sq"]
 
 #: The index must predict what the model's own way does.
 ORACLES["fp_predict_indexed"] = ORACLES["fp_predict"]
+ORACLES["basket_lines"] = """
+    SELECT basket, unnest(string_split(o_orderstatus || ' ' || o_orderpriority || ' ' || o_orderstatus, ' ')) AS item
+    FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS basket, o_orderstatus, o_orderpriority FROM orders)"""
+ORACLES["csv_text_strings"] = "SELECT * FROM documents"
+ORACLES["csv_text_inferred"] = "SELECT conv_id, turn, role, text FROM conversations"

@@ -106,24 +106,25 @@ class RatingModel:
 def item_mean_rmse(split: DataFrame) -> DataFrame:
     """``(matched, rmse)`` of the validation rows against the item's mean training rating.
 
-    One pass: per item the sums of both splits, from which the squared errors follow. Divides by
-    all validation rows; those of items without training ratings add no error.
+    One pass: per item the validation ratings' squared distance from their own mean, and the distance
+    of that mean from the training mean. Both come from centred moments, which tasks merge without
+    ever subtracting large sums, so ratings far from zero lose nothing. Divides by all validation
+    rows; those of items without training ratings add no error.
     """
-    def of(name: str, value: Column) -> Column:
-        return F.when(F.col("split") == name, value)
-
     rating = F.col("rating").cast("double")
-    sums = split.groupBy("item").agg(
-        F.avg(of("train", rating)).alias("mean"),
-        F.count(of("validation", rating)).alias("n"),
-        F.sum(of("validation", rating)).alias("s"),
-        F.sum(of("validation", rating * rating)).alias("q"),
+    held_out = F.col("split") == "validation"
+    judged = split.where((F.col("split") == "train") | held_out).where(rating.isNotNull() | held_out)
+    moments = judged.groupBy("item").agg(
+        F.count_if(~held_out).alias("known"),
+        F.count(F.when(held_out, rating)).alias("n"),
+        F.var_pop(F.when(held_out, rating)).alias("spread"),
+        # the slope over a flag is the difference of the two means
+        F.regr_slope(rating, F.when(held_out, 1.0).otherwise(0.0)).alias("apart"),
     )
-    known = F.col("mean").isNotNull()
-    error = F.col("q") - 2 * F.col("mean") * F.col("s") + F.col("n") * F.col("mean") * F.col("mean")
-    return sums.agg(
-        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("matched"),
-        F.sqrt(F.try_divide(F.greatest(F.sum(error), F.lit(0.0)), F.sum("n"))).alias("rmse"),
+    error = F.col("n") * (F.col("spread") + F.col("apart") * F.col("apart"))
+    return moments.agg(
+        F.coalesce(F.sum(F.when(F.col("known") > 0, F.col("n"))), F.lit(0)).alias("matched"),
+        F.sqrt(F.try_divide(F.sum(F.when(F.col("known") > 0, error)), F.sum("n"))).alias("rmse"),
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.text import WHITESPACE, words
+from tarn.operators.relational import broadcast_if_small
+from tarn.session import stored
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -13,6 +15,28 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text file(s) as rows ``(line, value)``, numbered from 0 over all files in the order of their names.
+
+    The number depends on the files alone, not on how they were split for reading: a line's place
+    in its block is added to the lines of all blocks before it. The lines are stored once with their
+    places, so that both are of the same reading. Names of equal length go by their letters, shorter
+    ones first, so that numbered parts stay in order.
+    """
+    place = F.monotonically_increasing_id().alias("place")
+    block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    marked = stored(read_lines(spark, path).select("value", *block, place), "lines")
+    # one row a block; a block's lines are consecutive in one task
+    blocks = stored(marked.groupBy("file", "block").agg(F.min("place").alias("first"), F.count("*").alias("n")), "line-blocks")
+    before = lambda window: F.coalesce(F.sum("n").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = blocks.withColumn("inside", before(Window.partitionBy("file").orderBy("block")))
+    files = blocks.groupBy("file").agg(F.sum("n").alias("n"))
+    files = files.select("file", before(Window.orderBy(F.length("file"), "file")).alias("earlier"))
+    starts = inside.join(files, "file").select("file", "block", (F.col("earlier") + F.col("inside") - F.col("first")).alias("shift"))
+    numbered = marked.join(broadcast_if_small(stored(starts, "line-starts")), ["file", "block"])
+    return numbered.select((F.col("place") + F.col("shift")).alias("line"), "value")
+
+
 def _number(column: Column, kind: str, malformed: str) -> Column:
     if malformed == "fail":
         return column.cast(kind)
@@ -36,12 +60,15 @@ def adjacency_edges(lines: DataFrame, value: str = "value", malformed: str = "fa
     return edges.dropna() if malformed == "drop" else edges
 
 
-def basket_items(lines: DataFrame, value: str = "value") -> DataFrame:
+def basket_items(lines: DataFrame, value: str = "value", basket: str | None = None) -> DataFrame:
     """One basket a line, codes separated by white space, to rows ``(basket, item)``.
 
-    Repeated codes stay repeated. The basket id numbers the lines of the scan.
+    Repeated codes stay repeated. ``basket`` names the column with the line's number, as
+    :func:`read_numbered_lines` gives it; without one the lines of this scan are numbered, and
+    another scan may number them otherwise.
     """
-    numbered = lines.select(F.monotonically_increasing_id().alias("basket"), value)
+    number = F.monotonically_increasing_id() if basket is None else F.col(basket)
+    numbered = lines.select(number.alias("basket"), value)
     return numbered.select("basket", F.explode(F.split(value, WHITESPACE)).alias("item")).where(
         "item <> ''"
     )

@@ -37,14 +37,47 @@ CSV_FORMAT = {
 }
 
 
+#: Texts of one file, by their mean size; files are what the reader deals to tasks.
+FILE_BYTES = 64 << 20
+
+
 def _text_columns(schema: StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, StringType)]
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write with a header what :func:`read_csv` reads back without loss."""
+def _rows_per_file(df: DataFrame, file_bytes: int) -> int:
+    """How many rows of mean size make ``file_bytes``; other columns count 16 bytes."""
+    texts = _text_columns(df.schema)
+    mean = 16.0 * len(df.columns)
+    if texts:
+        sizes = [F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0)) for name in texts]
+        total = sizes[0]
+        for size in sizes[1:]:
+            total = total + size
+        mean += df.agg(F.avg(total)).first()[0] or 0.0
+    return max(1, int(file_bytes / mean))
+
+
+def write_csv(df: DataFrame, path: str, file_rows: int | None = None, file_bytes: int = FILE_BYTES) -> None:
+    """Write with a header what :func:`read_csv` reads back without loss.
+
+    A file with line breaks in its texts can only be read from its beginning, by one task, so no
+    file gets more than ``file_rows``; without that number, as many as make about ``file_bytes``,
+    for which the texts' sizes are summed in a pass of their own.
+    """
     marked = {name: F.regexp_replace(F.col(name), r"^(\\+N)$", r"\\$1") for name in _text_columns(df.schema)}
-    df.withColumns(marked).write.mode("overwrite").options(emptyValue='""', **CSV_FORMAT).csv(path)
+    rows = file_rows or _rows_per_file(df, file_bytes)
+    writer = df.withColumns(marked).write.mode("overwrite").option("maxRecordsPerFile", rows)
+    writer.options(emptyValue='""', **CSV_FORMAT).csv(path)
+
+
+def _read(spark: SparkSession, path: str, schema: StructType | str | None, infer: bool, multi_line: bool, mode: str) -> DataFrame:
+    reader = spark.read.options(emptyValue="", multiLine=multi_line, mode=mode, **CSV_FORMAT)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    rows = reader.csv(path, inferSchema=infer)
+    plain = {name: F.regexp_replace(F.col(f"`{name}`"), r"^\\(\\+N)$", "$1") for name in _text_columns(rows.schema)}
+    return rows.withColumns(plain)
 
 
 def read_csv(
@@ -54,24 +87,24 @@ def read_csv(
 
     A value that does not fit its type fails the job; ``mode='PERMISSIVE'`` makes it null,
     ``'DROPMALFORMED'`` leaves the row out. Texts may hold line breaks, so a file is read by one
-    task; where none does, ``multi_line=False`` splits large files.
+    task, which small files share (``spark.sql.files.maxPartitionBytes``); where no text does,
+    ``multi_line=False`` splits large files.
     """
-    reader = spark.read.schema(schema).options(
-        emptyValue="", enforceSchema=False, multiLine=multi_line, mode=mode, **CSV_FORMAT
-    )
-    rows = reader.csv(path)
-    plain = {name: F.regexp_replace(F.col(name), r"^\\(\\+N)$", "$1") for name in _text_columns(rows.schema)}
-    return rows.withColumns(plain)
+    return _read(spark, path, schema, False, multi_line, mode)
+
 
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """CSV with a header and inferred types. Costs a second full pass; for exploration only.
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header and inferred types. Costs a second full pass; for exploration only."""
-    return spark.read.options(**CSV_FORMAT).csv(path, inferSchema=True)
+    Line breaks, null, empty texts and ``\\N`` are told apart as in :func:`read_csv`; a row with
+    too few or too many fields fails the job, or what ``mode`` says.
+    """
+    return _read(spark, path, None, True, multi_line, mode)
 
 
-def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every column a string; cast with :func:`typed`."""
-    return spark.read.options(**CSV_FORMAT).csv(path)
+def read_csv_strings(spark: SparkSession, path: str, multi_line: bool = True, mode: str = "FAILFAST") -> DataFrame:
+    """CSV with a header, every column a string; cast with :func:`typed`. Otherwise as :func:`read_csv_inferred`."""
+    return _read(spark, path, None, False, multi_line, mode)
 
 
 def typed(df: DataFrame, types: dict[str, str], malformed: str = "fail") -> DataFrame:

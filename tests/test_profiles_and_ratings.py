@@ -148,3 +148,23 @@ def test_all_given_users_join_the_training_set(spark):
     items = spark.createDataFrame([(1,), (2,)], "item bigint")
     with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
         rt.unseen_items(items, ratings, users).collect()
+
+
+@pytest.mark.parametrize("shift", [0.0, 1e8, -1e8])
+def test_errors_far_from_zero(spark, shift):
+    rng = random.Random(5)
+    rows = [(rng.randrange(40), shift + rng.randrange(1, 11) / 2, rng.choice(["train", "train", "validation", "test"])) for _ in range(2000)]
+    rows += [(99, shift + 1.0, "validation"), (98, shift + 2.0, "train")]  # without training, without validation
+    of = lambda item, split: [r - shift for i, r, s in rows if i == item and s == split]
+    items = {i for i, _, _ in rows}
+    errors = [(r - np.mean(of(i, "train"))) ** 2 for i in items if of(i, "train") for r in of(i, "validation")]
+    all_rows = sum(s == "validation" for _, _, s in rows)
+    got = rt.item_mean_rmse(spark.createDataFrame(rows, "item long, rating double, split string").repartition(5)).first()
+    assert got.matched == len(errors) == all_rows - 1
+    assert got.rmse == pytest.approx(np.sqrt(sum(errors) / all_rows), abs=1e-6)
+
+
+def test_errors_of_two_ratings_a_hundred_million_up(spark):
+    rows = [(1, 1e8 + 3.0, "train"), (1, 1e8 + 3.0, "validation"), (1, 1e8 + 4.0, "validation")]
+    got = rt.item_mean_rmse(spark.createDataFrame(rows, "item long, rating double, split string")).first()
+    assert got.rmse == pytest.approx(0.5**0.5, abs=1e-9)

@@ -136,3 +136,55 @@ def test_required_columns_of_any_type(spark):
     assert checked.select("d", "b", "l", "s").collect() == rows.select("d", "b", "l", "s").collect()
     with pytest.raises(Exception, match="null in column b"):
         tb.require_not_null(optional.withColumn("b", F.when(F.rand() > 2, F.col("b"))), ["b"]).collect()
+
+
+TEXTS = ["two\nlines", "\\N", "\\\\N", "", None, ' "quoted", ', "a\r\nb", "tab\t ", "plain", "12"]
+
+
+@pytest.mark.parametrize("read", [tb.read_csv_strings, tb.read_csv_inferred])
+def test_reading_without_a_schema_loses_nothing(spark, tmp_path, read):
+    rows = [(str(k), t) for k, t in enumerate(TEXTS)]
+    tb.write_csv(spark.createDataFrame(rows, "n string, t string"), str(tmp_path / "t.csv"), file_rows=3)
+    back = [(str(r.n), r.t) for r in read(spark, str(tmp_path / "t.csv")).collect()]
+    assert sorted(back) == rows
+
+
+def test_reading_without_a_schema_fails_on_bad_rows(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\n3\n")
+    for read in (tb.read_csv_strings, tb.read_csv_inferred):
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            read(spark, str(tmp_path / "bad.csv")).collect()
+    assert tb.read_csv_strings(spark, str(tmp_path / "bad.csv"), mode="PERMISSIVE").count() == 2
+
+
+def test_texts_with_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id", "concat('line one ', id, '\\nline two ', repeat('x', 500)) AS t").coalesce(1)
+    path = str(tmp_path / "many.csv")
+    tb.write_csv(rows, path, file_bytes=100_000)
+    files = list((tmp_path / "many.csv").glob("*.csv"))
+    assert len(files) >= 10 and max(f.stat().st_size for f in files) < 150_000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        back = tb.read_csv(spark, path, rows.schema)
+        tasks = back.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) >= 5 and max(r["count"] for r in tasks) < 600
+        assert sorted(back.collect()) == sorted(rows.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_keep_their_numbers_under_any_split(spark, tmp_path):
+    lines = [f"item{k % 7} item{k}" + " " * (k % 50) for k in range(3000)]
+    for part in range(3):
+        (tmp_path / f"part-{part}").write_text("\n".join(lines[part * 1000 : (part + 1) * 1000]) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("3000", "17000", "10000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "100")
+            rows = ln.read_numbered_lines(spark, str(tmp_path)).collect()
+            assert sorted(map(tuple, rows)) == list(enumerate(lines))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
