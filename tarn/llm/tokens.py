@@ -8,12 +8,14 @@ reader of some documents skips stripes and rows by metadata alone; stripes are r
 gives each file's start, so a position in the whole stream needs neither a sort nor a running sum.
 
 Defined results: a null or empty text is the end id alone; null document ids come first; documents
-that share an id stand together, ordered by the hash of their texts; a very long text is one row;
+that share an id stand together, ordered by the hash of their texts; texts that hold a special token's
+name are encoded as the tokenizer does by itself, the name as that token; a very long text is one row;
 an empty table gives files without rows; other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -34,14 +36,15 @@ STRIPE_BYTES = 16 << 20
 #: Distinct pieces of text that a worker remembers with their ids, and that it encodes at a time.
 MEMORY = 600_000
 AT_ONCE = 4096
+PLAIN_AT_ONCE = 50_000
 #: Characters of texts encoded at a time; a longer text is encoded alone.
 AT_ONCE_CHARS = 8_000_000
 
 #: A space between two characters that are no white space always begins a new token.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 MARK = "\0"
-#: Letters, then marks: two tokens' worth of a word in every version of the Unicode tables.
-PLAIN = re.compile(r"([A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\xFF]*)([.,!?;:|#$%&*]*)")
+#: Letters, then marks: two units of a word in every version of the Unicode tables.
+PLAIN = r"^(?P<word>[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]*)(?P<marks>[.,!?;:|#$%&*]*)$"
 
 
 def byte_letters() -> dict[int, str]:
@@ -64,8 +67,23 @@ class Pieces(dict):
         return number
 
 
+def cuts_at_spaces(tokenizer: str) -> bool:
+    """Whether the file is a byte-level BPE that may be asked piece by piece: texts as they are, split by
+    its usual pattern, merged without chance or extra marks."""
+    whole = json.loads(tokenizer)
+    split, model = whole.get("pre_tokenizer") or {}, whole["model"]
+    return (
+        whole.get("normalizer") is None
+        and split.get("type") == "ByteLevel"
+        and not split.get("add_prefix_space", True)
+        and split.get("use_regex", True)
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "unk_token", "ignore_merges"))
+    )
+
+
 class Encoder:
-    """Encodes texts piece by piece and remembers the ids of the pieces.
+    """Encodes texts as the tokenizer does without its special tokens, and remembers the ids of pieces.
 
     Byte-level BPE never joins characters across the beginning of a word: cut before each single
     space, the pieces' ids in order are the text's ids. Most pieces repeat, so each is encoded once.
@@ -74,15 +92,20 @@ class Encoder:
     Pieces without that leading space (``MARK`` in their key), with such a character or with white
     space at their end are encoded on their own. Most words are letters and a mark or two, which
     need no splitting by the tokenizer; those go to its merges at once.
+
+    A text that holds the name of an added token is left to the tokenizer whole, and so are all
+    texts where the file is no byte-level BPE of this kind.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text their names are ordinary text
-        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.letters = byte_letters()
+        self.merges = self.tokenizer.model
+        self.by_piece = cuts_at_spaces(self.tokenizer.to_str())
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0] if self.by_piece else -1
+        self.letters = byte_letters() | {10: "\n"}  # units hold no line break; it parts them
         self.numbers = Pieces()
         self.ids = np.zeros(0, dtype=np.int32)
         # by a piece's number: where its ids begin, how many, how often it was used, and whether it
@@ -108,25 +131,30 @@ class Encoder:
         sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
         return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(sizes.sum())), sizes
 
-    def _word(self, text: str) -> list[int]:
-        """The ids of one whole unit of the tokenizer's first split, straight from its merges."""
-        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
-
-    def _plain(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of letters and marks, which fall into units without asking the tokenizer."""
-        known: dict[str, list[int]] = {}
-        coded = []
-        for piece in pieces:
-            word, marks = PLAIN.fullmatch(piece).groups()
-            units = [" " + word, marks] if word and marks else [" " + piece]
-            ids = []
-            for unit in units:
-                if unit not in known:
-                    known[unit] = self._word(unit)
-                ids += known[unit]
-            coded.append(ids)
-        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
-        return np.fromiter(chain.from_iterable(coded), dtype=np.int32, count=int(sizes.sum())), sizes
+    def _plain(self, words: pa.Array, marks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of letters and marks, which fall into units without asking the tokenizer: a space with
+        the letters, or else with the marks; then marks behind letters."""
+        lettered = pc.not_equal(words, "")
+        both = pc.and_(lettered, pc.not_equal(marks, "")).to_numpy(zero_copy_only=False)
+        heads = pc.binary_join_element_wise("", pc.if_else(lettered, words, marks), " ")
+        coded = pa.concat_arrays([heads, marks.filter(pa.array(both))]).dictionary_encode()
+        units, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        # the letters that stand for the units' bytes, all at once
+        letters = "\n".join(units).encode().decode("latin-1").translate(self.letters).split("\n") if units else []
+        merge = self.merges.tokenize
+        ids = [[t.id for t in merge(u)] for u in letters]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
+        # a piece's head and, behind it, its marks
+        order = np.empty(len(which), dtype=np.int64)
+        head_at = np.arange(len(both)) + np.cumsum(both) - both
+        order[head_at] = which[: len(both)]
+        order[head_at[both] + 1] = which[len(both) :]
+        unit_sizes = sizes[order]
+        ends = np.cumsum(unit_sizes)
+        starts = (np.cumsum(sizes) - sizes)[order]
+        out = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - unit_sizes), unit_sizes)]
+        return out, np.add.reduceat(unit_sizes, head_at) if len(head_at) else unit_sizes
 
     def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, _ = self._alone([" " + f"{MARK} ".join(pieces)])
@@ -137,23 +165,38 @@ class Encoder:
 
     def _learn(self) -> None:
         new, self.numbers.new = self.numbers.new, []
+        if not new:
+            return
         first, size = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
-        bare = [p.strip() is p for p in new]  # no white space at either end; a key's MARK is none
-        easy = np.array([b and p != "" and MARK not in p for p, b in zip(new, bare)], dtype=bool)
         parts, known = [self.ids], len(self.ids)
-        plain = np.array([PLAIN.fullmatch(p) is not None for p in new], dtype=bool) & easy
-        for which, encode in ((plain, self._plain), (easy & ~plain, self._together), (~easy, self._alone)):
-            places = np.flatnonzero(which)
-            for at in range(0, len(places), AT_ONCE):
-                part = places[at : at + AT_ONCE]
-                pieces = [new[n] for n in part.tolist()]
-                if encode == self._alone:
-                    pieces = [p[1:] if p.startswith(MARK) else " " + p for p in pieces]
-                ids, size[part] = encode(pieces)
-                first[part] = known + np.cumsum(size[part]) - size[part]
-                parts.append(ids)
-                known += len(ids)
-        spaced = np.array([not b or p in ("", MARK) for p, b in zip(new, bare)], dtype=bool)
+
+        def keep(places: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+            nonlocal known
+            size[places] = sizes
+            first[places] = known + np.cumsum(sizes) - sizes
+            parts.append(ids)
+            known += len(ids)
+
+        pieces = pa.array(new, pa.string())
+        found = pc.extract_regex(pieces, PLAIN)
+        plain = pc.and_(pc.is_valid(found), pc.not_equal(pieces, ""))
+        words = found.filter(plain)
+        plain = plain.to_numpy(zero_copy_only=False)
+        places = np.flatnonzero(plain)
+        for at in range(0, len(places), PLAIN_AT_ONCE):
+            part = words.slice(at, PLAIN_AT_ONCE)
+            keep(places[at : at + PLAIN_AT_ONCE], *self._plain(pc.struct_field(part, 0), pc.struct_field(part, 1)))
+        others = np.flatnonzero(~plain).tolist()
+        bare = {n for n in others if new[n].strip() is new[n]}  # no white space at either end; a key's MARK is none
+        easy = [n for n in others if n in bare and new[n] != "" and MARK not in new[n]]
+        hard = [n for n in others if n not in bare or new[n] == "" or MARK in new[n]]
+        for at in range(0, len(easy), AT_ONCE):
+            keep(np.array(easy[at : at + AT_ONCE]), *self._together([new[n] for n in easy[at : at + AT_ONCE]]))
+        for at in range(0, len(hard), AT_ONCE):
+            part = [new[n] for n in hard[at : at + AT_ONCE]]
+            keep(np.array(hard[at : at + AT_ONCE]), *self._alone([p[1:] if p.startswith(MARK) else " " + p for p in part]))
+        spaced = np.zeros(len(new), dtype=bool)
+        spaced[[n for n in hard if n not in bare or new[n] in ("", MARK)]] = True
         self.ids = np.concatenate(parts)
         self.first, self.size = np.append(self.first, first), np.append(self.size, size)
         self.spaced = np.append(self.spaced, spaced)
@@ -161,9 +204,30 @@ class Encoder:
 
     def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, each text followed by the end id; and their sizes."""
+        texts = pc.fill_null(pa.array(texts, pa.large_string()), "")
+        if not self.by_piece:
+            return self._whole(texts.to_pylist())
+        named = np.zeros(len(texts), dtype=bool)
+        for name in self.added:
+            named |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        if not named.any():
+            return self._pieced(texts)
+        ids, sizes = self._pieced(pc.if_else(pa.array(named), "", texts))
+        own_ids, own_sizes = self._whole(texts.filter(pa.array(named)).to_pylist())
+        parts = np.split(ids, np.cumsum(sizes)[:-1])
+        for row, part in zip(np.flatnonzero(named).tolist(), np.split(own_ids, np.cumsum(own_sizes)[:-1])):
+            parts[row] = part
+        sizes[named] = own_sizes
+        return np.concatenate(parts), sizes
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = self._alone(texts)
+        ends = np.cumsum(sizes)
+        return np.insert(ids, ends, END).astype(np.int32), sizes + 1
+
+    def _pieced(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self.numbers) > MEMORY:
             self._forget()
-        texts = pc.fill_null(pa.array(texts, pa.large_string()), "")
         cut = pc.split_pattern(texts, " ")
         counts = cut.value_lengths().to_numpy().astype(np.int64)
         pieces = cut.flatten()
@@ -237,9 +301,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     files = spark.read.orc(f"{path}/ids").groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.count("*").alias("n_documents"), F.sum("n_tokens").alias("n_tokens"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")
     )
-    # one row a file; the files' names are in the order of their parts
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    files.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))).write.orc(f"{path}/manifest")
+    with_starts(files).write.orc(f"{path}/manifest")
+
+
+def with_starts(files: DataFrame) -> DataFrame:
+    """The manifest's rows, one a file, with the number of ids in all files before. Files are numbered as
+    the parts of one write; the numbers are compared, not the names, whose padding ends at five digits."""
+    number = F.regexp_extract("file", r"^part-(\d+)", 1).cast("bigint")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -17,9 +17,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    own = Tokenizer.from_file(PATH)
-    own.encode_special_tokens = True
-    return own
+    return Tokenizer.from_file(PATH)
 
 
 def expected(tokenizer, rows):
@@ -41,12 +39,36 @@ def test_pieces_are_whole_texts(tokenizer):
     texts = [
         "", None, " ", "  ", "\n", "a  b", " a b ", "it's a dog 's", "x  y  z", "a \n b\t c   d", "<|endoftext|> x",
         "é è  ü", "1 22  333 4,4", "a" * 5000, "\x1c a \x1d", "don't  stop\r\n", "🙂 🙂  🙂", "tab\tspace \tx",
+        "hello <|endoftext|> world", "a<|endoftext|>b c", "<|endoftext|>", "x <|endoftext|><|endoftext|> ", "<|endoftext| >",
+        "word, word. word", "!", " ?!", "a!b", "naïve, Ærø ÿ× x÷y", "don't, (no) \"x\"",
     ]
     ids, sizes = tokens.Encoder(PATH).encode(texts)
     flat = [i for t in texts for i in [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]]
     assert ids.tolist() == flat and sizes.sum() == len(flat)
 
 
+def test_the_name_of_a_special_token():
+    ids, sizes = tokens.Encoder(PATH).encode(["hello <|endoftext|> world", "x"])
+    assert ids.tolist()[:5] == [31373, 220, 50256, 995, 0] and sizes.tolist() == [5, 2]
+
+
+def test_other_kinds_of_tokenizer():
+    """A file whose tokens are not cut at spaces is asked for whole texts."""
+    other = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(other)
+    texts = ["Hello  World, it's", "", "<|endoftext|> a", "x " * 50]
+    encoder = tokens.Encoder(other)
+    assert not encoder.by_piece and tokens.Encoder(PATH).by_piece
+    assert encoder.encode(texts)[0].tolist() == [i for t in texts for i in [*plain.encode(t, add_special_tokens=False).ids, 0]]
+
+
+def test_starts_follow_the_numbers_of_the_files(spark):
+    rows = [(f"part-{n:05d}-x.orc", n % 7 + 1) for n in (0, 7, 99_998, 99_999, 100_000, 100_001, 1_234_567)]
+    files = spark.createDataFrame(rows[::-1], "file string, n_tokens bigint")
+    starts = {r.file: r.start for r in tokens.with_starts(files).collect()}
+    assert [starts[f] for f, _ in rows] == [sum(n for _, n in rows[:k]) for k in range(len(rows))]
+
+
 def test_against_the_tokenizer(spark, tokenizer):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
