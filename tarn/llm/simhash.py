@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm import similarity
-from tarn.llm.common import fresh, small, store
+from tarn.llm.common import fresh, hot_join, small, store
 from tarn.llm.components import components
 from tarn.llm.similarity import with_cells
 
@@ -219,7 +219,7 @@ def first_documents(docs: DataFrame, shingle: int = CONTRACT, distance: int | No
     rows = marked.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")).join(rooted, "fp")
     rows = store(rows, "simhash-rows")
     best = rows.groupBy("root").agg(F.min(order).alias("best"))
-    judged = rows.join(best, "root").select("doc_id", "text_hash", "n", (order == F.col("best")).alias("stays"))
+    judged = hot_join(rows, store(best, "simhash-best"), ["root"]).select("doc_id", "text_hash", "n", (order == F.col("best")).alias("stays"))
     doc_id, text_hash, n, stays = fresh(docs, "simhash_id", "simhash_text", "simhash_n", "simhash_stays")
     special = store(judged.filter("NOT stays OR n > 1").toDF(doc_id, text_hash, n, stays), "simhash-judged")
     hashed = F.xxhash64(F.coalesce("text", F.lit("")))

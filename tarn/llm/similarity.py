@@ -2,11 +2,16 @@
 
 Equal sets are one node. Minima of hashed shingles in ``BANDS`` bands of ``ROWS`` bring sets to
 common cells: two sets of similarity 0.8 share none with a probability of 5e-7, more similar ones
-less often still. Each member of a cell is tied to the cell's smallest one, so a cell costs what it
-has members. The components of these ties are groups that hold every link; inside a group all
-pairs are compared exactly, over the shingles themselves. Groups are cut into blocks of a bounded
-number of sets and shingles, every two blocks are one unit of work, and a unit returns only a
-spanning forest of the links it finds. Small groups share units.
+less often still. Sets with a common cell belong to one group, which holds every link: each set's
+cells are tied to the smallest of their smallest members, so ties are few even where cells are full.
+
+Inside a group the sets are compared exactly, over the shingles themselves, in blocks of a bounded
+number of sets and shingles; a block returns only a spanning forest of the links it finds. A group
+of one block is done then (small groups share a unit). Of a larger group each component found so far
+sends one set to the next round, where these are dealt to blocks again, until a round finds nothing:
+a group of near copies is one component after as many rounds as blocks of blocks have levels. Only
+what is still apart then is compared all with all, block by block, but never two blocks of the same
+component; those units return a link only where it joins two components.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import small, store
+from tarn.llm.common import hot_join, small, store
 from tarn.llm.components import components
 
 SIMILARITY = 0.8
@@ -68,14 +73,11 @@ def with_cells(docs: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(of, f"doc_id {id_type}, text_hash bigint, fp bigint, n_shingles bigint, cells array<bigint>")
 
 
-def forest(fps: np.ndarray, sets: list[np.ndarray], second: np.ndarray) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links among the sets, or between the first and the second ones."""
-    inner = not second.any()
-    left = np.arange(len(sets)) if inner else np.flatnonzero(~second)
-    right = left if inner else np.flatnonzero(second)
+def forest(fps: np.ndarray, sets: list[np.ndarray], labels: np.ndarray) -> tuple[list[int], list[int]]:
+    """Links that join the sets as all links do, where sets of one label count as joined already."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    every = np.concatenate([sets[i] for i in left]) if len(left) else np.zeros(0, dtype=np.uint64)
-    owner = np.repeat(np.arange(len(left)), sizes[left])
+    every = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
     parent: dict[int, int] = {}
@@ -86,54 +88,117 @@ def forest(fps: np.ndarray, sets: list[np.ndarray], second: np.ndarray) -> tuple
         return x
 
     a, b = [], []
-    for j in right.tolist():
+    apart = len(np.unique(labels)) - 1
+    for j in range(len(sets)):
+        if not apart:
+            break
         start = np.searchsorted(every, sets[j], "left")
         length = np.searchsorted(every, sets[j], "right") - start
         # the places of all sets that hold one of this set's shingles
         at = np.arange(length.sum()) + np.repeat(start - np.cumsum(length) + length, length)
         met, common = np.unique(owner[at], return_counts=True)
-        near = met[common / (sizes[left[met]] + sizes[j] - common) >= SIMILARITY]
-        y = int(fps[j])
-        for x in fps[left[near]].tolist():
-            root, other = find(x), find(y)
+        near = met[common / (sizes[met] + sizes[j] - common) >= SIMILARITY]
+        for i in near.tolist():
+            root, other = find(int(labels[i])), find(int(labels[j]))
             if root != other:
                 parent[root] = other
-                a.append(x)
-                b.append(y)
+                a.append(int(fps[i]))
+                b.append(int(fps[j]))
+                apart -= 1
     return a, b
 
 
-def links(docs: DataFrame, marked: DataFrame, shingle: int) -> DataFrame:
-    """``(a, b)``: links that between them connect whatever nodes are connected; ``marked`` is stored."""
+def _groups(marked: DataFrame) -> DataFrame:
+    """``(fp, root)``: the sets that share a cell with another one, and their group."""
     members = marked.select("fp", F.explode("cells").alias("cell"))
     crowded = members.groupBy("cell").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).filter("least < most")
     crowded = small(store(crowded.select("cell", "least"), "similarity-crowded"), 32)
-    ties = members.join(crowded, "cell").filter("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()
-    groups = components(store(ties, "similarity-ties")).withColumnRenamed("node", "fp")
-    # one document of each set has its shingles taken again
+    # a set has at most as many cells as there are bands
+    seen = members.join(crowded, "cell").groupBy("fp").agg(F.min("least").alias("first"), F.collect_set("least").alias("leasts"))
+    seen = store(seen, "similarity-seen")
+    ties = seen.select(F.col("first").alias("a"), F.explode("leasts").alias("b")).filter("a <> b").distinct()
+    tied = components(store(ties, "similarity-ties")).withColumnRenamed("node", "first")
+    return seen.select("fp", "first").join(small(store(tied, "similarity-tied"), 24), "first", "left").select("fp", F.coalesce("root", "first").alias("root"))
+
+
+def _sets(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """Stored ``(fp, root, n_shingles, text)``: one text for each set that is in a group."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    chosen = marked.select("fp", "n_shingles", order.alias("of")).join(groups, "fp").groupBy("fp", "root", "n_shingles").agg(F.min("of").alias("of"))
-    chosen = store(chosen, "similarity-chosen")
-    sizes = chosen.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("weight") / WEIGHT), F.lit(1)).cast("int")
-    sizes = store(sizes.select("root", "weight", blocks.alias("blocks")), "similarity-sizes")
-    shared = 1 + (sizes.filter("blocks = 1").agg(F.sum("weight")).first()[0] or 0) // WEIGHT
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
-    wanted = chosen.join(small(sizes, 48), "root").select("fp", "root", "blocks", block.alias("block"), F.col("of.doc_id").alias("id"), F.col("of.text_hash").alias("hash"))
-    wanted = store(wanted, "similarity-wanted")
+    chosen = marked.select("fp", "n_shingles", order.alias("of")).join(_groups(marked), "fp").groupBy("fp", "root", "n_shingles").agg(F.min("of").alias("of"))
+    wanted = store(chosen.select("fp", "root", "n_shingles", F.col("of.doc_id").alias("id"), F.col("of.text_hash").alias("hash")), "similarity-chosen")
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("hash"))
     texts = docs.select("doc_id", "text").join(small(wanted, 64), same).dropDuplicates(["fp"])
-    # the sets of block i meet those of every block j >= i, in the unit (i, j)
-    placed = texts.select("fp", "text", "root", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pair = F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other"))
-    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(shared))).otherwise(pair)
-    units = placed.select(unit.alias("unit"), "fp", "text", (F.col("block") > F.col("other")).alias("second"))
+    return store(texts.select("fp", "root", "n_shingles", "text"), "similarity-sets")
+
+
+def _blocks(n: str, weight: str):
+    return F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(weight) / WEIGHT), F.lit(1)).cast("int")
+
+
+def _compared(units: DataFrame, shingle: int) -> DataFrame:
+    """Stored links ``(a, b)`` of the units of ``(unit, fp, label, text)``."""
 
     def compare(table: pa.Table) -> pa.Table:
-        sets = [shingles(t, shingle) for t in table.column(2).to_pylist()]
-        fps, second = (table.column(i).to_numpy() for i in (1, 3))
-        a, b = forest(fps, sets, second.astype(bool))
+        sets = [shingles(t, shingle) for t in table.column("text").to_pylist()]
+        a, b = forest(table.column("fp").to_numpy(), sets, table.column("label").to_numpy())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = units.groupBy("unit").applyInArrow(compare, "a bigint, b bigint")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = units.select("unit", "fp", "label", "text").groupBy("unit").applyInArrow(compare, "a bigint, b bigint")
+    return store(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "similarity-found")
+
+
+def _within(sets: DataFrame, seed: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """The links inside the blocks of ``sets``, and the stored ``(root)`` of the groups of several blocks."""
+    sizes = sets.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    sizes = store(sizes.select("root", "weight", _blocks("n", "weight").alias("blocks")), "similarity-sizes")
+    shared = 1 + (sizes.filter("blocks = 1").agg(F.sum("weight")).first()[0] or 0) // WEIGHT
+    block = F.pmod(F.xxhash64(F.lit(seed), "fp"), F.col("blocks"))
+    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(shared))).otherwise(F.xxhash64("root", block))
+    units = hot_join(sets, sizes.select("root", "blocks"), ["root"]).withColumn("unit", unit).withColumn("label", F.col("fp"))
+    return _compared(units, shingle), sizes.filter("blocks > 1").select("root")
+
+
+def _across(labelled: DataFrame, shingle: int) -> DataFrame:
+    """The links between components of stored ``(fp, root, label, n_shingles, text)``, all with all."""
+    counts = labelled.groupBy("root", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    # a component of half a block has blocks of its own; all smaller ones of a group share blocks
+    counts = counts.withColumn("own", F.when((F.col("n") * 2 > BLOCK) | (F.col("weight") * 2 > WEIGHT), F.col("label")))
+    counts = store(counts, "similarity-labels")
+    sizes = counts.groupBy("root", "own").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")).select("root", "own", _blocks("n", "weight").alias("blocks"))
+    sizes = store(sizes, "similarity-parts")
+    parts = small(sizes.select(F.col("root").alias("part_root"), F.col("own").alias("part"), "blocks"), 32)
+    block = F.xxhash64(F.coalesce("own", F.lit(0)), F.col("own").isNull(), F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    marked = hot_join(labelled, counts.select("root", "label", "own"), ["root", "label"])
+    sized = marked.join(parts, (F.col("root") == F.col("part_root")) & F.col("own").eqNullSafe(F.col("part")))
+    placed = store(sized.withColumn("block", block).drop("blocks", "part_root", "part"), "similarity-placed")
+    table = placed.select("root", "own", "block").distinct()
+    other = table.select("root", F.col("own").alias("other_own"), F.col("block").alias("other"))
+    pairs = table.join(other, "root").filter("block <= other AND NOT (own <=> other_own AND own IS NOT NULL)")
+    unit = F.xxhash64("root", "block", "other")
+    sides = store(pairs.select("root", unit.alias("unit"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block")), "similarity-pairs")
+    return _compared(placed.join(sides, ["root", "block"]), shingle)
+
+
+def links(docs: DataFrame, marked: DataFrame, shingle: int) -> DataFrame:
+    """``(a, b)``: links that between them connect whatever nodes are connected; ``marked`` is stored."""
+    sets = _sets(docs, marked)
+    found, large = _within(sets, 0, shingle)
+    if large.isEmpty():
+        return found
+    rest = store(sets.join(small(large, 16), "root", "left_semi"), "similarity-large")
+    chain = store(found.join(rest.select(F.col("fp").alias("a")), "a", "left_semi"), "similarity-chain")
+    seed = 0
+    while True:
+        rooted = store(components(chain).withColumnRenamed("node", "fp").withColumnRenamed("root", "label"), "similarity-rooted")
+        labelled = rest.join(small(rooted, 24), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+        split = labelled.groupBy("root").agg((F.min("label") < F.max("label")).alias("split")).filter("split").select("root")
+        labelled = store(labelled.join(small(store(split, "similarity-split"), 16), "root", "left_semi"), "similarity-labelled")
+        if labelled.isEmpty():
+            return found
+        seed += 1
+        heads = store(labelled.filter("fp = label").select("fp", "root", "n_shingles", "text"), "similarity-heads")
+        more, _ = _within(heads, seed, shingle)
+        if more.isEmpty():
+            return found.unionAll(_across(labelled, shingle)).distinct()
+        found = store(found.unionAll(more), "similarity-links")
+        chain = store(chain.unionAll(more), "similarity-chain")

@@ -91,3 +91,47 @@ def test_defined_cases(spark):
     kept = simhash.first_documents(docs, shingle=5)
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5]
     assert simhash.first_documents(docs.filter(F.lit(False)), shingle=5).count() == 0
+
+
+def near_copies(n, seed=4):
+    """Copies of one text with one to three of its 200 words changed, so that most pairs, not all, are near."""
+    rng = np.random.default_rng(seed)
+    words = [f"w{x}" for x in rng.integers(0, 100000, 200)]
+    rows = []
+    for copy in range(n):
+        edited = list(words)
+        for at in rng.choice(200, 1 + copy % 3, replace=False):
+            edited[at] = f"x{rng.integers(0, 10**9)}"
+        rows.append((copy, " ".join(edited)))
+    return rows
+
+
+def test_rows_follow_the_size_of_a_group(spark, monkeypatch):
+    """Links of one large group of near copies: in proportion, not with the square."""
+    monkeypatch.setattr(similarity, "BLOCK", 32)
+    found = []
+    for n in (200, 600):
+        docs = spark.createDataFrame(near_copies(n), "doc_id bigint, text string")
+        marked = similarity.store(similarity.with_cells(docs, 5), "marked")
+        links = similarity.links(docs, marked, 5)
+        found.append(links.count())
+        groups = similarity._groups(marked)
+        assert groups.select("root").distinct().count() == 1
+        assert links.join(groups.withColumnRenamed("fp", "a"), "a").count() == found[-1]
+    assert [n - 1 <= f <= 1.1 * n for n, f in zip((200, 600), found)] == [True] * 2
+
+
+def test_components_that_no_head_joins(spark, monkeypatch):
+    """Chains of small steps: heads of blocks are far apart though members of the blocks are near."""
+    monkeypatch.setattr(similarity, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    rows, words = [], [f"w{x}" for x in rng.integers(0, 100000, 120)]
+    for step in range(60):
+        words = words[2:] + [f"s{step}a", f"s{step}b"]
+        rows.append((step, " ".join(words)))
+    rows += [(100 + k, t + " end") for k, (_, t) in enumerate(rows[::7])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected, linked = plain_components(rows)
+    assert linked > 60 and len(set(expected.values())) == 1
+    out = simhash.near_duplicates(docs, shingle=5).collect()
+    assert {r.doc_id: r.component_id for r in out} == expected
