@@ -413,6 +413,34 @@ def pca_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.label_accuracy(clustered, "prediction", "truth").withColumn("silhouette", F.lit(score))
 
 
+def kmeans_ml_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The learned clusters as a fixed point: all rows at their nearest center, centers in the middle."""
+    vectors = cl.as_vectors(inputs.points(spark, sf_dir))
+    model = cl.ml_kmeans(vectors, 2)
+    found = cl.settled(model, model.transform(vectors))
+    return found.agg(
+        F.count("*").alias("clusters"),
+        F.sum("n").alias("points"),
+        F.sum("misplaced").alias("misplaced"),
+        (F.max("moved") < 0.01).alias("settled"),
+    )
+
+
+def pca_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each component against the covariance of the points, and the variance of all dimensions."""
+    vectors = cl.as_vectors(inputs.points(spark, sf_dir))
+    model = cl.pca(vectors, 2)
+    shares = [float(x) for x in model.explainedVariance.toArray()]
+    total = float(cl.covariance(vectors).trace())
+    claimed = F.array(*map(F.lit, shares))[F.col("component") - 1]
+    return cl.pca_residuals(model, vectors).select(
+        "component",
+        F.round(F.lit(total), 6).alias("variance"),
+        (F.col("residual") < 1e-8).alias("eigenvector"),
+        (F.abs(F.col("share") - claimed) < 1e-9).alias("explains"),
+    )
+
+
 # -- item and user profiles ----------------------------------------------------------------
 
 
@@ -535,6 +563,32 @@ def als_predict_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return als_predict(spark, sf_dir).select("user", "item")
 
 
+def als_solved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose factors solve their normal equations, made again from the ratings and item factors."""
+    ratings = materialise(inputs.ratings(spark, sf_dir))
+    train = rt.train_union(ratings, materialise(rt.most_active_user(ratings)))
+    residuals = rt.normal_residuals(rt.als(train), train)
+    return residuals.agg(
+        F.count("*").alias("users"), F.sum("n").alias("ratings"), F.count_if(F.col("residual") < 1e-4).alias("solved")
+    )
+
+
+def als_rmse_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's errors against those of its factors' products."""
+    model, split, _ = _als(spark, sf_dir)
+    truth = split.where("split <> 'train'")
+    own = rt.rmse_by(rt.als_predict(model, truth), truth, "split")
+    again = rt.rmse_by(rt.factor_predictions(model, truth), truth, "split").select("split", F.col("matched").alias("also"), F.col("rmse").alias("again"))
+    same = (F.col("matched") == F.col("also")) & (F.abs(F.col("rmse") - F.col("again")) < 1e-5)
+    return own.join(again, "split").select("split", "matched", same.alias("same"))
+
+
+def als_recommend_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best unseen items of every user."""
+    model, split, _ = _als(spark, sf_dir)
+    return rt.recommend_for_users(model, inputs.items(spark, sf_dir), split, split.select("user").distinct(), 5)
+
+
 def als_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items recommended, without the model's numbers."""
     return als_recommend(spark, sf_dir).select("user", "item", "title")
@@ -596,6 +650,8 @@ JOBS = {
     "cluster_accuracy": cluster_accuracy,
     "kmeans_ml": kmeans_ml,
     "pca_kmeans": pca_kmeans,
+    "pca_checked": pca_checked,
+    "kmeans_ml_settled": kmeans_ml_settled,
     "item_features": item_features,
     "item_features_whitespace": item_features_whitespace,
     "item_avg_rating": item_avg_rating,
@@ -613,6 +669,9 @@ JOBS = {
     "als_rmse": als_rmse,
     "als_matched": als_matched,
     "als_predict_pairs": als_predict_pairs,
+    "als_solved": als_solved,
+    "als_rmse_checked": als_rmse_checked,
+    "als_recommend_users": als_recommend_users,
     "als_candidates": als_candidates,
     "als_recommend": als_recommend,
 }

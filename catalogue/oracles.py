@@ -475,3 +475,15 @@ ORACLES["basket_lines"] = """
     FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS basket, o_orderstatus, o_orderpriority FROM orders)"""
 ORACLES["csv_text_strings"] = "SELECT * FROM documents"
 ORACLES["csv_text_inferred"] = "SELECT conv_id, turn, role, text FROM conversations"
+ORACLES["kmeans_ml_settled"] = """
+    SELECT CAST(2 AS BIGINT) AS clusters, count(*) AS points, CAST(0 AS BIGINT) AS misplaced, TRUE AS settled FROM embeddings"""
+ORACLES["pca_checked"] = f"""
+    WITH {_POINTS}, spread AS (SELECT i, var_samp(x) AS v FROM p GROUP BY i)
+    SELECT CAST(component AS INTEGER) AS component, round(sum(v), 6) AS variance, TRUE AS eigenvector, TRUE AS explains
+    FROM spread, (VALUES (1), (2)) c(component) GROUP BY component"""
+ORACLES["als_solved"] = f"""
+    WITH {_RATINGS}, {_SPLIT}, {_ACTIVE},
+    train AS (SELECT "user" FROM split WHERE split = 'train'
+              UNION ALL SELECT "user" FROM ratings WHERE "user" IN (SELECT "user" FROM active))
+    SELECT count(DISTINCT "user") AS users, count(*) AS ratings, count(DISTINCT "user") AS solved FROM train"""
+ORACLES["als_rmse_checked"] = f"SELECT split, matched, TRUE AS same FROM ({ORACLES['als_matched']})"

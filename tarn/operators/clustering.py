@@ -194,3 +194,58 @@ def label_accuracy(clustered: DataFrame, cluster: str, label: str) -> DataFrame:
     )
     correct = F.greatest(F.col("same"), F.col("n") - F.col("same"))
     return counts.select(correct.alias("correct"), "n", (correct / F.col("n")).alias("accuracy"))
+
+
+def covariance(vectors: DataFrame, features: str = "features") -> np.ndarray:
+    """The sample covariance matrix: tasks reduce their rows to sums about a common point, which add up.
+
+    One row of the squared dimension a task reaches the driver.
+    """
+    rows = vectors.select(vector_to_array(features).alias("x"))
+    first = rows.first()
+    if first is None:
+        return np.zeros((0, 0))
+    near = np.array(first.x)  # sums about a point of the data lose nothing far from zero
+    size = len(near)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, squares = 0, np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(-1, size) - near
+            n, total, squares = n + len(x), total + x.sum(axis=0), squares + x.T @ x
+        yield pa.RecordBatch.from_pydict({"n": [n], "total": [total.tolist()], "squares": [squares.ravel().tolist()]})
+
+    parts = rows.mapInArrow(sums, "n bigint, total array<double>, squares array<double>").collect()
+    n, total = sum(p.n for p in parts), sum(np.array(p.total) for p in parts)
+    squares = sum(np.array(p.squares) for p in parts).reshape(size, size)
+    return (squares - np.outer(total, total) / n) / max(n - 1, 1)
+
+
+def pca_residuals(model: PCAModel, vectors: DataFrame, features: str = "features") -> DataFrame:
+    """``(component, share, residual)``: the share of the variance that a component explains by the data's
+    own covariance, and how far it is from an eigenvector of it (relative to the eigenvalue)."""
+    matrix = covariance(vectors, features)
+    rows = []
+    for number, direction in enumerate(model.pc.toArray().T, 1):
+        value = float(direction @ matrix @ direction)
+        residual = float(np.linalg.norm(matrix @ direction - value * direction)) / max(abs(value), 1e-30)
+        rows.append((number, value / float(np.trace(matrix)), residual))
+    return vectors.sparkSession.createDataFrame(rows, "component int, share double, residual double")
+
+
+def settled(model: KMeansModel, clustered: DataFrame, features: str = "features", cluster: str = "prediction") -> DataFrame:
+    """``(cluster, n, misplaced, moved)``: rows of a cluster, rows whose nearest center is another one, and
+    how far the cluster's mean is from its center. Nothing is misplaced or moves at a fixed point."""
+    centers = [[float(c) for c in center] for center in model.clusterCenters()]
+    point = vector_to_array(features)
+    gap = lambda center: F.aggregate(
+        F.zip_with(point, F.array(*map(F.lit, center)), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
+    )
+    gaps = F.array(*[gap(center) for center in centers])
+    judged = clustered.select(F.col(cluster).alias("cluster"), F.col(features).alias("x"), gaps.alias("gaps"))
+    # a tie may go to either center
+    farther = F.col("gaps")[F.col("cluster")] > F.array_min("gaps") * (1 + 1e-9) + 1e-12
+    sums = judged.groupBy("cluster").agg(F.count("*").alias("n"), F.count_if(farther).alias("misplaced"), Summarizer.mean(F.col("x")).alias("mean"))
+    named = clustered.sparkSession.createDataFrame(list(enumerate(centers)), "cluster int, center array<double>")
+    moved = F.aggregate(F.zip_with(vector_to_array("mean"), "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    return sums.join(F.broadcast(named), "cluster").select("cluster", "n", "misplaced", F.sqrt(moved).alias("moved"))

@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarn.session import materialise
+from tarn.operators.relational import top_k
+from tarn.session import materialise, stored
 
+#: Items of one slice, and users of one block, that a unit of work multiplies: 8 million scores.
+SLICE_ITEMS, BLOCK_USERS = 8_192, 1_024
 #: Ids are numbered within so many hash groups.
 ID_GROUPS = 1024
 
@@ -185,3 +190,93 @@ def recommend_unseen(
         .select("user", "item", "title", "prediction")
         .orderBy(F.desc("prediction"), "item")
     )
+
+
+def normal_residuals(fitted: RatingModel, train: DataFrame, regularisation: float = 0.01) -> DataFrame:
+    """``(user, n, residual)``: how far each user's factors are from solving its normal equations.
+
+    The last half step of ALS solves, for each user with ``n`` ratings r of items with factors v,
+    ``(sum of v v' + regularisation n I) x = sum of r v``. Both sides are made again here from the
+    item factors, as plain sums; the residual is relative to the right side. A solved system leaves
+    rounding errors of single precision.
+    """
+    rank = fitted.model.rank
+    v = [F.col("v")[i].cast("double") for i in range(rank)]
+    x = [F.col("x")[i].cast("double") for i in range(rank)]
+    factors = fitted.model.itemFactors.select(F.col("id").alias("item_no"), F.col("features").alias("v"))
+    rated = train.join(fitted.items, "item").join(factors, "item_no").join(fitted.users, "user")
+    sums = rated.groupBy("user", "user_no").agg(
+        F.count("*").alias("n"),
+        *[F.sum(v[i] * v[j]).alias(f"a{i}_{j}") for i in range(rank) for j in range(i, rank)],
+        *[F.sum(F.col("rating").cast("double") * v[i]).alias(f"b{i}") for i in range(rank)],
+    )
+    solved = sums.join(fitted.model.userFactors.select(F.col("id").alias("user_no"), F.col("features").alias("x")), "user_no")
+    squares, right = F.lit(0.0), F.lit(0.0)
+    for i in range(rank):
+        row = F.lit(regularisation) * F.col("n") * x[i] - F.col(f"b{i}")
+        for j in range(rank):
+            row = row + F.col(f"a{min(i, j)}_{max(i, j)}") * x[j]
+        squares, right = squares + row * row, right + F.col(f"b{i}") * F.col(f"b{i}")
+    return solved.select("user", "n", F.sqrt(squares / F.greatest(right, F.lit(1e-30))).alias("residual"))
+
+
+def factor_predictions(fitted: RatingModel, pairs: DataFrame) -> DataFrame:
+    """``(user, item, prediction)`` of the different known pairs as the factors' products, by plain joins."""
+    user = fitted.model.userFactors.select(F.col("id").alias("user_no"), F.col("features").alias("x"))
+    item = fitted.model.itemFactors.select(F.col("id").alias("item_no"), F.col("features").alias("v"))
+    known = pairs.select("user", "item").distinct().join(fitted.users, "user").join(fitted.items, "item")
+    product = F.lit(0.0)
+    for i in range(fitted.model.rank):
+        product = product + F.col("x")[i].cast("double") * F.col("v")[i].cast("double")
+    return known.join(user, "user_no").join(item, "item_no").select("user", "item", product.alias("prediction"))
+
+
+def recommend_for_users(
+    fitted: RatingModel, items: DataFrame, ratings: DataFrame, users: DataFrame, k: int = 10,
+    slice_items: int = SLICE_ITEMS, block_users: int = BLOCK_USERS,
+) -> DataFrame:
+    """``(user, rank, item, title, prediction)``: for every user of ``users`` the ``k`` best items not rated yet.
+
+    Items are dealt to slices and users to blocks; a unit multiplies one block's factors with one
+    slice's, takes out what its users have rated in that slice, and returns ``k`` items a user, so that
+    rows grow with users and slices, never with users times items. Users and items without factors
+    drop out. Equal predictions go by item.
+    """
+    wanted = users.select("user").distinct().join(fitted.users, "user")
+    wanted = stored(wanted.join(fitted.model.userFactors.selectExpr("id AS user_no", "features"), "user_no"), "wanted-users")
+    known = items.select("item").distinct().join(fitted.items, "item")
+    known = stored(known.join(fitted.model.itemFactors.selectExpr("id AS item_no", "features"), "item_no"), "known-items")
+    slices, blocks = (1 + rows.count() // size for rows, size in ((known, slice_items), (wanted, block_users)))
+    part = F.pmod(F.xxhash64("item_no"), F.lit(slices)).cast("int").alias("slice")
+    block = F.pmod(F.xxhash64("user_no"), F.lit(blocks)).cast("int").alias("block")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # what a user has rated in one slice: no longer than the slice
+    rated = ratings.select("user", "item").distinct().join(known.select("item", "item_no", part), "item")
+    rated = rated.join(wanted.select("user", "user_no"), "user").groupBy("user_no", "slice").agg(F.collect_list("item_no").alias("seen"))
+    asking = wanted.select("user_no", "features", block, every(slices).alias("slice")).join(rated, ["user_no", "slice"], "left")
+    offered = known.select("item_no", "features", part, every(blocks).alias("block"))
+
+    def best(asked: pa.Table, slice_: pa.Table) -> pa.Table:
+        numbers, of = asked.column("user_no").to_numpy(), slice_.column("item_no").to_numpy()
+        order = np.argsort(of)
+        of = of[order]
+        left, right = (np.array(t.column("features").to_pylist(), dtype=np.float64) for t in (asked, slice_))
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if len(numbers) and len(of):
+            scores = left @ right[order].T
+            for row, seen in enumerate(asked.column("seen").to_pylist()):
+                own = scores[row]
+                own[np.searchsorted(of, np.array(seen or [], dtype=of.dtype))] = -np.inf
+                # all that tie with the k-th go on; the ids decide later
+                least = np.partition(own, -k)[-k] if k < len(own) else -np.inf
+                chosen = np.flatnonzero((own >= least) & np.isfinite(own))
+                out.append((np.full(len(chosen), numbers[row]), of[chosen], own[chosen]))
+        columns = [np.concatenate([o[c] for o in out]) if out else [] for c in range(3)]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64()))], ["user_no", "item_no", "prediction"])
+
+    unit = ["block", "slice"]
+    found = asking.groupBy(*unit).cogroup(offered.groupBy(*unit)).applyInArrow(best, "user_no int, item_no int, prediction double")
+    titled = items.select("item", "title").dropDuplicates(["item"])
+    named = found.join(wanted.select("user", "user_no"), "user_no").join(known.select("item", "item_no"), "item_no")
+    ranked = top_k(named, ["user"], [F.desc("prediction"), "item"], k)
+    return ranked.join(titled, "item").select("user", "rank", "item", "title", "prediction")

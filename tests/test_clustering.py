@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarn.operators import clustering as cl
 from tarn.sources.lines import read_centers, read_points
@@ -102,3 +103,21 @@ def test_accuracy_takes_the_better_naming(spark):
     rows = spark.createDataFrame([(0, 1), (0, 1), (1, 0), (1, 1)], "cluster int, label int")
     row = cl.label_accuracy(rows, "cluster", "label").first()
     assert (row.correct, row.n, row.accuracy) == (3, 4, 0.75)
+
+
+def test_components_and_clusters_are_checked(spark):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(300, 4)) * [5, 3, 1, 0.5] + 1e6
+    frame = cl.as_vectors(spark.createDataFrame([(r.tolist(),) for r in data], "point array<double>"))
+    assert np.allclose(cl.covariance(frame), np.cov(data.T), atol=1e-6)
+    centred = cl.as_vectors(spark.createDataFrame([(r.tolist(),) for r in data - 1e6], "point array<double>"))
+    model = cl.pca(centred, 2)
+    rows = cl.pca_residuals(model, centred).collect()
+    assert max(r.residual for r in rows) < 1e-8 and [r.share for r in rows] == pytest.approx(list(model.explainedVariance.toArray()))
+    wrong = cl.as_vectors(spark.createDataFrame([(r[::-1].tolist(),) for r in data], "point array<double>"))
+    assert min(r.residual for r in cl.pca_residuals(model, wrong).collect()) > 0.1
+    fitted = cl.ml_kmeans(centred, 3)
+    found = cl.settled(fitted, fitted.transform(centred)).collect()
+    assert sum(r.n for r in found) == 300 and sum(r.misplaced for r in found) == 0 and len(found) == 3
+    moved = fitted.transform(centred).withColumn("prediction", F.lit(0))
+    assert cl.settled(fitted, moved).first().misplaced > 100

@@ -36,7 +36,7 @@ def _rows(names, rows):
     return sorted(names), sorted(table, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", list(JOBS))

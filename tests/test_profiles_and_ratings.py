@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tarn.operators import ratings as rt
 from tarn.plans import item_profiles as ip
@@ -168,3 +169,37 @@ def test_errors_of_two_ratings_a_hundred_million_up(spark):
     rows = [(1, 1e8 + 3.0, "train"), (1, 1e8 + 3.0, "validation"), (1, 1e8 + 4.0, "validation")]
     got = rt.item_mean_rmse(spark.createDataFrame(rows, "item long, rating double, split string")).first()
     assert got.rmse == pytest.approx(0.5**0.5, abs=1e-9)
+
+
+@pytest.mark.parametrize("slice_items,block_users", [(7, 5), (8192, 1024)])
+def test_recommendations_for_many_users(spark, slice_items, block_users):
+    """Every user's best unseen items by plain scoring of the factors."""
+    rng = random.Random(9)
+    rows = [(u, i, float(rng.randrange(1, 6)), rng.randrange(6)) for u in range(30) for i in rng.sample(range(40), 12)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double, ts long")
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(45)], "item long, title string")
+    model = rt.als(ratings, rank=3, iterations=3)
+    users = spark.createDataFrame([(u,) for u in (*range(0, 30, 2), 99)], "user long")
+    got = {(r.user, r["rank"]): (r["item"], r.title, r.prediction) for r in rt.recommend_for_users(model, items, ratings, users, 4, slice_items, block_users).collect()}
+    x, v = ({r[key]: np.array(r.features, dtype=float) for r in numbers.join(factors, F.col(f"{key}_no") == F.col("id")).collect()}
+            for key, numbers, factors in (("user", model.users, model.model.userFactors), ("item", model.items, model.model.itemFactors)))
+    seen = {(u, i) for u, i, _, _ in rows}
+    expected = {}
+    for u in range(0, 30, 2):
+        best = sorted((-float(x[u] @ v[i]), i) for i in v if (u, i) not in seen)[:4]
+        expected |= {(u, k): (i, f"t{i}", pytest.approx(-s)) for k, (s, i) in enumerate(best, 1)}
+    assert got == expected
+    one = rt.recommend_unseen(model, items, ratings, users.where("user = 4")).limit(4).collect()
+    assert [r["item"] for r in one] == [got[4, k][0] for k in range(1, 5)]
+
+
+def test_normal_equations_see_a_wrong_factor(spark):
+    rng = random.Random(3)
+    rows = [(u, i, float(rng.randrange(1, 6)), 0) for u in range(20) for i in rng.sample(range(30), 8)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double, ts long")
+    model = rt.als(ratings)
+    assert rt.normal_residuals(model, ratings).where("residual > 1e-4").count() == 0
+    assert rt.normal_residuals(model, ratings).agg(F.sum("n")).first()[0] == len(rows)
+    # other ratings, or another regularisation, are not solved by these factors
+    assert rt.normal_residuals(model, ratings.withColumn("rating", F.col("rating") + F.col("item") % 3)).where("residual > 1e-3").count() > 10
+    assert rt.normal_residuals(model, ratings, 0.5).where("residual > 1e-3").count() > 10
