@@ -40,6 +40,8 @@ TRIGGER = 32
 AT_ONCE = 6_000_000
 #: Bits of a map of frequent phrases, and of one slice of it.
 MAP_BITS, SLICE_BITS = 27, 16
+#: Parts of a language's phrases that are ranked side by side.
+RANK_PARTS = 64
 PIECE_END = "\n"
 #: A-Z in lower case, every mark between pieces a line break, a tab a space.
 BYTES = np.arange(256, dtype=np.uint8)
@@ -221,6 +223,9 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, covered: in
     kept = score.join(longer, ["lang", "phrase"], "left").filter(F.coalesce(100 * F.col("longest") < covered * F.col("a"), F.lit(True)))
     totals = levels[0].filter("phrase = ''").select("lang", F.col("f").alias("n"))
     rows = kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
-    ranked = top_k(rows, ["lang"], [F.desc("score"), F.desc("a"), "phrase"], top)
+    # first among parts of a language, so that one task ranks no more than RANK_PARTS lists of them
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    parts = rows.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
+    ranked = top_k(top_k(parts, ["lang", "_part"], order, top, rank="_place").drop("_part", "_place"), ["lang"], order, top)
     # a row a language: as many as there are names of languages
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
