@@ -16,7 +16,7 @@ from tarn.llm.decontamination import clean_documents
 from tarn.llm.jobs import encoded
 from tarn.llm.mixing import mixed_documents
 from tarn.llm.quality import kept_documents
-from tarn.llm.simhash import first_documents
+from tarn.llm.simhash import CONTRACT, DISTANCE, first_documents
 from tarn.session import scratch_path
 from tarn.sources.tables import read_table
 
@@ -29,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near duplicates: similarity of at least 0.8 on shingles of five words."""
-    return first_documents(docs, shingle=5)
+    """Near duplicates as ``op8_simhash`` links them: shingles of three words, at most three differing bits."""
+    return first_documents(docs, shingle=CONTRACT, distance=DISTANCE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality rules", quality_rules),
-    ("near duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("decontamination", decontamination),
     ("mixing", mixing),
     ("token output", token_output),
