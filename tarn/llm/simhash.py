@@ -5,16 +5,13 @@ Manhattan distance of two points never exceeds the Hamming distance of the finge
 can be sought as points within ``distance`` of each other. The 32 axes are dealt to
 ``distance + 4`` groups: a Manhattan distance of at most ``distance`` leaves at least four groups
 untouched, so any link has both ends in the same grid cell of some four groups. Each fingerprint
-goes to its cell for each choice of four groups, an equal join on the cell; the pairs of a cell
-are verified bit by bit.
+goes to its cell for each choice of four groups, an equal join on the cell. The pairs of a cell
+must be within ``distance`` of each other as points; those that are, are verified bit by bit.
 
 Equal fingerprints are one node from the start. Inside a cell the nodes are cut into blocks of a
 fixed size, every two blocks are one small unit of work, and a unit returns only a spanning forest
 of the links it finds: nothing emits all pairs of a group, no link between components is lost.
 
-The limit of three bits belongs to shingles of three words. With shingles of another length, and no
-distance given, texts are linked by the similarity of their shingles instead (``similarity.py``).
-
 Defined results: a null or empty text has the fingerprint zero, linked like any other; texts of
 fewer words than a shingle are one shingle; documents without an id form components by their
 fingerprints too, whose name is the smallest id that is not null (null if there is none); repeated
@@ -34,10 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm import similarity
 from tarn.llm.common import fresh, hot_join, small, store
 from tarn.llm.components import components
-from tarn.llm.similarity import with_cells
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -47,6 +42,8 @@ CHUNK = 1 << 16
 CONTRACT, DISTANCE = 3, 3
 #: Nodes of one block of a cell: a unit of work compares about this many with as many.
 BLOCK = 512
+#: The lower bit of each of the 32 axes.
+EVEN = np.uint64(0x5555555555555555)
 #: Groups of axes that agree exactly in a cell.
 AGREE = 4
 
@@ -105,10 +102,26 @@ def _cells(nodes: DataFrame, distance: int) -> DataFrame:
     return nodes.select("fp").mapInArrow(cells, "cell bigint, fp bigint")
 
 
+def points(fps: np.ndarray) -> np.ndarray:
+    """The grid points of fingerprints: each axis's bit count 0, 1 or 2 written as 00, 01 or 11.
+
+    So written, the differing bits of two points number their Manhattan distance.
+    """
+    even, odd = fps & EVEN, (fps >> np.uint64(1)) & EVEN
+    return (even | odd) | ((even & odd) << np.uint64(1))
+
+
+def near_pairs(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``left`` and ``right`` of the links: near as points first, then exactly."""
+    i, j = np.nonzero(np.bitwise_count(points(left)[:, None] ^ points(right)[None, :]) <= distance)
+    apart = np.bitwise_count(left[i] ^ right[j])
+    linked = (apart <= distance) & (apart > 0)
+    return i[linked], j[linked]
+
+
 def _forest(left: np.ndarray, right: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
     """A spanning forest of the links between two blocks of nodes (or inside one)."""
-    apart = np.bitwise_count(left[:, None] ^ right[None, :])
-    i, j = np.nonzero((apart <= distance) & (apart > 0))
+    i, j = near_pairs(left, right, distance)
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -141,7 +154,8 @@ def _units(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
             rest, starts, ends = table.slice(starts[-1]), starts[:-1], ends[:-1]
         fps = fps.astype(np.int64).view(np.uint64)
         pairs = starts[ends - starts == 2]
-        near = np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= distance
+        near = np.bitwise_count(points(fps[pairs]) ^ points(fps[pairs + 1])) <= distance
+        near &= np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= distance
         a, b = [fps[pairs][near]], [fps[pairs + 1][near]]
         for s, e in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist()):
             one, two = fps[s:e][~second[s:e]], fps[s:e][second[s:e]]
@@ -177,24 +191,17 @@ def links(nodes: DataFrame, distance: int = 3) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _grouped(docs: DataFrame, shingle: int, distance: int | None) -> tuple[DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
     """Stored ``(doc_id, text_hash, fp)`` of each document, and ``(fp, root)`` of each node ``fp``."""
-    if distance is None and shingle != CONTRACT:
-        marked = store(with_cells(docs, shingle), "simhash-documents")
-        linked = similarity.links(docs, marked, shingle)
-        marked = marked.select("doc_id", "text_hash", "fp")
-        nodes = store(marked.select("fp").distinct(), "simhash-nodes")
-    else:
-        text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-        marked = with_fingerprint(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", text_hash.alias("text_hash"), "fp")
-        marked = store(marked, "simhash-documents")
-        nodes = store(marked.select("fp").distinct(), "simhash-nodes")
-        linked = links(nodes, DISTANCE if distance is None else distance)
-    rooted = components(linked).withColumnRenamed("node", "fp")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = with_fingerprint(docs.select("doc_id", "text"), "fp", shingle).select("doc_id", text_hash.alias("text_hash"), "fp")
+    marked = store(marked, "simhash-documents")
+    nodes = store(marked.select("fp").distinct(), "simhash-nodes")
+    rooted = components(links(nodes, distance)).withColumnRenamed("node", "fp")
     return marked, nodes.join(rooted, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = CONTRACT, distance: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = CONTRACT, distance: int = DISTANCE) -> DataFrame:
     """One row a document: ``doc_id, fingerprint`` (16 hex digits), ``component_id``."""
     marked, rooted = _grouped(docs, shingle, distance)
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -202,22 +209,18 @@ def near_duplicates(docs: DataFrame, shingle: int = CONTRACT, distance: int | No
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = store(rooted.join(names, "root").select("fp", "component_id"), "simhash-components")
     out = marked.join(named, "fp")
-    if distance is None and shingle != CONTRACT:  # the nodes are sets: one fingerprint a set
-        texts = docs.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")).dropDuplicates(["text_hash"])
-        prints = store(with_fingerprint(texts, "print", shingle).select("text_hash", "print"), "simhash-prints")
-        out = out.join(prints, "text_hash").drop("fp").withColumnRenamed("print", "fp")
     hex_digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return out.select("doc_id", hex_digits.alias("fingerprint"), "component_id")
 
 
-def first_documents(docs: DataFrame, shingle: int = CONTRACT, distance: int | None = None) -> DataFrame:
+def first_documents(docs: DataFrame, shingle: int = CONTRACT, distance: int = DISTANCE) -> DataFrame:
     """The documents without near duplicates, all columns kept: of each component the document
     with the smallest id stays (null last, then by the hash of the text), and of rows equal in both one.
     """
     marked, rooted = _grouped(docs, shingle, distance)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    rows = marked.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")).join(rooted, "fp")
-    rows = store(rows, "simhash-rows")
+    distinct = store(marked.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")), "simhash-distinct")
+    rows = store(hot_join(distinct, store(rooted, "simhash-rooted"), ["fp"]), "simhash-rows")
     best = rows.groupBy("root").agg(F.min(order).alias("best"))
     judged = hot_join(rows, store(best, "simhash-best"), ["root"]).select("doc_id", "text_hash", "n", (order == F.col("best")).alias("stays"))
     doc_id, text_hash, n, stays = fresh(docs, "simhash_id", "simhash_text", "simhash_n", "simhash_stays")

@@ -40,7 +40,8 @@ def test_quality_stage_follows_the_verdicts(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
-    out = simhash.near_duplicates(stages[1], shingle=5)
+    """The stage is the operator of ``op8_simhash``, which test_simhash.py holds against brute force."""
+    out = simhash.near_duplicates(stages[1])
     assert ids(stages[2]) == Counter({r.component_id for r in out.collect()})
 
 

@@ -89,6 +89,24 @@ def test_links_of_a_crowded_cell(spark, monkeypatch):
     assert len(found) < len(fps) * 40
 
 
+def test_grid_points_bound_the_distance():
+    """The Manhattan distance of the bit counts, taken plainly, never exceeds the bits that differ, and filters."""
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    other = fps.copy()
+    for i in range(len(other)):
+        for bit in rng.integers(0, 64, i % 9):
+            other[i] ^= np.uint64(1) << np.uint64(bit)
+    plain = lambda x: [(int(x) >> at & 3).bit_count() for at in range(0, 64, 2)]
+    manhattan = [sum(abs(a - b) for a, b in zip(plain(x), plain(y))) for x, y in zip(fps, other)]
+    assert np.bitwise_count(simhash.points(fps) ^ simhash.points(other)).tolist() == manhattan
+    bits = np.bitwise_count(fps ^ other)
+    assert (bits >= manhattan).all() and (bits > manhattan).any()
+    i, j = simhash.near_pairs(fps, other, 3)
+    expected = [(a, b) for a in range(300) for b in range(300) if 0 < int(fps[a] ^ other[b]).bit_count() <= 3]
+    assert sorted(zip(i.tolist(), j.tolist())) == expected
+
+
 def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)]
     out = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
