@@ -8,11 +8,15 @@ probability 1 - delta no stratum loses more than ``max_false`` of its good docum
 valid cutoffs are chosen. Chosen is the one that rejects the most of the bad labels less the share
 of good ones. The rules are fixed beforehand and nothing is fitted: all labels are holdout.
 
+A trial of the bound is a distinct text of a stratum, however many labelled documents hold it, since
+copies are no independent trials: what is proven is the share of distinct good texts. Texts that
+are merely similar still count as several.
+
 Defined results: a null text has no words and fails the base rules; a null stratum is a stratum
 of its own; a stratum with too few good labels to prove anything, or no bad ones, gets no cutoff
-and keeps what the base rules keep; a document labelled both good and bad counts as good; labels
-without a document or a quality are left out; repeated documents are judged alike and count once
-a row; an empty table gives an empty result; other columns, whatever their names, stay.
+and keeps what the base rules keep; a document labelled both good and bad counts as good; a text counts as good
+if any of its documents does; labels without a document or a quality are left out; repeated
+documents are judged alike; an empty table gives an empty result; other columns, whatever their names, stay.
 """
 
 from __future__ import annotations
@@ -142,12 +146,14 @@ def allowed(n: Column, tests: Column, max_false: float, delta: float) -> Column:
 def cutoffs(judged: DataFrame, labels: DataFrame, max_false: float = MAX_FALSE, delta: float = DELTA) -> DataFrame:
     """``(stratum, rule, n_good, max_rejects, rejects, cutoff)`` of each rule that gets a cutoff.
 
-    ``judged`` has ``doc_id, stratum, base_failed`` and the level of each rule. Only documents that the
-    base rules keep count, since the rules work on those.
+    ``judged`` has ``doc_id, stratum, text_hash, base_failed`` and the level of each rule. Only documents
+    that the base rules keep count, since the rules work on those; ``n_good`` counts their distinct texts.
     """
     labelled = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg((F.max("quality") > 0).alias("good"))
     rule = F.explode(F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("level")) for name in RULES]))
-    held = judged.filter(~F.col("base_failed")).join(labelled, "doc_id").select("stratum", "good", rule.alias("r"))
+    held = judged.filter(~F.col("base_failed")).join(labelled, "doc_id").groupBy("stratum", "text_hash")
+    # documents of one text have the same levels
+    held = held.agg(F.max("good").alias("good"), *[F.max(name).alias(name) for name in RULES]).select("stratum", "good", rule.alias("r"))
     by_level = store(
         held.groupBy("stratum", "r.rule", "r.level").agg(
             F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")
@@ -182,10 +188,11 @@ def cutoffs(judged: DataFrame, labels: DataFrame, max_false: float = MAX_FALSE,
 
 
 def _scored(docs: DataFrame) -> DataFrame:
-    counted = docs.select("doc_id", F.col("lang").alias("stratum"), counts(F.col("text")).alias("c"))
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    counted = docs.select("doc_id", F.col("lang").alias("stratum"), text_hash.alias("text_hash"), counts(F.col("text")).alias("c"))
     c = F.col("c")
     levels = [level(c, name).alias(name) for name in RULES]
-    return store(counted.select("doc_id", "stratum", "c.*", base_failed(c).alias("base_failed"), *levels), "quality-counts")
+    return store(counted.select("doc_id", "stratum", "text_hash", "c.*", base_failed(c).alias("base_failed"), *levels), "quality-counts")
 
 
 def _by_stratum(chosen: DataFrame) -> DataFrame:

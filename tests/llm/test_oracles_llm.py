@@ -105,7 +105,7 @@ def test_exact_binomial_bound(spark):
 
 def test_quality_cutoffs(spark):
     """Good documents without symbols, bad ones with many: the rule rejects the bad ones only."""
-    rows = [(i, " ".join(f"w{j}" + ("#" * 3 if i % 4 == 0 else "") for j in range(60)), "en") for i in range(6000)]
+    rows = [(i, f"d{i} " + " ".join(f"w{j}" + ("#" * 3 if i % 4 == 0 else "") for j in range(60)), "en") for i in range(6000)]
     rows += [(9000, None, "en"), (9001, "", None), (9002, "one two", "xx"), (9003, "w " * 40000, "en"), (9003, "w " * 40000, "en")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("quality", F.lit("k"))
     labels = spark.range(6000).selectExpr("id AS doc_id", "int(id % 4 > 0) AS quality", "0 AS toxic")
@@ -121,6 +121,68 @@ def test_quality_cutoffs(spark):
     assert quality.judge(docs, labels.filter(F.lit(False))).filter("kept").count() == 6000
 
 
+def test_quality_copies_are_no_trials(spark):
+    """Ten good texts, however often repeated, prove nothing; nor does a text that is also labelled bad reject itself."""
+    rows = [(i, f"d{i % 20} " + " ".join(f"w{j}" + ("#" * 3 if i % 2 else "") for j in range(60)), "en") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.range(6000).selectExpr("id AS doc_id", "int(id % 2 = 0) AS quality")
+    assert quality.cutoffs(quality._scored(docs), labels).count() == 0
+    assert quality.kept_documents(docs, labels).count() == 6000
+
+
+def test_quality_verdicts_on_the_given_labels(spark):
+    """Cutoffs and verdicts computed plainly, with the binomial sums in whole numbers."""
+    from collections import defaultdict
+    from math import comb
+
+    large = "/root/testdata/sf0.1"
+    docs = {r.doc_id: (r.lang, r.text or "") for r in spark.read.parquet(f"{large}/documents.parquet").collect()}
+    good = defaultdict(bool)
+    for r in spark.read.parquet(f"{large}/labels.parquet").collect():
+        if r.doc_id is not None and r.quality is not None:
+            good[r.doc_id] |= r.quality > 0
+    scored = quality._scored(spark.read.parquet(f"{large}/documents.parquet"))
+    counted = {r.doc_id: r for r in scored.collect()}
+    names = list(quality.RULES)
+
+    def levels(r):  # the largest cutoff c in 0..63 with part / whole > c / 64
+        pairs = [(r[part], max(r[whole], 1)) for part, whole in quality.RULES.values()]
+        return [max((c for c in range(64) if 64 * part > c * whole), default=-1) for part, whole in pairs]
+
+    trials = defaultdict(dict)
+    for i, (lang, text) in docs.items():
+        if i in good and not counted[i].base_failed:
+            before = trials[lang].get(text, (False, None))[0]
+            trials[lang][text] = (good[i] or before, levels(counted[i]))
+    tests = len(trials) * len(names) * 64
+    chosen = {}
+    for lang, texts in trials.items():
+        for n, name in enumerate(names):
+            fine, bad = ([lv[n] for is_good, lv in texts.values() if is_good is kind] for kind in (True, False))
+            total, most = 0, -1  # P(X <= k) <= 0.05 / tests for a rate of 1 / 80, in whole numbers
+            for k in range(len(fine) // 80 + 1):
+                total += comb(len(fine), k) * 79 ** (len(fine) - k)
+                if total * tests * 20 > 80 ** len(fine):
+                    break
+                most = k
+            options = []
+            for cutoff in set(fine + bad) - {-1}:
+                rejects = sum(x >= cutoff for x in fine)
+                gain = sum(x >= cutoff for x in bad) * len(fine) - rejects * len(bad)
+                if rejects <= most and gain > 0:
+                    options.append((gain, cutoff))
+            if options:
+                chosen[lang, name] = max(options)[1]
+    out = quality.judge(spark.read.parquet(f"{large}/documents.parquet"), spark.read.parquet(f"{large}/labels.parquet")).collect()
+    for r in out:
+        broken = [name for name, lv in zip(names, levels(counted[r.doc_id])) if lv >= chosen.get((docs[r.doc_id][0], name), 64)]
+        assert r.broken == ",".join(broken)
+        assert r.kept == (not r.base_failed and not broken)
+    found = {(r.stratum, r.rule): r.cutoff for r in quality.cutoffs(scored, spark.read.parquet(f"{large}/labels.parquet")).collect()}
+    assert found == chosen
+    print(len(chosen), tests, {k: len(v) for k, v in trials.items()})
+
+
 def test_quality_counts_of_all_documents(spark):
     import re
     from collections import Counter
