@@ -1,7 +1,7 @@
 """A Katz backoff model of word pairs, learned from one part of the documents and applied to all.
 
-Counts are discounted after Good and Turing (counts above ``TOP`` are kept), pairs seen once are left
-to the backoff, and each word's backoff weight makes its probabilities, over all words seen in
+Counts are discounted after Good and Turing (counts above ``TOP`` are kept), those of pairs seen once
+too, and each word's backoff weight makes its probabilities, over all words seen in
 training and one unknown word, sum to one. A token is scored by its pair if the model has it, else
 by its predecessor's weight times its own probability, else by what is left for unknown words.
 
@@ -44,8 +44,8 @@ CHUNK_CHARS = 16_000_000
 BUCKETS = 128
 #: Counts up to this are discounted.
 TOP = 5
-#: Pairs seen less often are not in the model.
-LEAST_PAIR = 2
+#: Pairs seen less often in training are not in the model: only those never seen there.
+LEAST_PAIR = 1
 ANSWERS = "chunk bigint, kind int, bucket int, first array<bigint>, second array<bigint>, third array<double>"
 
 
