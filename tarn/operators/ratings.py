@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +17,10 @@ from pyspark.sql import functions as F
 from tarn.operators.relational import top_k
 from tarn.session import materialise, stored
 
-#: Items of one slice, and users of one block, that a unit of work multiplies: 8 million scores.
-SLICE_ITEMS, BLOCK_USERS = 8_192, 1_024
+#: Items of one slice, and users of one block, that meet in a unit of work: some 20 MB at rank 2.
+SLICE_ITEMS, BLOCK_USERS = 524_288, 65_536
+#: Items of one row on their way to the units, of one leaf within a unit, and users whose scores are held at once.
+CHUNK_ITEMS, LEAF_ITEMS, STEP_USERS = 8_192, 512, 1_024
 #: Ids are numbered within so many hash groups.
 ID_GROUPS = 1024
 
@@ -231,16 +234,90 @@ def factor_predictions(fitted: RatingModel, pairs: DataFrame) -> DataFrame:
     return known.join(user, "user_no").join(item, "item_no").select("user", "item", product.alias("prediction"))
 
 
+def leaves(points: np.ndarray, most: int = LEAF_ITEMS) -> list[np.ndarray]:
+    """The points' places in groups of at most ``most``: halves along the widest side, again and again."""
+    todo, done = [np.arange(len(points))], []
+    while todo:
+        places = todo.pop()
+        if len(places) <= most:
+            done.append(np.sort(places))
+            continue
+        held = points[places]
+        side = int(np.argmax(held.max(axis=0) - held.min(axis=0)))
+        order = np.argpartition(held[:, side], len(places) // 2)
+        todo += [places[order[: len(places) // 2]], places[order[len(places) // 2 :]]]
+    return done
+
+
+def best_items(
+    left: np.ndarray, right: np.ndarray, sizes: np.ndarray, seen: np.ndarray, k: int, leaf_items: int = LEAF_ITEMS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, place, score)``: of each row of ``left`` the ``k`` rows of ``right`` with the largest products.
+
+    ``seen`` lists the places to leave out, ``sizes`` many for each row of ``left``. Equal products go by
+    place. Exact: the factors' box of a leaf bounds its products from both sides. So many leaves that
+    they hold ``k`` places not seen give a least product that the k-th reaches, and only leaves whose upper
+    bound reaches it are multiplied.
+    """
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    groups = leaves(right, leaf_items) if len(left) and len(right) else []
+    if groups:
+        low, high = (np.array([f(right[g], axis=0) for g in groups]).T for f in (np.min, np.max))
+        least_leaf, ends = min(map(len, groups)), np.cumsum(sizes)
+    leaf_of, place_in = np.zeros(len(right), dtype=np.int64), np.zeros(len(right), dtype=np.int64)
+    for number, g in enumerate(groups):
+        leaf_of[g], place_in[g] = number, np.arange(len(g))
+    for first in range(0, len(left) if groups else 0, STEP_USERS):
+        x, n = left[first : first + STEP_USERS], sizes[first : first + STEP_USERS]
+        plus, minus = np.maximum(x, 0), np.minimum(x, 0)
+        upper, lower = plus @ high + minus @ low, plus @ low + minus @ high
+        slack = 1e-9 * (np.abs(x) @ np.abs(right).max(axis=0))
+        enough = -(-(k + n) // least_leaf)  # leaves that surely hold k places not seen
+        ranked = -np.sort(-lower, axis=1) if enough.max() > 1 else lower.max(axis=1, keepdims=True)
+        least = np.take_along_axis(ranked, np.minimum(enough - 1, ranked.shape[1] - 1)[:, None], axis=1)[:, 0] - slack
+        least[enough > len(groups)] = -np.inf
+        # what is seen, by leaf
+        own = seen[ends[first] - n[0] : ends[first + len(x) - 1]]
+        own_row, by_leaf = np.repeat(np.arange(len(x)), n), np.argsort(leaf_of[own], kind="stable")
+        starts = np.searchsorted(leaf_of[own][by_leaf], np.arange(len(groups) + 1))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for number in np.argsort(-upper.max(axis=0)):
+            rows = np.flatnonzero(upper[:, number] + slack >= least)
+            if not len(rows):
+                continue
+            g = groups[number]
+            scores = x[rows] @ right[g].T
+            taken = by_leaf[starts[number] : starts[number + 1]]
+            taken = taken[np.isin(own_row[taken], rows)]
+            scores[np.searchsorted(rows, own_row[taken]), place_in[own[taken]]] = -np.inf
+            if len(g) > k:
+                least[rows] = np.maximum(least[rows], np.partition(scores, -k, axis=1)[:, -k])
+            good = (scores >= least[rows][:, None]) & np.isfinite(scores)
+            for tied in np.flatnonzero(good.sum(axis=1) > k):
+                good[tied] = False
+                good[tied, np.argsort(-scores[tied], kind="stable")[:k]] = True
+            at, place = np.nonzero(good)
+            found.append((rows[at], g[place], scores[at, place]))
+        if found:
+            row, place, score = (np.concatenate([f[c] for f in found]) for c in range(3))
+            order = np.lexsort((place, -score, row))
+            row, place, score = row[order], place[order], score[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out.append((row[keep] + first, place[keep], score[keep]))
+    empty = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+    return tuple(np.concatenate([o[c] for o in [*out, empty]]) for c in range(3))
+
+
 def recommend_for_users(
     fitted: RatingModel, items: DataFrame, ratings: DataFrame, users: DataFrame, k: int = 10,
     slice_items: int = SLICE_ITEMS, block_users: int = BLOCK_USERS,
 ) -> DataFrame:
     """``(user, rank, item, title, prediction)``: for every user of ``users`` the ``k`` best items not rated yet.
 
-    Items are dealt to slices and users to blocks; a unit multiplies one block's factors with one
-    slice's, takes out what its users have rated in that slice, and returns ``k`` items a user, so that
-    rows grow with users and slices, never with users times items. Users and items without factors
-    drop out. Equal predictions go by item.
+    Items are dealt to slices and users to blocks; a unit meets one block with one slice, takes out what its
+    users have rated, and returns ``k`` items a user (``best_items``), so that it need not multiply all of
+    them. Slices travel in chunks of many items, and one copy serves a whole block. Users and items without
+    factors drop out. Equal predictions go by item.
     """
     wanted = users.select("user").distinct().join(fitted.users, "user")
     wanted = stored(wanted.join(fitted.model.userFactors.selectExpr("id AS user_no", "features"), "user_no"), "wanted-users")
@@ -254,29 +331,32 @@ def recommend_for_users(
     rated = ratings.select("user", "item").distinct().join(known.select("item", "item_no", part), "item")
     rated = rated.join(wanted.select("user", "user_no"), "user").groupBy("user_no", "slice").agg(F.collect_list("item_no").alias("seen"))
     asking = wanted.select("user_no", "features", block, every(slices).alias("slice")).join(rated, ["user_no", "slice"], "left")
-    offered = known.select("item_no", "features", part, every(blocks).alias("block"))
+    chunk = F.pmod(F.xxhash64(F.lit("chunk"), "item_no"), F.lit(1 + slice_items // CHUNK_ITEMS)).alias("chunk")
+    packed = known.select(part, chunk, F.struct("item", "item_no", "features").alias("entry"))
+    packed = stored(packed.groupBy("slice", "chunk").agg(F.collect_list("entry").alias("entries")), "item-chunks")
+    offered = packed.select("slice", "entries", every(blocks).alias("block"))
+    item_type = known.schema["item"].dataType
 
     def best(asked: pa.Table, slice_: pa.Table) -> pa.Table:
-        numbers, of = asked.column("user_no").to_numpy(), slice_.column("item_no").to_numpy()
-        order = np.argsort(of)
-        of = of[order]
-        left, right = (np.array(t.column("features").to_pylist(), dtype=np.float64) for t in (asked, slice_))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(numbers) and len(of):
-            scores = left @ right[order].T
-            for row, seen in enumerate(asked.column("seen").to_pylist()):
-                own = scores[row]
-                own[np.searchsorted(of, np.array(seen or [], dtype=of.dtype))] = -np.inf
-                # all that tie with the k-th go on; the ids decide later
-                least = np.partition(own, -k)[-k] if k < len(own) else -np.inf
-                chosen = np.flatnonzero((own >= least) & np.isfinite(own))
-                out.append((np.full(len(chosen), numbers[row]), of[chosen], own[chosen]))
-        columns = [np.concatenate([o[c] for o in out]) if out else [] for c in range(3)]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.float64()))], ["user_no", "item_no", "prediction"])
+        entries = slice_.column("entries").combine_chunks().flatten()
+        item, no, features = entries.flatten()
+        order = pc.sort_indices(item)
+        item, no = item.take(order), no.take(order).to_numpy()
+        rank = len(features.flatten()) // max(len(features), 1)
+        right = features.flatten().to_numpy().astype(np.float64).reshape(len(no), rank)[order.to_numpy()]
+        features = asked.column("features").combine_chunks().flatten()
+        left = features.to_numpy().astype(np.float64).reshape(asked.num_rows, len(features) // max(asked.num_rows, 1))
+        seen = asked.column("seen").combine_chunks()
+        sizes = pc.fill_null(pc.list_value_length(seen), 0).to_numpy()
+        by_no = np.argsort(no)
+        seen = by_no[np.searchsorted(no[by_no], seen.flatten().to_numpy(zero_copy_only=False).astype(no.dtype))]
+        row, place, score = best_items(left, right, sizes, seen, k)
+        columns = [asked.column("user_no").take(pa.array(row)).combine_chunks(), item.take(pa.array(place)), pa.array(score, pa.float64())]
+        return pa.table(columns, ["user_no", "item", "prediction"])
 
     unit = ["block", "slice"]
-    found = asking.groupBy(*unit).cogroup(offered.groupBy(*unit)).applyInArrow(best, "user_no int, item_no int, prediction double")
+    found = asking.groupBy(*unit).cogroup(offered.groupBy(*unit)).applyInArrow(best, f"user_no int, item {item_type.simpleString()}, prediction double")
     titled = items.select("item", "title").dropDuplicates(["item"])
-    named = found.join(wanted.select("user", "user_no"), "user_no").join(known.select("item", "item_no"), "item_no")
+    named = found.join(wanted.select("user", "user_no"), "user_no")
     ranked = top_k(named, ["user"], [F.desc("prediction"), "item"], k)
     return ranked.join(titled, "item").select("user", "rank", "item", "title", "prediction")

@@ -193,6 +193,42 @@ def test_recommendations_for_many_users(spark, slice_items, block_users):
     assert [r["item"] for r in one] == [got[4, k][0] for k in range(1, 5)]
 
 
+def test_the_search_of_a_unit_is_exact_and_skips_leaves(monkeypatch):
+    """Against all products; and only few of them are formed, where once all were."""
+    rng = np.random.default_rng(1)
+    for rank, users, items in ((1, 30, 400), (2, 50, 3000), (5, 40, 777), (2, 7, 4), (2, 0, 5), (2, 5, 0)):
+        left, right = rng.normal(size=(users, rank)), rng.normal(size=(items, rank))
+        left[:1] = 0  # all items tie
+        sizes = rng.integers(0, min(items, 40) + 1, users)
+        seen = [rng.choice(items, n, replace=False) for n in sizes]
+        row, place, score = rt.best_items(left, right, sizes, np.concatenate([*seen, []]).astype(int), 5, leaf_items=16)
+        for u in range(users):
+            best = sorted((round(-float(left[u] @ right[i]), 9) + 0.0, i) for i in set(range(items)) - set(seen[u].tolist()))[:5]
+            assert [(round(-s, 9) + 0.0, p) for s, p in zip(score[row == u].tolist(), place[row == u].tolist())] == best
+    formed = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            formed.append(self.shape[0] * other.shape[-1])
+            return np.asarray(self) @ np.asarray(other)
+
+    left, right = rng.normal(size=(200, 2)), rng.normal(size=(50_000, 2))
+    none = np.zeros(200, dtype=int)
+    rt.best_items(left.view(Counted), right, none, none[:0], 5)
+    assert sum(formed) < 200 * 50_000 / 10
+
+
+def test_items_travel_to_blocks_in_chunks(spark):
+    """Rows on their way to the units follow users and chunks of items, not items times blocks."""
+    rows = [(u, u % 7, 1.0 + u % 3, 0) for u in range(300)] + [(0, i, 2.0, 0) for i in range(200)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double, ts long")
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(200)], "item long, title string")
+    found = rt.recommend_for_users(rt.als(ratings, iterations=1), items, ratings, ratings.select("user"), 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "entries#" in plan and "FlatMapCoGroupsInArrow" in plan
+    assert found.count() == 299 * 3
+
+
 def test_normal_equations_see_a_wrong_factor(spark):
     rng = random.Random(3)
     rows = [(u, i, float(rng.randrange(1, 6)), 0) for u in range(20) for i in rng.sample(range(30), 8)]
