@@ -15,6 +15,10 @@ shares a node is quadratic in the number of nodes that point to it, so targets a
   not the hubs' squares.
 
 Both parts are exact for any choice of hubs.
+
+Without hubs and seeds no pair is shuffled at all: each edge brings its target's list of nodes to the
+user, and blocks of users count what they received and keep ``k`` others each. Users that
+would receive more than ``USER_ENTRIES`` are served like seeds, pair by pair.
 """
 
 from __future__ import annotations
@@ -24,11 +28,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tarn.operators.relational import broadcast_if_small, top_k
-from tarn.session import materialise
+from tarn.session import materialise, stored
 
 HUB_DEGREE = 10_000
+#: List entries that a block of users receives on average, and that one user may receive at most.
+BLOCK_ENTRIES, USER_ENTRIES = 2_000_000, 1_000_000
 #: Edges to hubs that one slice of nodes holds: some 64 MB in a worker.
 SLICE_EDGES = 4_000_000
 #: Blocks of classes at least, for as many tasks.
@@ -46,6 +53,7 @@ def people_you_may_know(
     hub_degree: int = HUB_DEGREE,
     slice_edges: int = SLICE_EDGES,
     list_head: int = LIST_HEAD,
+    user_entries: int = USER_ENTRIES,
 ) -> DataFrame:
     """``(user, rank, other, shared)``: per user the ``k`` best strangers.
 
@@ -58,7 +66,7 @@ def people_you_may_know(
     if not hubs.isEmpty():
         candidates = _with_hubs(edges, hubs, seeds, k, slice_edges, min(list_head, LIST_HEAD))
     elif seeds is None:
-        candidates = _both_ways(_strangers(_shared(edges), edges, ordered=True))
+        candidates = _from_lists(edges, k, user_entries)
     else:
         candidates = _strangers(_shared(edges, seeds), edges)
     return top_k(candidates, ["user"], [F.desc("shared"), "other"], k).select(
@@ -66,6 +74,68 @@ def people_you_may_know(
     )
 
 
+def _from_lists(edges: DataFrame, k: int, user_entries: int) -> DataFrame:
+    """``(user, other, shared)`` with the ``k`` best strangers of each user at least."""
+    id_type = edges.schema["src"].dataType.simpleString()
+    narrow = edges
+    if id_type == "bigint":
+        # ids travel in 32 bits where all of them fit
+        least, most = edges.select(F.min(F.least("src", "dst")), F.max(F.greatest("src", "dst"))).first()
+        if least is not None and -(1 << 31) <= least and most < 1 << 31:
+            narrow = edges.select(F.col("src").cast("int"), F.col("dst").cast("int"))
+    lists = narrow.groupBy("dst").agg(F.collect_list("src").alias("others"))
+    lists = stored(lists.withColumn("degree", F.size("others")), "target-lists")
+    received = narrow.join(lists.select("dst", "degree"), "dst").groupBy(F.col("src").alias("user")).agg(F.sum("degree").alias("entries"))
+    received = stored(received, "user-entries")
+    heavy = received.where(F.col("entries") > user_entries).select("user")
+    total = received.where(F.col("entries") <= user_entries).agg(F.sum("entries")).first()[0] or 0
+    blocks = 1 + total // BLOCK_ENTRIES
+    block = lambda user: F.pmod(F.xxhash64(F.col(user).cast(id_type)), F.lit(blocks)).alias("block")
+    # a link counts in both directions; one to a heavy user still tells its friend
+    links = narrow.select(F.inline(F.array(F.struct(F.col("src").alias("user"), F.col("dst").alias("other")), F.struct(F.col("dst").alias("user"), F.col("src").alias("other")))))
+    links = links.join(received.select("user"), "user", "left_semi")
+    asking, some = narrow, not heavy.isEmpty()
+    if some:
+        heavy = broadcast_if_small(stored(heavy, "heavy-users"))
+        asking = asking.join(heavy.withColumnRenamed("user", "src"), "src", "left_anti")
+        links = links.join(heavy, "user", "left_anti")
+    links = links.groupBy("user").agg(F.collect_list("other").alias("others")).select(block("user"), "user", "others", F.lit(True).alias("linked"))
+    met = asking.join(lists.select("dst", "others"), "dst").select(block("src"), F.col("src").alias("user"), "others", F.lit(False).alias("linked"))
+    rows = met.unionByName(links)
+    parts = max(edges.sparkSession.sparkContext.defaultParallelism, blocks)
+    schema = f"user {id_type}, other {id_type}, shared bigint"
+    to = pa.schema([("user", to_arrow_type(edges.schema["src"].dataType)), ("other", to_arrow_type(edges.schema["src"].dataType)), ("shared", pa.int64())])
+    found = rows.repartition(parts, "block").groupBy("block").applyInArrow(lambda held: _best_of_lists(held, k).cast(to), schema)
+    if some:
+        wide = heavy.select(F.col("user").cast(id_type).alias("user"))
+        found = found.unionByName(_strangers(_shared(edges, wide), edges))
+    return found
+
+
+def _best_of_lists(held: pa.Table, k: int) -> pa.Table:
+    """Of each user the ``k`` others met most often, then of the lowest id, that are not linked to it."""
+    lists = held.column("others")
+    entries, sizes = _flat(lists)
+    ids = pa.chunked_array([*held.column("user").chunks, entries]).combine_chunks()
+    names = ids.dictionary_encode()
+    order = pc.sort_indices(names.dictionary)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order.to_numpy()] = np.arange(len(order))
+    numbers = place[names.indices.to_numpy()]
+    user, other = np.repeat(numbers[: held.num_rows], sizes), numbers[held.num_rows :]
+    linked = np.repeat(held.column("linked").to_numpy(), sizes)
+    pair = user * len(order) + other
+    met, shared = np.unique(pair[~linked], return_counts=True)
+    strange = ~np.isin(met, pair[linked]) & (met // max(len(order), 1) != met % max(len(order), 1))
+    met, shared = met[strange], shared[strange]
+    user, other = met // max(len(order), 1), met % max(len(order), 1)
+    best = np.lexsort((other, -shared, user))
+    user, other, shared = user[best], other[best], shared[best]
+    keep = np.arange(len(user)) - np.searchsorted(user, user) < k
+    names = names.dictionary.take(order)
+    return pa.table({"user": names.take(pa.array(user[keep])), "other": names.take(pa.array(other[keep])), "shared": pa.array(shared[keep], pa.int64())})
+
+
 def _shared(edges: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """Shared targets per pair: each pair once (user < other), or from the seeds' side."""
     left = edges.select(F.col("src").alias("user"), "dst")

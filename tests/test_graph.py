@@ -128,3 +128,27 @@ def test_repeated_edges_and_friends(spark):
     frame = spark.createDataFrame(edges, "src long, dst long")
     rows = {(r.user, r.other): r.shared for r in people_you_may_know(frame).collect()}
     assert rows == {(1, 2): 1, (2, 1): 1, (2, 3): 1, (3, 2): 1}
+
+
+@pytest.mark.parametrize("user_entries", [10**6, 60, 0])
+@pytest.mark.parametrize("shift", [0, 1 << 40])
+def test_users_who_receive_much_are_served_pair_by_pair(spark, user_entries, shift):
+    edges = {(s + shift, d + shift) for s, d in skewed_graph(7)} | {(1 + shift, n + shift) for n in range(60)}
+    assert run(spark, edges, hub_degree=10**6, k=3, user_entries=user_entries) == brute_force(edges, k=3)
+
+
+def test_no_pair_is_shuffled(spark):
+    """What leaves a block are k others a user; pairs once went through two shuffles."""
+    pairs = [(user, 1000 + n % 5) for n, user in enumerate(range(400))]
+    frame = spark.createDataFrame(pairs, "src long, dst long")
+    found = people_you_may_know(frame, k=2)
+    assert "FlatMapGroupsInArrow" in found._jdf.queryExecution().optimizedPlan().toString()
+    from tarn.operators.graph import _from_lists
+    assert _from_lists(frame, 2, 10**6).count() == 400 * 2
+
+
+def test_ids_may_be_words(spark):
+    edges = skewed_graph(9)
+    frame = spark.createDataFrame([(f"n{s:03}", f"n{d:03}") for s, d in sorted(edges)], "src string, dst string")
+    got = {(r.user, r.rank): (r.other, r.shared) for r in people_you_may_know(frame).collect()}
+    assert got == {(f"n{u:03}", rank): (f"n{o:03}", n) for (u, rank), (o, n) in brute_force(edges).items()}
