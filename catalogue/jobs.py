@@ -474,7 +474,7 @@ def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ip.item_master(
         ip.item_features(inputs.items(spark, sf_dir)),
         inputs.ratings(spark, sf_dir),
-        ip.item_tag_counts(inputs.tags(spark, sf_dir)),
+        materialise(ip.item_tag_counts(inputs.tags(spark, sf_dir))),
     )
 
 
@@ -486,15 +486,15 @@ def item_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_tag_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag_counts = ip.item_tag_counts(inputs.tags(spark, sf_dir))
-    return up.user_tags(inputs.ratings(spark, sf_dir), tag_counts)
+    return up.user_tags(materialise(inputs.ratings(spark, sf_dir)), materialise(tag_counts))
 
 
 def user_year_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return up.user_years(inputs.ratings(spark, sf_dir), _master(spark, sf_dir))
+    return up.user_years(materialise(inputs.ratings(spark, sf_dir)), _master(spark, sf_dir))
 
 
 def user_genre_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return up.user_genres(inputs.ratings(spark, sf_dir), materialise(_master(spark, sf_dir)))
+    return up.user_genres(materialise(inputs.ratings(spark, sf_dir)), materialise(_master(spark, sf_dir)))
 
 
 def user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from tarn.session import materialise
 HOT_SHARE = 1024
 #: Rows of either side that one unit of a hot key's many-to-many join holds.
 UNIT_ROWS = 4096
+#: Rows that a task should get where a shuffle's width is chosen here.
+TASK_ROWS = 262_144
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -52,6 +54,15 @@ def top_k(
     return rows.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def tasks_for(rows: DataFrame, task_rows: int = TASK_ROWS) -> int:
+    """Tasks of about ``task_rows`` rows each, one a core at least. Counts ``rows``, so pass a stored frame.
+
+    Adaptive execution sizes tasks by shuffled bytes, which compress well where rows are narrow; a task
+    then holds ever more rows until those bytes are reached. With a width by rows its memory does not grow.
+    """
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // task_rows))
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only after measuring ``df``; otherwise leave the join to Spark.
 

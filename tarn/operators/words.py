@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions.stemming import stem
 from tarn.functions.text import WHITESPACE, first_letters
-from tarn.operators.relational import lookup
+from tarn.operators.relational import lookup, tasks_for
 from tarn.session import stored
 
 
@@ -38,18 +38,22 @@ def stem_vocabulary(tokens: DataFrame, token: str) -> DataFrame:
 
 
 def stem_counts(
-    tokens: DataFrame, token: str, *keys: str, name: str = "n", vocabulary: DataFrame | None = None
+    tokens: DataFrame, token: str, *keys: str, name: str = "n", vocabulary: DataFrame | None = None, weight: str | None = None
 ) -> DataFrame:
     """Occurrences per ``(keys, stem)`` of lower-cased tokens.
 
     Equal tokens of a key are counted together first; then each finds its stem in the vocabulary,
-    one stored table over all keys (given, or made of these tokens). Null tokens do not count.
+    one stored table over all keys (given, or made of these tokens). Null tokens do not count. A row
+    stands for ``weight`` occurrences if that column is named. The result is dealt by ``keys``.
     """
-    counted = tokens.groupBy(*keys, F.lower(token).alias("token")).agg(F.count("*").alias("_n")).where("token IS NOT NULL")
+    n = F.count("*") if weight is None else F.sum(weight)
+    counted = tokens.groupBy(*keys, F.lower(token).alias("token")).agg(n.alias("_n")).where("token IS NOT NULL")
     if not keys and vocabulary is None:  # a row a token already
         return counted.withColumn("stem", stem("token")).groupBy("stem").agg(F.sum("_n").alias(name))
     counted = stored(counted, "token-counts")
     if vocabulary is None:
         vocabulary = stem_vocabulary(counted, "token")
     stems = lookup(counted, vocabulary.select("token", "stem"), "token")
+    if keys:
+        stems = stems.repartition(tasks_for(counted), *keys)
     return stems.groupBy(*keys, "stem").agg(F.sum("_n").alias(name))

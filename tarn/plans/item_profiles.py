@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tarn.functions.stemming import stem_all
 from tarn.functions.text import genre_words, title_words, year_of
-from tarn.operators.relational import top_k
+from tarn.operators.relational import tasks_for, top_k
 from tarn.operators.words import stem_counts, word_rows
+from tarn.session import stored
 
 
 def item_features(items: DataFrame, tokenizer: str = "word") -> DataFrame:
@@ -26,8 +27,13 @@ def item_average(ratings: DataFrame) -> DataFrame:
 
 
 def item_tag_counts(tags: DataFrame) -> DataFrame:
-    """``(item, tag text)`` to ``(item, stem, n)``: occurrences of each stemmed word."""
-    return stem_counts(word_rows(tags, "tag", "item"), "word", "item")
+    """``(item, tag text)`` to ``(item, stem, n)``: occurrences of each stemmed word.
+
+    Equal texts of an item are counted before they are cut into words.
+    """
+    tags = stored(tags.select("item", "tag"), "item-tags")
+    texts = tags.repartition(tasks_for(tags), "item", "tag").groupBy("item", "tag").agg(F.count("*").alias("texts"))
+    return stem_counts(word_rows(texts, "tag", "item", "texts"), "word", "item", weight="texts")
 
 
 def item_top_tags(tag_counts: DataFrame, k: int = 10) -> DataFrame:
@@ -44,6 +50,7 @@ def ranked_list(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
 def item_master(
     features: DataFrame, ratings: DataFrame, tag_counts: DataFrame, k: int = 10
 ) -> DataFrame:
-    """Features, average rating and tag list of items that have all three."""
-    tags = ranked_list(item_top_tags(tag_counts, k), "item", "stem", "tags")
-    return features.join(item_average(ratings), "item").join(tags, "item")
+    """Features, average rating and tag list of items that have all three. Counts ``tag_counts``, so pass stored ones."""
+    dealt = lambda rows, tasks=tasks_for(tag_counts): rows.repartition(tasks, "item")
+    tags = ranked_list(item_top_tags(dealt(tag_counts), k), "item", "stem", "tags")
+    return dealt(features).join(dealt(item_average(ratings)), "item").join(tags, "item")

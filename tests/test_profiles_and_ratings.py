@@ -193,6 +193,53 @@ def test_recommendations_for_many_users(spark, slice_items, block_users):
     assert [r["item"] for r in one] == [got[4, k][0] for k in range(1, 5)]
 
 
+def busy(spark, users=40, items=30):
+    rng = random.Random(5)
+    ratings = [(u, i, float(rng.randrange(1, 6)), 0) for u in range(users) for i in rng.choices(range(items), k=9)]
+    ratings += [(1, i, 1.0, 0) for i in range(items)] + [(2, None, 3.0, 0), (None, 3, 2.0, 0)]
+    tags = [(i, " ".join(rng.choices(["red", "Reds", "blue", "w1", "w2", "w3"], k=3))) for i in range(items) for _ in range(4)]
+    tags += [(3, None), (None, "red"), (4, tags[16][1])]
+    return ratings, tags
+
+
+@pytest.mark.parametrize("user_rows", [10**6, 4])
+@pytest.mark.parametrize("unit_rows", [4096, 3])
+def test_tags_of_users_with_many_ratings(spark, user_rows, unit_rows):
+    """Lists of tags, whole or in parts, and users added up in one task or several, against plain sums."""
+    rated, tagged = busy(spark)
+    counts = {}
+    for item, text in tagged:
+        for word in (text or "").lower().split():
+            stem = "red" if word == "reds" else word
+            counts.setdefault(item, {})[stem] = counts.get(item, {}).get(stem, 0) + 1
+    sums = {}
+    for user, item, rating, _ in rated:
+        for stem, n in counts.get(item, {}).items() if item is not None else ():
+            sums[user, stem] = sums.get((user, stem), 0) + rating * n
+    expected = {}
+    for user in {u for u, _ in sums}:
+        best = sorted((-round(v, 6), s) for (u, s), v in sums.items() if u == user)[:3]
+        expected |= {(user, rank): (s, -v) for rank, (v, s) in enumerate(best, 1)}
+    ratings = spark.createDataFrame(rated, "user long, item long, rating double, ts long")
+    tag_counts = ip.item_tag_counts(spark.createDataFrame(tagged, "item long, tag string"))
+    got = up.user_tags(ratings, tag_counts, 3, unit_rows, user_rows).collect()
+    assert {(r.user, r["rank"]): (r.stem, r.score) for r in got} == expected
+
+
+def test_widths_follow_the_rows(spark, monkeypatch):
+    """A task gets a bounded number of rows; the width was the session's once."""
+    from tarn.operators import relational
+    assert relational.tasks_for(spark.range(1000), 10) == 100
+    monkeypatch.setattr(relational.tasks_for, "__defaults__", (10,))
+    rated, tagged = busy(spark)
+    ratings = spark.createDataFrame(rated, "user long, item long, rating double, ts long")
+    tag_counts = ip.item_tag_counts(spark.createDataFrame(tagged, "item long, tag string"))
+    assert "RepartitionByExpression [item#" in tag_counts._jdf.queryExecution().optimizedPlan().toString()
+    plan = up.user_tags(ratings, tag_counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"RepartitionByExpression [user#" in plan and f", {-(-len(rated) // 10)}" in plan
+    assert plan.index("Generate inline") < plan.index("RepartitionByExpression [user#")  # lists are opened after the shuffle
+
+
 def test_the_search_of_a_unit_is_exact_and_skips_leaves(monkeypatch):
     """Against all products; and only few of them are formed, where once all were."""
     rng = np.random.default_rng(1)
