@@ -34,13 +34,17 @@ def user_tags(ratings: DataFrame, tag_counts: DataFrame, k: int = 20, unit_rows:
     lists = tag_counts.join(broadcast_if_small(numbers), "stem").groupBy("item", F.floor(F.col("stem_no") / unit_rows).alias("part"))
     lists = stored(lists.agg(F.sort_array(F.collect_list(F.struct("stem_no", "n"))).alias("tags")), "item-tag-lists")
     lists = lists.select("item", F.transform("tags", lambda t: t["stem_no"]).alias("nos"), F.transform("tags", lambda t: t["n"]).alias("counts"))
+    # the narrowest integers that hold every count, as a list goes out once a rating
+    most = lists.agg(F.max(F.array_max("counts"))).first()[0] or 0
+    width = "tinyint" if most < 1 << 7 else "smallint" if most < 1 << 15 else "bigint"
+    lists = lists.withColumn("counts", F.col("counts").cast(f"array<{width}>"))
     tasks = tasks_for(ratings)
     per_item = ratings.repartition(tasks, "user", "item").groupBy("user", "item").agg(F.sum("rating").alias("rating"))
     per_item = stored(per_item, "user-item-ratings")
     heavy = per_item.groupBy("user").agg(F.ceil(F.count("*") / user_rows).cast("int").alias("shares")).where("shares > 1")
     heavy = stored(heavy, "heavy-users")
     rated = many_to_many(per_item, lists, "item", unit_rows)
-    place, score = ["user"], F.sum(F.col("rating") * F.col("counts")).alias("score")
+    place, score = ["user"], F.sum(F.col("rating") * F.col("counts").cast("bigint")).alias("score")
     if not heavy.isEmpty():
         rated = rated.join(broadcast_if_small(heavy), "user", "left")
         rated = rated.withColumn("share", F.coalesce(F.pmod(F.xxhash64("item"), F.col("shares")).cast("int"), F.lit(0)))

@@ -226,6 +226,14 @@ def test_tags_of_users_with_many_ratings(spark, user_rows, unit_rows):
     assert {(r.user, r["rank"]): (r.stem, r.score) for r in got} == expected
 
 
+@pytest.mark.parametrize("n", [127, 128, 32767, 32768, 1 << 40])
+def test_counts_of_any_size(spark, n):
+    ratings = spark.createDataFrame([(1, 1, 2)], "user long, item long, rating int")
+    tag_counts = spark.createDataFrame([(1, "a", n), (1, "b", 1)], "item long, stem string, n long")
+    got = {r.stem: r.score for r in up.user_tags(ratings, tag_counts).collect()}
+    assert got == {"a": 2 * n, "b": 2}
+
+
 def test_widths_follow_the_rows(spark, monkeypatch):
     """A task gets a bounded number of rows; the width was the session's once."""
     from tarn.operators import relational
