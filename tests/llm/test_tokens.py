@@ -83,6 +83,27 @@ def test_forgets_without_error(spark, tokenizer, monkeypatch):
         assert encoder.encode([text])[0].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
 
 
+def test_a_unit_is_merged_once(tokenizer):
+    """Whatever marks and line breaks stand beside a word, its ids are remembered."""
+
+    class Merges:
+        def __init__(self, merges):
+            self.merges, self.asked = merges, []
+
+        def tokenize(self, unit):
+            self.asked.append(unit)
+            return self.merges.tokenize(unit)
+
+    encoder = tokens.Encoder(PATH)
+    encoder.encode(["a fromage b"])
+    encoder.merges = Merges(encoder.merges)
+    texts = ["a fromage, b fromage. a fromage.\nfromage!", "fromage\nfromage; fromage #\n#b fromage\n", "\nfromage fromage.\n fromage \nb", ",\nb .\n. a.\n\nb"]
+    ids, _ = encoder.encode(texts)
+    assert ids.tolist() == [i for t in texts for i in [*tokenizer.encode(t, add_special_tokens=False).ids, 0]]
+    assert encoder.merges.asked.count("\u0120fromage") == 0 and encoder.merges.asked.count("fromage") == 1
+    assert len(encoder.merges.asked) == len(set(encoder.merges.asked))
+
+
 def test_defined_cases(spark, tokenizer):
     data = [(5, "x y", 1), (None, "null id", 2), (3, None, 3), (3, "", 4), (9, "word " * 50000, 5), (5, "x y", 6)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, ids int")
