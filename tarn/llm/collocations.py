@@ -27,7 +27,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +41,8 @@ AT_ONCE = 6_000_000
 MAP_BITS, SLICE_BITS = 27, 16
 #: Parts of a language's phrases that are ranked side by side.
 RANK_PARTS = 64
+#: Numbers of phrases stay below this while they are multiplied.
+NUMBERS = 1 << 63
 PIECE_END = "\n"
 #: A-Z in lower case, every mark between pieces a line break, a tab a space.
 BYTES = np.arange(256, dtype=np.uint8)
@@ -49,10 +50,27 @@ BYTES[65:91] += 32
 BYTES[[*b".,;:!?\n\x0b\x0c\r"]] = 10
 BYTES[9] = 32
 _ODD = np.random.default_rng(13).integers(0, 1 << 64, 16, dtype=np.uint64) | np.uint64(1)
+#: Factors of a word's bytes by their places, again from the first where they end.
+_FACTORS = np.random.default_rng(14).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w, 13) for w in words.to_pylist()], dtype=np.uint64)
+    """A hash of each word's bytes: their sum by factors of their places, mixed. Equal words have equal ones
+    everywhere; that two words share one costs work, no result."""
+    texts = words.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, dtype=np.int64)
+    held = np.frombuffer(data if data is not None else b"", dtype=np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    place = np.arange(len(held)) - np.repeat(ends[:-1], np.diff(ends))
+    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum((held + np.uint64(1)) * _FACTORS[place & 255], dtype=np.uint64)))
+    mixed = sums[ends[1:]] - sums[ends[:-1]]
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _ODD[12]
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+def _piece_ends(words: pa.Array) -> np.ndarray:
+    return pc.equal(words, PIECE_END).to_numpy(zero_copy_only=False)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
@@ -65,7 +83,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarr
 def _chunks(langs: pa.Array, texts: pa.Array, overlap: int) -> pa.Table:
     """``(lang, chunk, n)``: the distinct chunks of some texts."""
     ids, words, hashes, counts = _tokens(pc.replace_substring(mapped(texts, BYTES), PIECE_END, f" {PIECE_END} "))
-    cuts = (hashes % np.uint64(TRIGGER) == 0) & np.array([w != PIECE_END for w in words.to_pylist()], dtype=bool)
+    cuts = (hashes % np.uint64(TRIGGER) == 0) & ~_piece_ends(words)
     row = np.repeat(np.arange(len(counts)), counts)
     first = np.zeros(len(ids), dtype=bool)
     ends = np.cumsum(counts)
@@ -112,7 +130,7 @@ def _phrases(batch: pa.RecordBatch, size: int, frequent: np.ndarray | None) -> p
     ends = np.cumsum(counts)
     end, start = np.repeat(ends, counts), np.repeat(ends - counts, counts)
     at = np.arange(len(ids))
-    is_end = np.array([w == PIECE_END for w in words.to_pylist()], dtype=bool)
+    is_end = _piece_ends(words)
     cut = (hashes % np.uint64(TRIGGER) == 0) & ~is_end
     # a chunk's own part ends at its first trigger behind its first token
     behind = np.flatnonzero(cut[ids] & (at > start))
@@ -131,14 +149,18 @@ def _phrases(batch: pa.RecordBatch, size: int, frequent: np.ndarray | None) -> p
         good[: len(both)] &= both
         good[len(both) :] = False
     places = np.flatnonzero(good)
-    # phrases are numbered word by word; the last numbering tells them apart
-    codes = lang[places]
+    # phrases are numbered by their words, anew where their numbers would pass 63 bits
+    codes, most = lang[places], len(langs.dictionary)
     for step in range(size):
-        codes = np.unique(codes * len(words) + ids[places + step], return_inverse=True)[1]
-    _, first = np.unique(codes, return_index=True)
-    sums = np.zeros(len(first), dtype=np.int64)
-    np.add.at(sums, codes, weight[places])
-    where = places[first]
+        if most * len(words) >= NUMBERS:
+            codes = np.unique(codes, return_inverse=True)[1]
+            most = len(codes)
+        codes, most = codes * len(words) + ids[places + step], most * len(words)
+    order = np.argsort(codes)
+    codes = codes[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(codes), 1), dtype=bool), codes[1:] != codes[:-1])))
+    sums = np.add.reduceat(weight[places[order]], first) if len(first) else np.zeros(0, dtype=np.int64)
+    where = places[order[first]]
     names = words.cast(pa.string())
     texts = [names.take(pa.array(ids[where + step])) for step in range(size)]
     phrase = pc.binary_join_element_wise(*texts, " ") if size > 1 else texts[0]

@@ -1,5 +1,6 @@
 """Phrase collocations against plain counting, the chunks' properties, and the cases defined."""
 
+import cProfile
 import re
 from collections import Counter, defaultdict
 
@@ -80,6 +81,52 @@ def test_a_full_map_drops_nothing(spark, monkeypatch):
     assert found(made(spark, rows), least=2) == plain(rows, least=2) != []
 
 
+def batch_of(rows):
+    return pa.record_batch([pa.array([lang for lang, _ in rows]), pa.array([text for _, text in rows]), pa.array([1 + n % 3 for n in range(len(rows))])], ["lang", "chunk", "n"])
+
+
+def test_numbers_of_phrases_stay_small(monkeypatch):
+    """Phrases numbered anew after every word are told apart as in one go, and counted right."""
+    draw = np.random.default_rng(3)
+    rows = [(lang, " ".join(f"v{k}" for k in draw.integers(0, 9, 40))) for lang in ("a", "b") for _ in range(20)]
+    monkeypatch.setattr(collocations, "TRIGGER", 1 << 62)
+    once = [sorted(map(tuple, collocations._phrases(batch_of(rows), size, None).to_pandas().values.tolist())) for size in (1, 2, 3)]
+    monkeypatch.setattr(collocations, "NUMBERS", 1)
+    assert once == [sorted(map(tuple, collocations._phrases(batch_of(rows), size, None).to_pandas().values.tolist())) for size in (1, 2, 3)]
+    counts = Counter()
+    for n, (lang, text) in enumerate(rows):
+        words = text.split()
+        counts.update({(lang, " ".join(words[i : i + 2])): 0 for i in range(len(words) - 1)})
+        for i in range(len(words) - 1):
+            counts[lang, " ".join(words[i : i + 2])] += 1 + n % 3
+    assert [tuple(r) for r in once[1]] == sorted((*k, f) for k, f in counts.items())
+
+
+def test_no_call_a_word():
+    """Cutting and counting make no more Python calls for more different words."""
+
+    def calls(words):
+        batch = batch_of([("en", " ".join(f"w{n}" for n in range(k, k + 50))) for k in range(0, words, 50)])
+        profile = cProfile.Profile()
+        profile.runcall(collocations._chunks, batch.column(0), batch.column(1), 2)
+        profile.runcall(collocations._phrases, batch, 2, np.full(1 << (collocations.MAP_BITS - 3), 255, dtype=np.uint8))
+        return sum(entry.callcount for entry in profile.getstats())
+
+    calls(500)  # what is imported when first used
+    assert calls(20000) < calls(500) + 500
+
+
+def test_hashes_are_of_the_bytes():
+    words = ["", "a", "b", "ab", "ba", "é", "x" * 256, "x" * 257, "y" + "x" * 256, "\n", "a\0", "🙂"]
+    hashes = collocations._hashes(pa.array(words))
+    assert len(set(hashes.tolist())) == len(words)
+    assert (collocations._hashes(pa.array(["q", *words, "r"]).slice(1, len(words))) == hashes).all()
+    assert (collocations._hashes(pa.array(words[::-1], pa.large_string()))[::-1] == hashes).all()
+    assert len(collocations._hashes(pa.array([], pa.string()))) == len(collocations._hashes(pa.array(["x"]).slice(1))) == 0
+    many = collocations._hashes(pa.array([f"word{n}" for n in range(32000)]))
+    assert 800 < (many % np.uint64(32) == 0).sum() < 1200 and len(np.unique(many)) == 32000
+
+
 def test_defined_cases(spark):
     phrase = "new york city "
     rows = [("en", phrase * 30), (None, "x y, " * 12), ("und", "x y"), ("en", None), ("en", ""), ("fr", " .\n\t "), ("en", "word " * 40000)]
