@@ -42,6 +42,8 @@ START = -1
 CHUNK_CHARS = 16_000_000
 #: Hash buckets at least; with a wider shuffle as many as that has partitions. No result depends on it.
 BUCKETS = 128
+#: Numbers of pairs stay below this.
+NUMBERS = 1 << 63
 #: Counts up to this are discounted.
 TOP = 5
 #: Pairs seen less often in training are not in the model: only those never seen there.
@@ -79,6 +81,11 @@ def _chunks(docs: DataFrame, held_out: Column, buckets: int) -> DataFrame:
     return docs.sparkSession.table(name)
 
 
+def _by_bucket(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """The order by bucket that leaves each bucket's own order."""
+    return np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+
+
 class Chunk:
     """One chunk's tokens, as numbers of its distinct words, and their order by bucket and hash."""
 
@@ -86,10 +93,10 @@ class Chunk:
         self.buckets = buckets
         parts = pc.split_pattern(table.column("text").combine_chunks().cast(pa.large_string()), " ")
         coded = parts.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.cast(pa.large_binary()).to_pylist()
         words, row = coded.indices.to_numpy(), np.repeat(np.arange(table.num_rows), parts.value_lengths().to_numpy())
-        if "" in names:  # between two spaces
-            real = words != names.index("")
+        if b"" in names:  # between two spaces
+            real = words != names.index(b"")
             words, row = words[real], row[real]
         n_words = np.bincount(row, minlength=table.num_rows)
         self.sizes = n_words + 1
@@ -97,21 +104,34 @@ class Chunk:
         self.tokens = np.insert(words.astype(np.int64) + 1, np.cumsum(n_words), 0)
         self.row = np.repeat(np.arange(table.num_rows), self.sizes)
         self.train = ~table.column("held_out").to_numpy()[self.row].astype(bool)
-        self.hashes = np.array([xxhash.xxh64_intdigest(w.encode()) for w in [END, *names]], dtype=np.uint64)
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, [END.encode(), *names]), dtype=np.uint64, count=len(names) + 1)
         self.word_bucket = (self.hashes % np.uint64(buckets)).astype(np.int64)
-        self.word_order = np.lexsort((self.hashes, self.word_bucket))
+        order = np.argsort(self.hashes)
+        self.word_order = order[_by_bucket(self.word_bucket[order], buckets)]
 
     def pairs(self, ids: np.ndarray) -> None:
-        """Distinct pairs of neighbours, by word ids, with their order and the tokens' place in it."""
+        """Distinct pairs of neighbours, by word ids and by the chunk's own numbers, with their order and the tokens' place in it."""
         before = np.concatenate(([START], self.tokens[:-1]))
         before[np.cumsum(self.sizes)[:-1]] = START
-        self.before = before
-        codes, self.pair_of = np.unique((before + 1) * (len(ids) + 1) + self.tokens, return_inverse=True)
-        first, second = codes // (len(ids) + 1) - 1, codes % (len(ids) + 1)
-        self.first, self.second = np.where(first < 0, START, ids[first]), ids[second]
+        # numbered in the order of their ids, words give pairs in that order
+        words = np.argsort(ids, kind="stable")
+        place = np.zeros(len(ids) + 1, dtype=np.int64)  # START is the last place
+        place[words] = np.arange(1, len(ids) + 1)
+        codes, self.pair_of = np.unique(place[before] * (len(ids) + 1) + place[self.tokens], return_inverse=True)
+        words = np.concatenate(([START], words))
+        self.left, self.right = words[codes // (len(ids) + 1)], words[codes % (len(ids) + 1)]
+        self.first, self.second = np.append(ids, START)[self.left], ids[self.right]
         mixed = (self.first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (self.second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
         self.pair_bucket = ((mixed >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
-        self.pair_order = np.lexsort((self.second, self.first, self.pair_bucket))
+        self.pair_order = _by_bucket(self.pair_bucket, self.buckets)
+
+
+def _pair_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """The order by both, each at least ``START``: by one number a pair where 63 bits hold it."""
+    width = int(second.max(initial=0)) + 2
+    if (int(first.max(initial=0)) + 2) * width < NUMBERS:
+        return np.argsort((first + 1) * width + second + 1)
+    return np.lexsort((second, first))
 
 
 def _lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -236,7 +256,7 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
     def add_pairs(table: pa.Table) -> pa.Table:
         first, second, counts = (_flat(table, x) for x in "abc")
-        order = np.lexsort((second, first))
+        order = _pair_order(first, second)
         a, b = first[order], second[order]
         new = np.concatenate((np.ones(min(len(a), 1), dtype=bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
         place = np.zeros(len(a), dtype=np.int64)
@@ -281,23 +301,23 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         c.pairs(ids_of(c, answers))
         word_count = _answered(answers, 0, "second", c.word_order, np.int64)
         weight = np.append(_answered(answers, 2, "third", c.word_order, np.float64), start_weight)
-        pair_count = _answered(answers, 1, "first", c.pair_order, np.int64)[c.pair_of]
-        count = word_count[c.tokens]
-        before = np.append(word_count, model.end_count)[c.before]  # START is the last place
-        back = weight[c.before]
+        # once a distinct pair, or word
+        pair_count = _answered(answers, 1, "first", c.pair_order, np.int64)
+        before = np.append(word_count, model.end_count)[c.left]  # START is the last place
+        back = weight[c.left]
         # a negative weight marks a predecessor with one more in its total, see _weights
         seen = model.discounted(pair_count) / np.maximum(before + (back < 0), 1)
-        p = np.where(pair_count > 0, seen, np.abs(back) * model.word_probability(count))
-        base = (count + 0.1) / (model.tokens + 0.1 * (model.n_words + 1))
+        p = np.where(pair_count > 0, seen, np.abs(back) * model.word_probability(word_count)[c.right])
+        base = (word_count + 0.1) / (model.tokens + 0.1 * (model.n_words + 1))
         n = len(c.sizes)
         columns = [
             table.column("doc_id"),
             table.column("held_out"),
             pa.array(c.sizes),
-            pa.array(np.bincount(c.row, weights=count > 0, minlength=n).astype(np.int64)),
+            pa.array(np.bincount(c.row, weights=(word_count > 0)[c.tokens], minlength=n).astype(np.int64)),
             pa.array(np.full(n, model.tokens)),
-            pa.array(np.bincount(c.row, weights=np.log10(base), minlength=n)),
-            pa.array(np.bincount(c.row, weights=np.log10(p), minlength=n)),
+            pa.array(np.bincount(c.row, weights=np.log10(base)[c.tokens], minlength=n)),
+            pa.array(np.bincount(c.row, weights=np.log10(p)[c.pair_of], minlength=n)),
         ]
         return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

@@ -1,10 +1,13 @@
 """The Katz model against plain counting, its sums of probability, and held-out accuracy."""
 
+import cProfile
 import math
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,6 +117,38 @@ def test_against_plain_counts(spark, monkeypatch):
     assert held and sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_pairs_in_order(monkeypatch):
+    """Pairs are sorted by word ids, whether one number holds a pair or not."""
+    draw = np.random.default_rng(4)
+    first, second = draw.integers(-1, 9, 500), draw.integers(0, 9, 500)
+    once = katz._pair_order(first, second)
+    monkeypatch.setattr(katz, "NUMBERS", 1)
+    for order in (once, katz._pair_order(first, second)):
+        assert list(zip(first[order].tolist(), second[order].tolist())) == sorted(zip(first.tolist(), second.tolist()))
+    assert len(katz._pair_order(first[:0], second[:0])) == 0
+    table = pa.table({"text": ["b a b c", "", "c b a"], "held_out": [False, True, False]})
+    chunk = katz.Chunk(table, 128)
+    ids = np.array([40, 10, 30, 20])  # of the end, b, a, c
+    chunk.pairs(ids)
+    pairs = list(zip(chunk.first.tolist(), chunk.second.tolist()))
+    assert pairs == sorted({(-1, 10), (10, 30), (30, 10), (10, 20), (20, 40), (-1, 40), (-1, 20), (20, 10), (30, 40)})
+    assert [pairs[n] for n in chunk.pair_of[:5].tolist()] == [(-1, 10), (10, 30), (30, 10), (10, 20), (20, 40)]
+    assert [(b, w) for b, w in zip(np.append(ids, -1)[chunk.left].tolist(), ids[chunk.right].tolist())] == pairs
+
+
+def test_no_call_a_word():
+    """A chunk of more different words makes no more Python calls."""
+
+    def calls(words):
+        table = pa.table({"text": [" ".join(f"w{n}" for n in range(words))], "held_out": [False]})
+        profile = cProfile.Profile()
+        profile.runcall(lambda: katz.Chunk(table, 128).pairs(np.arange(words + 1)))
+        return sum(entry.callcount for entry in profile.getstats())
+
+    calls(100)  # what is imported when first used
+    assert calls(5000) < calls(100) + 100
+
+
 def test_defined_cases(spark):
     data = [(None, "a b a b", 1), (1, None, 2), (2, "", 3), (2, "", 3), (3, "A  b\nc", 4), (4, "x " * 5000, 5), (5, "never\x85seen é", 6)]
     docs = spark.createDataFrame(data, "doc_id bigint, text string, score int")
