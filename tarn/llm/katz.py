@@ -9,9 +9,10 @@ Neither the model nor a document's tokens ever go to one place. Documents are de
 bounded size, stored bucketed by chunk. Each chunk asks for its distinct words, then for its distinct
 pairs, sorted into hash buckets; a bucket adds up the chunks' counts and answers each of them in the
 order of its question. Answers meet their chunk's texts again, which need no shuffle. So what moves
-is distinct words and pairs of chunks, in arrays. Word and pair tables are written partitioned by
-bucket. A word so frequent that it makes up a third of the corpus is one word in each chunk, and
-its pairs spread over all buckets.
+is distinct words and pairs of chunks, in arrays. There are as many buckets as the corpus has times
+``BUCKET_CHARS``, so neither a chunk nor a bucket grows with it, and a chunk asks only those that it
+has pairs for. Word and pair tables are written by kind of row. A word so frequent that it makes up a
+third of the corpus is one word in each chunk, and its pairs spread over all buckets.
 
 Defined results: a null text has only the end; a document without an id is trained on; repeated
 rows count each; without training documents each token is unknown, with probability 1; an empty
@@ -39,9 +40,13 @@ SPACES = "\t\n\v\f\r"
 END = " "
 #: As predecessor of a text's first word.
 START = -1
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 8_000_000
 #: Hash buckets at least; with a wider shuffle as many as that has partitions. No result depends on it.
 BUCKETS = 128
+#: Characters of the corpus to a bucket, at most.
+BUCKET_CHARS = 8_000_000
+#: Pairs judged at a time.
+SLICE = 1 << 16
 #: Numbers of pairs stay below this.
 NUMBERS = 1 << 63
 #: Counts up to this are discounted.
@@ -57,24 +62,24 @@ def default_fold(doc_id: Column) -> Column:
 
 
 def _chunks(docs: DataFrame, held_out: Column, buckets: int) -> DataFrame:
-    """``(chunk, doc_id, held_out, text)`` in a table bucketed by chunk: grouping by chunk moves nothing."""
+    """``(chunk, chars, doc_id, held_out, text)`` in a table bucketed by chunk: grouping by chunk moves nothing."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, chars = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            numbers = []
-            for size in pc.utf8_length(batch.column("text")).to_pylist():
+            numbers, sizes = [], pc.utf8_length(batch.column("text")).cast(pa.int64())
+            for size in sizes.to_pylist():
                 if chars and chars + size > CHUNK_CHARS:
                     chunk, chars = chunk + 1, 0
                 chars += size
                 numbers.append(chunk)
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), sizes, *batch.columns], ["chunk", "chars", *batch.schema.names])
 
     # A-Z in lower case, all white space as spaces
     text = F.translate(F.coalesce("text", F.lit("")), UPPER + SPACES, UPPER.lower() + " " * len(SPACES))
     rows = docs.select("doc_id", held_out.alias("held_out"), text.alias("text"))
     types = dict(rows.dtypes)
-    rows = rows.mapInArrow(cut, f"chunk bigint, doc_id {types['doc_id']}, held_out boolean, text string")
+    rows = rows.mapInArrow(cut, f"chunk bigint, chars bigint, doc_id {types['doc_id']}, held_out boolean, text string")
     name, path = f"katz_{uuid.uuid4().hex}", scratch_path(docs.sparkSession, "katz-chunks")
     writer = rows.write.format("parquet").option("compression", "zstd").option("path", path)
     writer.bucketBy(buckets, "chunk").saveAsTable(name)
@@ -87,23 +92,27 @@ def _by_bucket(bucket: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class Chunk:
-    """One chunk's tokens, as numbers of its distinct words, and their order by bucket and hash."""
+    """One chunk's tokens, as numbers of its distinct words, and their order by bucket and hash.
+
+    Arrow's offsets bound a chunk's text, so its own numbers take four bytes.
+    """
 
     def __init__(self, table: pa.Table, buckets: int):
         self.buckets = buckets
         parts = pc.split_pattern(table.column("text").combine_chunks().cast(pa.large_string()), " ")
         coded = parts.flatten().dictionary_encode()
         names = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        words, row = coded.indices.to_numpy(), np.repeat(np.arange(table.num_rows), parts.value_lengths().to_numpy())
+        words, row = coded.indices.to_numpy(), np.repeat(np.arange(table.num_rows, dtype=np.int32), parts.value_lengths().to_numpy())
+        del parts, coded
         if b"" in names:  # between two spaces
             real = words != names.index(b"")
             words, row = words[real], row[real]
         n_words = np.bincount(row, minlength=table.num_rows)
         self.sizes = n_words + 1
         # word 0 is the end
-        self.tokens = np.insert(words.astype(np.int64) + 1, np.cumsum(n_words), 0)
-        self.row = np.repeat(np.arange(table.num_rows), self.sizes)
-        self.train = ~table.column("held_out").to_numpy()[self.row].astype(bool)
+        self.tokens = np.insert(words + np.int32(1), np.cumsum(n_words), 0)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.train = np.repeat(~table.column("held_out").to_numpy().astype(bool), self.sizes)
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, [END.encode(), *names]), dtype=np.uint64, count=len(names) + 1)
         self.word_bucket = (self.hashes % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(self.hashes)
@@ -111,44 +120,66 @@ class Chunk:
 
     def pairs(self, ids: np.ndarray) -> None:
         """Distinct pairs of neighbours, by word ids and by the chunk's own numbers, with their order and the tokens' place in it."""
-        before = np.concatenate(([START], self.tokens[:-1]))
-        before[np.cumsum(self.sizes)[:-1]] = START
+        before = np.roll(self.tokens, 1)
+        before[self.starts] = START
         # numbered in the order of their ids, words give pairs in that order
-        words = np.argsort(ids, kind="stable")
+        words = np.argsort(ids, kind="stable").astype(np.int32)
         place = np.zeros(len(ids) + 1, dtype=np.int64)  # START is the last place
         place[words] = np.arange(1, len(ids) + 1)
-        codes, self.pair_of = np.unique(place[before] * (len(ids) + 1) + place[self.tokens], return_inverse=True)
-        words = np.concatenate(([START], words))
+        codes = place[before]
+        codes *= len(ids) + 1
+        codes += place[self.tokens]
+        del before
+        order = np.argsort(codes)
+        codes = codes[order]
+        new = np.append(True, codes[1:] != codes[:-1])
+        self.pair_of = np.empty(len(order), dtype=np.int32)
+        self.pair_of[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        del order
+        codes = codes[new]
+        words = np.concatenate((np.array([START], dtype=np.int32), words))
         self.left, self.right = words[codes // (len(ids) + 1)], words[codes % (len(ids) + 1)]
+        del codes
         self.first, self.second = np.append(ids, START)[self.left], ids[self.right]
-        mixed = (self.first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (self.second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-        self.pair_bucket = ((mixed >> np.uint64(33)) % np.uint64(self.buckets)).astype(np.int64)
-        self.pair_order = _by_bucket(self.pair_bucket, self.buckets)
+        mixed = self.first.astype(np.uint64)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= self.second.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed >>= np.uint64(33)
+        mixed %= np.uint64(self.buckets)
+        self.pair_bucket = mixed.astype(np.min_scalar_type(self.buckets))
+        del mixed
+        self.pair_order = _by_bucket(self.pair_bucket, self.buckets).astype(np.int32)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """The tokens' values added up by text; each text has its end."""
+        return np.add.reduceat(values, self.starts)
 
 
 def _pair_order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """The order by both, each at least ``START``: by one number a pair where 63 bits hold it."""
     width = int(second.max(initial=0)) + 2
     if (int(first.max(initial=0)) + 2) * width < NUMBERS:
-        return np.argsort((first + 1) * width + second + 1)
+        return np.argsort((first.astype(np.int64) + 1) * width + second + 1)
     return np.lexsort((second, first))
 
 
 def _lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.astype(kind.to_pandas_dtype(), copy=False), kind))
 
 
-def _question(chunk: int, buckets: int, bucket: np.ndarray, order: np.ndarray, *columns: np.ndarray) -> pa.Table:
-    """One row a bucket: the columns' values of that bucket, in order."""
-    ends = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
-    lists = [_lists(c[order].astype(np.int64), ends, pa.int64()) for c in columns]
-    names = ["bucket", "chunk", *"abc"[: len(lists)]]
-    return pa.Table.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), pa.array(np.full(buckets, chunk)), *lists], names)
+def _question(chunk: int, buckets: int, bucket: np.ndarray, order: np.ndarray, *columns: np.ndarray, long: bool = True) -> pa.Table:
+    """One row a bucket that has values: the columns' values of that bucket, in order."""
+    sizes = np.bincount(bucket, minlength=buckets)
+    some = np.flatnonzero(sizes)
+    ends = np.concatenate(([0], np.cumsum(sizes[some])))
+    lists = [_lists(c[order], ends, pa.int64() if long else pa.int32()) for c in columns]
+    names = ["bucket", "chunk", *"abcd"[: len(lists)]]
+    return pa.Table.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), chunk)), *lists], names)
 
 
 def _answered(table: pa.Table, kind: int, column: str, order: np.ndarray, dtype) -> np.ndarray:
     """A chunk's answers, bucket after bucket, put back into the order of its words or pairs."""
-    rows = table.filter(pc.equal(table.column("kind"), kind)).sort_by("bucket")
+    rows = table.select(["bucket", column]).filter(pc.equal(table.column("kind"), kind)).sort_by("bucket")
     out = np.zeros(len(order), dtype=dtype)
     out[order] = _flat(rows, column)
     return out
@@ -208,14 +239,13 @@ def _factor(count: Column, factors: list[float]) -> Column:
 
 def _tables(answers: DataFrame, name: str) -> DataFrame:
     path = scratch_path(answers.sparkSession, name)
-    answers.write.option("compression", "zstd").partitionBy("bucket").parquet(path)
+    answers.write.option("compression", "zstd").partitionBy("kind").parquet(path)
     return answers.sparkSession.read.schema(answers.schema).parquet(path)
 
 
-def _sums(of_counts: DataFrame) -> list[int]:
-    """Sums over the buckets, a fixed number of rows."""
-    rows = [r.first for r in of_counts.select("first").collect()]
-    return [sum(column) for column in zip(*rows)] if rows else [0] * (TOP + 3)
+def _sums(rows: list[list[int]]) -> list[int]:
+    """Sums over the buckets."""
+    return [sum(column) for column in zip(*rows)] if rows else [0] * (TOP + 5)
 
 
 def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
@@ -223,8 +253,10 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
 
     Scores are log10 probabilities; ``base_score`` is that of single words with 0.1 added to each count.
     """
-    buckets = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunks = _chunks(docs, default_fold(F.col("doc_id")) if held_out is None else held_out, buckets)
+    width = max(BUCKETS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    stored = _chunks(docs, default_fold(F.col("doc_id")) if held_out is None else held_out, width)
+    buckets = max(width, -(-(stored.agg(F.sum("chars")).first()[0] or 0) // BUCKET_CHARS))
+    chunks = stored.drop("chars")
 
     # words: ask, add up, answer. Kinds of answers: 0 for a chunk, 9 the table, 8 counts of counts
     def ask_words(table: pa.Table) -> pa.Table:
@@ -237,14 +269,19 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         words, place = np.unique(hashes, return_inverse=True)
         totals = np.bincount(place, weights=counts, minlength=len(words)).astype(np.int64)
         end = np.flatnonzero(words == np.uint64(xxhash.xxh64_intdigest(END.encode())).view(np.int64))
-        return _answers(table, table.column("a"), place, totals[place], 0, words, totals, [*_of_counts(totals), int(totals[end].sum())])
+        of_counts = [*_of_counts(totals), int(totals[end].sum()), len(words)]
+        return _answers(table, table.column("a"), place, totals[place], 0, words, totals, of_counts)
 
     asked = chunks.groupBy("chunk").applyInArrow(ask_words, "bucket int, chunk bigint, a array<bigint>, b array<bigint>")
     words = _tables(asked.groupBy("bucket").applyInArrow(add_words, ANSWERS), "katz-words")
-    sums = _sums(words.filter("kind = 8"))
-    model = Model(sums[: TOP + 3], sums[TOP + 3] if len(sums) > TOP + 3 else 0)
-
-    # pairs likewise, by word ids: a word's place in its bucket times the number of buckets plus the bucket
+    counted = [r.first for r in words.filter("kind = 8").select("first").collect()]
+    sums = _sums(counted)
+    model = Model(sums[: TOP + 3], sums[TOP + 3])
+    # whether ids and counts need eight bytes
+    long = max(buckets * (max((c[TOP + 4] for c in counted), default=0) + 1), model.tokens) >= 1 << 31
+
+    # pairs likewise, by word ids: a word's place in its bucket times the number of buckets plus the bucket;
+    # with the second word's count, so that its probability is at hand where the pair is
     def ids_of(c: Chunk, answers: pa.Table) -> np.ndarray:
         return _answered(answers, 0, "first", c.word_order, np.int64) * buckets + c.word_bucket
 
@@ -252,10 +289,11 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         c = Chunk(table, buckets)
         c.pairs(ids_of(c, answers))
         counts = np.bincount(c.pair_of[c.train], minlength=len(c.first))
-        return _question(table.column("chunk")[0].as_py(), buckets, c.pair_bucket, c.pair_order, c.first, c.second, counts)
+        of_second = _answered(answers, 0, "second", c.word_order, np.int64)[c.right]
+        return _question(table.column("chunk")[0].as_py(), buckets, c.pair_bucket, c.pair_order, c.first, c.second, counts, of_second, long=long)
 
     def add_pairs(table: pa.Table) -> pa.Table:
-        first, second, counts = (_flat(table, x) for x in "abc")
+        first, second, counts, of_second = (_flat(table, x) for x in "abcd")
         order = _pair_order(first, second)
         a, b = first[order], second[order]
         new = np.concatenate((np.ones(min(len(a), 1), dtype=bool), (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
@@ -263,16 +301,16 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         place[order] = np.cumsum(new) - 1
         totals = np.bincount(place, weights=counts, minlength=int(new.sum())).astype(np.int64)
         known = totals >= LEAST_PAIR
+        words = of_second[order[new][known]]
         return _answers(
-            table, table.column("a"), np.where(known, totals, 0)[place], None, 1, a[new][known], b[new][known], _of_counts(totals), totals[known]
+            table, table.column("a"), np.where(known, totals, 0)[place], None, 1, a[new][known], totals[known], _of_counts(totals), words
         )
 
     to_words = words.filter("kind = 0")
-    asked = chunks.groupBy("chunk").cogroup(to_words.groupBy("chunk")).applyInArrow(
-        ask_pairs, "bucket int, chunk bigint, a array<bigint>, b array<bigint>, c array<bigint>"
-    )
+    lists = ", ".join(f"{x} array<{'bigint' if long else 'int'}>" for x in "abcd")
+    asked = chunks.groupBy("chunk").cogroup(to_words.groupBy("chunk")).applyInArrow(ask_pairs, f"bucket int, chunk bigint, {lists}")
     pairs = _tables(asked.groupBy("bucket").applyInArrow(add_pairs, ANSWERS), "katz-pairs")
-    model.pair_factors = discounts(_sums(pairs.filter("kind = 8"))[2:])
+    model.pair_factors = discounts(_sums([r.first for r in pairs.filter("kind = 8").select("first").collect()])[2 : TOP + 3])
 
     weights = store(_weights(words, pairs, model, buckets), "katz-weights")
     start = weights.filter(F.col("id") == START).first()
@@ -301,23 +339,28 @@ def score(docs: DataFrame, held_out: Column | None = None) -> DataFrame:
         c.pairs(ids_of(c, answers))
         word_count = _answered(answers, 0, "second", c.word_order, np.int64)
         weight = np.append(_answered(answers, 2, "third", c.word_order, np.float64), start_weight)
-        # once a distinct pair, or word
+        # once a distinct pair, or word; pairs by slices, so that not all of them wait for each step
         pair_count = _answered(answers, 1, "first", c.pair_order, np.int64)
-        before = np.append(word_count, model.end_count)[c.left]  # START is the last place
-        back = weight[c.left]
-        # a negative weight marks a predecessor with one more in its total, see _weights
-        seen = model.discounted(pair_count) / np.maximum(before + (back < 0), 1)
-        p = np.where(pair_count > 0, seen, np.abs(back) * model.word_probability(word_count)[c.right])
+        del answers, c.first, c.second, c.pair_order
+        before, alone = np.append(word_count, model.end_count), model.word_probability(word_count)  # START is the last place
+        score = np.empty(len(pair_count))
+        for at in range(0, len(score), SLICE):
+            part = slice(at, at + SLICE)
+            count, left = pair_count[part], c.left[part]
+            back = weight[left]
+            # a negative weight marks a predecessor with one more in its total, see _weights
+            seen = model.discounted(count) / np.maximum(before[left] + (back < 0), 1)
+            score[part] = np.log10(np.where(count > 0, seen, np.abs(back) * alone[c.right[part]]))
         base = (word_count + 0.1) / (model.tokens + 0.1 * (model.n_words + 1))
         n = len(c.sizes)
         columns = [
             table.column("doc_id"),
             table.column("held_out"),
             pa.array(c.sizes),
-            pa.array(np.bincount(c.row, weights=(word_count > 0)[c.tokens], minlength=n).astype(np.int64)),
+            pa.array(c.sums((word_count > 0).astype(np.int64)[c.tokens])),
             pa.array(np.full(n, model.tokens)),
-            pa.array(np.bincount(c.row, weights=np.log10(base)[c.tokens], minlength=n)),
-            pa.array(np.bincount(c.row, weights=np.log10(p)[c.pair_of], minlength=n)),
+            pa.array(c.sums(np.log10(base)[c.tokens])),
+            pa.array(c.sums(score[c.pair_of])),
         ]
         return pa.Table.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
@@ -336,12 +379,11 @@ def _weights(words: DataFrame, pairs: DataFrame, model: Model, buckets: int) ->
     """
     known = words.filter("kind = 9").select("bucket", F.posexplode("second").alias("place", "n"))
     known = known.select((F.col("place") * buckets + F.col("bucket")).alias("id"), "n").filter("n > 0")
-    rows = pairs.filter("kind = 9").select(F.explode(F.arrays_zip("first", "second", "third")).alias("p"))
-    rows = rows.select(F.col("p.first").alias("before"), F.col("p.second").alias("id"), F.col("p.third").cast("bigint").alias("r"))
+    # one array is opened and the others looked up: zipped, a bucket's pairs would all be objects at once
+    rows = pairs.filter("kind = 9").select("second", "third", F.posexplode("first").alias("at", "before"))
+    rows = rows.select("before", F.col("second")[F.col("at")].alias("r"), F.col("third")[F.col("at")].cast("bigint").alias("n"))
     probability = _factor(F.col("n"), model.word_factors) * F.col("n") / max(model.total, 1)
-    sums = rows.join(known, "id").groupBy("before").agg(
-        F.sum(_factor(F.col("r"), model.pair_factors) * F.col("r")).alias("pairs"), F.sum(probability).alias("words")
-    )
+    sums = rows.groupBy("before").agg(F.sum(_factor(F.col("r"), model.pair_factors) * F.col("r")).alias("pairs"), F.sum(probability).alias("words"))
     totals = known.select(F.col("id").alias("before"), "n")
     named = sums.filter(F.col("before") != START).join(totals, "before")
     start = sums.filter(F.col("before") == START).withColumn("n", F.lit(model.end_count).cast("bigint"))

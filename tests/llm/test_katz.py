@@ -3,6 +3,7 @@
 import cProfile
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -156,3 +157,40 @@ def test_defined_cases(spark):
     assert katz.score(docs.filter(F.lit(False))).count() == 0
     untrained = katz.score(docs, F.lit(True)).collect()
     assert {(r.train_tokens, r.score, r.base_score, r.n_known) for r in untrained} == {(0, 0.0, 0.0, 0)}
+
+
+def test_a_bucket_does_not_grow(spark, monkeypatch):
+    """More text makes more buckets, none of them larger, and a chunk asks only those that it has pairs for."""
+    monkeypatch.setattr(katz, "CHUNK_CHARS", 4000)
+    monkeypatch.setattr(katz, "BUCKET_CHARS", 2000, raising=False)
+    tables, made = [], katz._tables
+    monkeypatch.setattr(katz, "_tables", lambda answers, name: tables.append(made(answers, name)) or tables[-1])
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def largest(texts):
+        draw = np.random.default_rng(7)
+        docs = [(i, " ".join(f"w{n}" for n in draw.integers(0, 900, 100))) for i in range(texts)]
+        check(katz.score(spark.createDataFrame(docs, "doc_id bigint, text string")).collect(), docs)
+        asked = tables[-1].filter("kind = 1")
+        assert asked.filter("size(first) = 0").isEmpty()
+        return asked.groupBy("bucket").agg(F.sum(F.size("first")).alias("n")).agg(F.max("n")).first()[0]
+
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        few, many = largest(50), largest(400)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert many < 1.5 * few
+
+
+def test_memory_of_a_chunk():
+    """A chunk's pairs take a bounded number of bytes a token beside the text."""
+    draw = np.random.default_rng(7)
+    table = pa.table({"text": [" ".join(f"w{n}" for n in draw.integers(0, 20_000, 200_000))], "held_out": [False]})
+    tracemalloc.start()
+    try:
+        chunk = katz.Chunk(table, 128)
+        chunk.pairs(np.arange(len(chunk.hashes)) * 128)
+        assert tracemalloc.get_traced_memory()[1] < 90 * len(chunk.tokens)
+    finally:
+        tracemalloc.stop()
