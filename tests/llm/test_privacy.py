@@ -222,3 +222,19 @@ def test_defined_cases(spark):
     assert sorted(r.text or "" for r in privacy.sanitised(docs).collect()) == ["", "", "[email]", "[email]", "[email]"]
     empty = docs.filter(F.lit(False))
     assert privacy.digest(privacy.reveal(empty)).count() == privacy.sanitised(empty).count() == 0
+
+
+def test_revealing_terms_in_texts_without_personal_data(spark):
+    """A name that reveals an address is hidden in texts without any too, copies and long texts among them."""
+    rows = [(i, f"dear Ellery about {w}: box@host.org") for i, w in enumerate(["this", "that", "these", "those", "them", "him"])]
+    rows += [(10, "we met ELLERY there, and ellery again"), (11, "we met ELLERY there, and ellery again"), (12, "the " * 4000 + "Ellery")]
+    rows += [(20 + i, f"we met elbows there, number n{i}") for i in range(60)] + [(90, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs, _, _ = plain_pairs([t for _, t in rows])
+    assert privacy.GENERALISE <= pairs["email:box@host.org", "ellery"][1] < privacy.REMOVE
+    found = {r.doc_id: r for r in privacy.digest(privacy.reveal(docs)).collect()}
+    assert [found[i].n_term for i in (10, 11, 12, 20, 90)] == [2, 2, 1, 0, 0]
+    assert found[10].spans == "term:7:13,term:25:31" and found[12].spans == "term:16000:16006"
+    out = {r.doc_id: r.text for r in privacy.sanitised(docs).collect()}
+    assert out[10] == out[11] == "we met el* there, and el* again" and out[12] == "the " * 4000 + "el*"
+    assert all(out[i] == t for i, t in rows if i >= 20)
